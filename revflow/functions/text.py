@@ -11,12 +11,13 @@ NA_WORDS = (
     "nan", "null",
 )
 
-_EDGE_SPACE = r"^[\s\p{Z}\x1c-\x1f\x85]+|[\s\p{Z}\x1c-\x1f\x85]+$"
+# Every character that counts as white space, not only the blank.
+_WHITE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def trim_all(c: Column) -> Column:
     """Strip every kind of white space at both ends (SQL ``trim`` strips blanks only)."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(_WHITE_SPACE))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -37,4 +38,4 @@ def na_to_null(c: Column) -> Column:
 
 def strip_trailing_id(c: Column) -> Column:
     """``Doe, J (123)`` as ``Doe, J``; digits elsewhere stay."""
-    return F.regexp_replace(c, r"\s*\(\d+\)$", "")
+    return F.regexp_replace(c, r"\s*\(\d+\)\z", "")

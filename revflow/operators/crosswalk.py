@@ -17,9 +17,8 @@ LEVELS_OF_CARE = {
 
 
 def loc_crosswalk(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(LEVELS_OF_CARE.items()), "rev_code string, level_of_care string"
-    )
+    rows = ", ".join(f"('{code}', '{level}')" for code, level in LEVELS_OF_CARE.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS loc(rev_code, level_of_care)")
 
 
 def level_of_care_join(

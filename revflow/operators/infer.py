@@ -18,9 +18,9 @@ MISSING, WHOLE, NUMBER, DATE, TEXT = 1, 2, 4, 8, 16
 
 # What counts as a number and as a date, and the reach of a
 # nanosecond time stamp, beyond which a date stays text.
-_WHOLE = r"^[+-]?\d+$"
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_DATE = r"^\d{1,2}/\d{1,2}/\d{4}$"
+_WHOLE = r"^[+-]?\d+\z"
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
+_DATE = r"^\d{1,2}/\d{1,2}/\d{4}\z"
 _FIRST_DATE, _LAST_DATE = "1677-09-22", "2262-04-11"
 
 TYPE_NAMES = {
@@ -65,9 +65,9 @@ def infer_structure(
     skip_date_names: bool = False,
     blank_double: bool = False,
 ) -> DataFrame:
-    """(position, column_name, data_type) of a frame, lazily.
+    """(position, column_name, data_type, all_missing) of a frame, lazily.
 
-    Columns that are not text keep their type. ``pinned`` columns stay text,
+    Columns that are not text keep their type (and have a NULL ``all_missing``). ``pinned`` columns stay text,
     so that codes keep their leading zeros. The CSV reader types plain
     numbers whatever their column is called; ``skip_date_names`` gives the
     later promotion step by itself, which passes over names with ``date``.
@@ -83,13 +83,16 @@ def infer_structure(
         if f.name in text:
             mask = F.coalesce(F.col(f"m{text.index(f.name)}"), F.lit(0))
             kind = _type_of(mask, f.name, pinned, skip_date_names, blank_double)
+            missing = mask.isin(0, MISSING)
         else:
             kind = F.lit(TYPE_NAMES.get(f.dataType, "text"))
+            missing = F.lit(None).cast("boolean")
         rows.append(
             F.struct(
                 F.lit(position).alias("position"),
                 F.lit(f.name).alias("column_name"),
                 kind.alias("data_type"),
+                missing.alias("all_missing"),
             )
         )
     return masks.select(F.inline(F.array(*rows)))
@@ -111,20 +114,30 @@ def _typed(c: Column, kind: str) -> Column:
     return c
 
 
-def promote(df: DataFrame, types: dict[str, str] | None = None, **options) -> DataFrame:
+def promote(
+    df: DataFrame,
+    types: dict[str, str] | None = None,
+    blank_missing: bool = False,
+    **options,
+) -> DataFrame:
     """The frame with its text columns typed.
 
     Without given types they are inferred first: one pass over the text and
-    one fetched row per column, so at scale the text is read twice.
+    one fetched row per column, so at scale the text is read twice. The same
+    pass tells columns without any value; ``blank_missing`` fills these with
+    empty strings.
     """
+    empty: set[str] = set()
     if types is None:
-        found = infer_structure(df, **options).select("column_name", "data_type")
-        types = dict(found.collect())
-    return df.select(
-        *[
-            _typed(ref(f.name), types[f.name]).alias(f.name)
-            if isinstance(f.dataType, T.StringType) and f.name in types
-            else ref(f.name)
-            for f in df.schema
-        ]
-    )
+        found = infer_structure(df, **options).collect()
+        types = {r.column_name: r.data_type for r in found}
+        empty = {r.column_name for r in found if r.all_missing and blank_missing}
+
+    def column(f: T.StructField) -> Column:
+        if f.name in empty:
+            return F.lit("").alias(f.name)
+        if isinstance(f.dataType, T.StringType) and f.name in types:
+            return _typed(ref(f.name), types[f.name]).alias(f.name)
+        return ref(f.name)
+
+    return df.select(*[column(f) for f in df.schema])

@@ -23,8 +23,14 @@ STILL_RUNNING = "still running"
 ACCEPTED = ("SUCCESS", "REPORT RUNNING")
 
 
-def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    return reduce(Column.__and__, [left[a].eqNullSafe(right[b]) for a, b in pairs])
+def with_instance(df: DataFrame) -> DataFrame:
+    """The frame with an instance in every row; none at all is the empty one.
+
+    The other key columns are never NULL in a ledger, so that the joins below
+    can use plain equality and keep the partitioning of the aggregates.
+    """
+    known = F.col("instance_key") if "instance_key" in df.columns else F.lit(None)
+    return df.withColumn("instance_key", F.coalesce(known.cast("string"), F.lit("")))
 
 
 def _marks(df: DataFrame, columns: Sequence[str], flag: str) -> DataFrame:
@@ -32,8 +38,9 @@ def _marks(df: DataFrame, columns: Sequence[str], flag: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"_{c}") for c in columns], F.lit(True).alias(flag))
 
 
-def _mark(df: DataFrame, marks: DataFrame, columns: Sequence[str]) -> DataFrame:
-    joined = df.join(marks, _same(df, marks, [(c, f"_{c}") for c in columns]), "left")
+def _mark(df: DataFrame, marks: DataFrame, columns: Sequence[str], how: str = "left") -> DataFrame:
+    same = reduce(Column.__and__, [df[c] == marks[f"_{c}"] for c in columns])
+    joined = df.join(marks, same, how)
     return joined.drop(*[f"_{c}" for c in columns])
 
 
@@ -94,11 +101,12 @@ def parse_responses(responses: DataFrame, xml: str = "response") -> DataFrame:
         | message.isNull()
         | (message == "")
     )
+    unnamed = F.col("customer_account").isNull() | F.col("report_name").isNull()
     outcome = (
         F.when(unreadable, "ERROR")
         .when(message.contains(STILL_RUNNING), "RUNNING")
         .when(~status.isin(*ACCEPTED), "FAILED")
-        .when(identifier == "", "ERROR")
+        .when((identifier == "") | unnamed, "ERROR")
     )
     return parsed.select(
         *responses.columns,
@@ -109,16 +117,30 @@ def parse_responses(responses: DataFrame, xml: str = "response") -> DataFrame:
     )
 
 
-def first_sightings(runs: DataFrame) -> DataFrame:
-    """Each run once, with the lowest sequence number it was seen at."""
-    return runs.groupBy(*GROUP, "identifier").agg(F.min(SEQUENCE).alias(SEQUENCE))
+def first_sightings(runs: DataFrame, accepted: Column | None = None) -> DataFrame:
+    """Each run once, with the lowest sequence number it was (acceptably) seen at.
+
+    A run without account, report or identifier cannot be in a ledger. Keys
+    are made non-null and the condition is part of the aggregate: filters on
+    either would be pushed down and would parse every response once more, or
+    keep the two uses of this aggregate from sharing one shuffle.
+    """
+    key = [*GROUP, "identifier"]
+    seen = F.col(SEQUENCE) if accepted is None else F.when(accepted, F.col(SEQUENCE))
+    keyed = with_instance(runs).select(
+        *[F.coalesce(c, F.lit("")).alias(c) for c in key], seen.alias(SEQUENCE)
+    )
+    firsts = keyed.groupBy(*key).agg(F.min(SEQUENCE).alias(SEQUENCE))
+    if accepted is None:
+        named = [F.col(c) != "" for c in key if c != "instance_key"]
+        firsts = firsts.filter(reduce(Column.__and__, named))
+    return firsts.filter(F.col(SEQUENCE).isNotNull())
 
 
-def unknown_runs(runs: DataFrame, ledger: DataFrame) -> DataFrame:
+def unknown_runs(firsts: DataFrame, ledger: DataFrame) -> DataFrame:
     """Runs the ledger does not hold yet, whatever their status there."""
-    known = ledger.select(*[F.col(c).alias(f"_{c}") for c in (*GROUP, "identifier")])
-    pairs = [(c, f"_{c}") for c in (*GROUP, "identifier")]
-    return runs.join(known, _same(runs, known, pairs), "left_anti")
+    key = [*GROUP, "identifier"]
+    return _mark(firsts, _marks(with_instance(ledger), key, "_known"), key, "left_anti")
 
 
 def classify_responses(
@@ -131,8 +153,8 @@ def classify_responses(
     by an aggregate and marked by a join on the run *and* the sequence, so
     that many copies of one response are not gathered in one task.
     """
-    parsed = parse_responses(responses, xml)
-    firsts = first_sightings(parsed.filter(F.col("outcome").isNull()))
+    parsed = parse_responses(with_instance(responses), xml)
+    firsts = first_sightings(parsed, F.col("outcome").isNull())
     if ledger is not None:
         firsts = unknown_runs(firsts, ledger)
     key = [*GROUP, "identifier", SEQUENCE]
@@ -175,7 +197,7 @@ def upsert_ledger(ledger: DataFrame, runs: DataFrame) -> DataFrame:
     """
     fresh = newest_active(unknown_runs(first_sightings(runs), ledger))
     touched = _marks(fresh.select(*GROUP).distinct(), GROUP, "_touched")
-    kept = _mark(ledger, touched, GROUP).withColumn(
+    kept = _mark(with_instance(ledger), touched, GROUP).withColumn(
         "status", F.when(F.col("_touched"), 0).otherwise(F.col("status"))
     )
     return kept.select(*ledger.columns).unionByName(fresh.select(*ledger.columns))

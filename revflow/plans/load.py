@@ -6,16 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from revflow.functions.names import snake_name
+from revflow.functions.names import column_names, distinct_names, snake_name
 from revflow.operators.infer import promote
-from revflow.operators.shape import LAYOUTS, blank_null_columns, conform_report, union_conform
+from revflow.operators.shape import LAYOUTS, conform_report, union_conform
 from revflow.plans.publish import register_marts
 from revflow.sinks.tables import full_refresh
 from revflow.sources.reports import csv_header, discover_reports, scan_report_csv
-from revflow.functions.names import column_names, distinct_names
-
-# Leading columns of every delivered report.
-TENANT = ("customer_account", "instance_key")
 
 
 def typed_report(
@@ -31,8 +27,7 @@ def typed_report(
     if table in LAYOUTS:
         df = conform_report(df, table)
     df = df.toDF(*column_names(df.columns))
-    df = promote(df, pinned=(*pinned, "instance_key"), **options)
-    df = blank_null_columns(df, keep=("instance_key",))
+    df = promote(df, pinned=(*pinned, "instance_key"), blank_missing=True, **options)
     if "instance_key" in df.columns:
         rest = [c for c in df.columns if c != "instance_key"]
         df = df.select(*rest[:1], "instance_key", *rest[1:])

@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from revflow.operators.quality import enforce, quality_gate, require_schema
 from revflow.operators.shape import ref
@@ -33,12 +33,17 @@ def create_if_absent(spark: SparkSession, table: str, df: DataFrame, root: str)
     )
 
 
-def _write(df: DataFrame, path: str, partition_by: str | None) -> None:
-    if partition_by is None:
-        df.write.mode("errorifexists").parquet(path)
-    else:
-        split = df.hint("rebalance", partition_by)
-        split.write.mode("errorifexists").partitionBy(partition_by).parquet(path)
+def _write(df: DataFrame, path: str, partition_by: str | None = None) -> int:
+    """Write and return the number of rows, counted on their way."""
+    seen = Observation()
+    writer = df
+    if partition_by is not None:
+        writer = df.hint("rebalance", partition_by)
+    writer = writer.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
+    if partition_by is not None:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
+    return seen.get["rows"]
 
 
 def full_refresh(
@@ -48,8 +53,8 @@ def full_refresh(
     keys: Mapping[str, Sequence[str]] | None = None,
     check_schema: bool = True,
     partition_by: str | None = None,
-) -> dict[str, str]:
-    """Replace the contents of all tables, or of none. Returns table to folder.
+) -> dict[str, int]:
+    """Replace the contents of all tables, or of none. Returns rows per table.
 
     ``keys`` names primary keys to check on the staged data. Tables that are
     not in ``frames`` are not touched.
@@ -57,17 +62,17 @@ def full_refresh(
     if check_schema:
         require_schema(spark, frames)
     load = f"load-{uuid.uuid4().hex[:12]}"
-    staged = {}
+    staged, rows = {}, {}
     for table, df in frames.items():
         part = partition_by if partition_by in df.columns else None
         staged[table] = _location(root, table, load)
-        _write(df, staged[table], part)
+        rows[table] = _write(df, staged[table], part)
         key = (keys or {}).get(table)
         if key:
             enforce(quality_gate(spark.read.parquet(staged[table]), key=key, not_null=key))
     for table, df in frames.items():
         _point(spark, table, df, staged[table], partition_by if partition_by in df.columns else None)
-    return staged
+    return rows
 
 
 def _point(
@@ -89,19 +94,27 @@ def _point(
     spark.catalog.refreshTable(table)
 
 
-def append_unique(spark: SparkSession, table: str, df: DataFrame, key: Sequence[str]) -> None:
+def append_unique(
+    spark: SparkSession, table: str, df: DataFrame, key: Sequence[str], staging: str | None = None
+) -> None:
     """Append rows to an existing table; a repeated key refuses the load.
 
     The key must be new to the table and occur once in the frame. Both are
-    checked before a row is written.
+    checked before a row reaches the table. With a staging folder the frame
+    is computed once, into that folder, and the checks read its key columns.
     """
-    enforce(quality_gate(df, key=key, not_null=key))
-    known = spark.table(table).select(*[ref(c) for c in key])
-    clash = df.select(*[ref(c) for c in key]).join(known, list(key), "left_semi")
-    counted = clash.agg(F.count("*").alias("violations")).select(
-        F.lit("unique").alias("rule"), F.lit(",".join(key)).alias("column_name"), "violations"
-    )
-    enforce(counted)
+    if staging is not None:
+        path = f"{staging}/append-{uuid.uuid4().hex[:12]}"
+        _write(df, path)
+        df = spark.read.schema(df.schema).parquet(path)
+    if key:
+        enforce(quality_gate(df, key=key, not_null=key))
+        known = spark.table(table).select(*[ref(c) for c in key])
+        clash = df.select(*[ref(c) for c in key]).join(known, list(key), "left_semi")
+        counted = clash.agg(F.count("*").alias("violations")).select(
+            F.lit("unique").alias("rule"), F.lit(",".join(key)).alias("column_name"), "violations"
+        )
+        enforce(counted)
     df.select(*[ref(c) for c in spark.table(table).columns]).write.insertInto(table)
 
 

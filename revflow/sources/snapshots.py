@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 SNAPSHOT_DATE = "MM/dd/yyyy"
 SNAPSHOT_TIMESTAMP = "MM/dd/yyyy HH:mm:ss"
-DAT_FILES = "*.[dD][aA][tT]"
+_DATA_PATH = r"^(.*?/([^/]+)\.[dD][aA][tT])(?:/|$)"
 
 # Tables of a full snapshot and their primary keys ("" = none declared).
 SNAPSHOT_KEYS = {
@@ -93,21 +93,30 @@ def read_catalogue(spark: SparkSession, path: str) -> dict[str, SnapshotTable]:
 
 
 def snapshot_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, table_name, account, extracted_at) of each ``.dat`` file, any case."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", DAT_FILES)
-        .load(root)
-    )
+    """(table_name, data_path, account, extracted_at) of all ``.dat`` files, any case.
+
+    A data path is a file, or a folder named like one around its parts. Only
+    the file listing is used.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     path = F.col("path")
-    return files.select(
-        "path",
-        F.upper(F.regexp_extract(path, r"([^/]+)\.[dD][aA][tT]$", 1)).alias("table_name"),
-        *lineage(path),
+    return (
+        files.select(
+            F.upper(F.regexp_extract(path, _DATA_PATH, 2)).alias("table_name"),
+            F.regexp_extract(path, _DATA_PATH, 1).alias("data_path"),
+            *lineage(path),
+        )
+        .filter("data_path <> ''")
+        .distinct()
     )
 
 
+def data_folder(files: DataFrame) -> DataFrame:
+    """The first folder, by path, that holds data files; one row."""
+    folder = F.regexp_extract("data_path", r"^(.*)/[^/]+$", 1)
+    return files.agg(F.min(folder).alias("folder"))
+
+
 def lineage(path: Column) -> list[Column]:
     """Account and extract time from the nearest ``{account}_{time}`` folder."""
     pattern = r"([^/=]+)_(\d{8}_\d{6})/"
@@ -131,9 +140,8 @@ def scan_snapshot(
     table: SnapshotTable,
     with_lineage: bool = False,
     mode: str = "FAILFAST",
-    pattern: str = DAT_FILES,
 ) -> DataFrame:
-    """One snapshot table, typed. A value that does not fit its type ends the
+    """One snapshot table, typed, from its data paths. A value that does not fit its type ends the
     scan, as a bulk load would; ``mode="PERMISSIVE"`` makes it NULL instead.
     Lines may end in LF or CRLF; an empty field is NULL.
     """
@@ -146,7 +154,6 @@ def scan_snapshot(
         .option("dateFormat", SNAPSHOT_DATE)
         .option("timestampNTZFormat", SNAPSHOT_TIMESTAMP)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
         .option("mode", mode)
         .csv(paths)
     )

@@ -37,8 +37,7 @@ def stored_runs(spark: SparkSession, store: str) -> DataFrame:
 def _registrar(store: str):
     def register(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        runs = parse_responses(batch).filter(F.col("outcome").isNull())
-        fresh = first_sightings(runs)
+        fresh = first_sightings(parse_responses(batch), F.col("outcome").isNull())
         if batch_id > 0:
             earlier = stored_runs(spark, store).filter(F.col("batch") < batch_id)
             fresh = unknown_runs(fresh, earlier)

@@ -384,9 +384,7 @@ _SNAPSHOT_SQL = """CAST(o_orderkey AS DOUBLE) AS "SEQNO", CAST(o_custkey AS DOUB
 
 def _scan_claims(t: Tables, with_lineage: bool) -> DataFrame:
     table = ddl_catalogue(_CLAIM_DDL)["CLAIMS"]
-    return scan_snapshot(
-        t.spark, _snapshot_root(t), table, with_lineage=with_lineage, pattern="*.txt"
-    )
+    return scan_snapshot(t.spark, _snapshot_root(t), table, with_lineage=with_lineage)
 
 
 @query("scan_snapshot_tab", f"SELECT {_SNAPSHOT_SQL} FROM orders")

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from revflow.plans.fetch import chosen_payloads, spool_reports
+from revflow.plans.flat_load import flat_report_tables, load_flat_reports
 from revflow.plans.load import load_reports
+from revflow.plans.report_layouts import REPORT_LAYOUTS
+from revflow.plans.snapshot_load import load_snapshot
 from revflow.session import run_folder
-from revflow.sinks.files import write_report_csv
-from revflow.workload.carrier import CHARGES_SQL, charges, dec, money_text
+from revflow.sinks.files import pipe_lines, write_pipe_dat, write_report_csv
+from revflow.sources.reports import scan_report_csv
+from revflow.sources.snapshots import ddl_catalogue
+from revflow.workload.carrier import CHARGES_SQL, charges, claims, d152, dec, money_text
+from revflow.workload.landing import envelopes
 from revflow.workload.registry import Tables, query
 
 
@@ -35,3 +42,186 @@ def load_and_publish(t: Tables) -> DataFrame:
     write_report_csv(held, root, "Charges on Hold")
     load_reports(t.spark, root, run_folder(t.spark, "store"))
     return t.spark.table("v_charges_on_hold")
+
+
+# ---- envelopes to spooled reports ---------------------------------------
+
+
+@query(
+    "spool_envelopes",
+    """SELECT CAST(floor(o_orderkey / 200) AS VARCHAR) AS customer_account,
+  'I' || CAST(floor(o_orderkey / 200) AS BIGINT) % 3 AS instance_key,
+  CAST(o_orderkey AS VARCHAR) AS claim_id, o_orderpriority AS status
+FROM (SELECT * REPLACE (CAST(o_orderkey AS BIGINT) AS o_orderkey) FROM orders)
+WHERE CAST(floor(o_orderkey / 200) AS BIGINT) % 2 = 0""".replace(
+        "CAST(floor(o_orderkey / 200) AS VARCHAR)",
+        "CAST(CAST(floor(o_orderkey / 200) AS BIGINT) AS VARCHAR)",
+    ),
+)
+def spool_envelopes(t: Tables) -> DataFrame:
+    """Of two runs per account only the active one is decoded and spooled.
+
+    Odd accounts have no active run and therefore no rows.
+    """
+    chunk = F.floor(F.col("o_orderkey") / 200)
+    records = (
+        t.orders.select(
+            chunk.alias("account"),
+            F.array(F.lit("Claim ID"), F.lit("Status")).alias("header"),
+            F.struct(
+                F.array(F.col("o_orderkey").cast("string"), "o_orderpriority").alias("cells")
+            ).alias("record"),
+        )
+        .groupBy("account", "header")
+        .agg(F.collect_list("record").alias("records"))
+        .withColumn("account", F.col("account").cast("string"))
+    )
+    instance = F.concat(F.lit("I"), (F.col("account").cast("bigint") % 3).cast("string"))
+    runs = F.explode(F.array(F.lit("old"), F.lit("new")))
+    payloads = envelopes(records).select(
+        F.col("account").alias("customer_account"),
+        instance.alias("instance_key"),
+        F.lit("Open Claims").alias("report_name"),
+        runs.alias("identifier"),
+        "xml",
+    )
+    ledger = payloads.select(
+        "customer_account",
+        "instance_key",
+        "report_name",
+        "identifier",
+        F.when(F.col("identifier") == "new", 2).otherwise(1).cast("bigint").alias("sequence"),
+        F.when(
+            (F.col("identifier") == "new") & (F.col("customer_account").cast("bigint") % 2 == 0), 1
+        )
+        .otherwise(0)
+        .alias("status"),
+    ).distinct()
+    chosen = chosen_payloads(payloads, ledger)
+    paths = spool_reports(
+        chosen, {"Open Claims": ["Claim ID", "Status"]}, run_folder(t.spark, "spool")
+    )
+    return scan_report_csv(t.spark, paths["Open Claims"], recursive=True)
+
+
+# ---- flat files ---------------------------------------------------------
+
+
+def _flat_folder(t: Tables) -> str:
+    """Two report files, one of them with short lines, and an empty third one."""
+    root = run_folder(t.spark, "flat")
+    layout = REPORT_LAYOUTS["claim_stage_breakdown"].fieldNames()
+    named = claims(t).select(
+        F.col("o_custkey").cast("string").alias("customer_account"),
+        F.col("c_mktsegment").alias("practice_name"),
+        F.col("o_orderkey").cast("string").alias("claim_id"),
+        money_text(dec("o_totalprice")).alias("charge_balance_at_collections"),
+    )
+    write_pipe_dat(named, f"{root}/claim_stage_breakdown.dat", layout)
+    productivity = REPORT_LAYOUTS["rcm_productivity"].fieldNames()
+    users = t.customer.select(
+        F.col("c_custkey").cast("string").alias("customer_account"),
+        F.col("c_name").alias("created_by_user"),
+    )
+    whole = pipe_lines(users.withColumn("claim_status", F.lit("open")), productivity)
+    short = pipe_lines(users, productivity[:2])
+    whole.unionAll(short).write.text(f"{root}/rcm_productivity.dat")
+    t.customer.limit(0).select("c_name").write.text(f"{root}/denial_trends.dat")
+    return root
+
+
+@query(
+    "flat_report_load",
+    f"""SELECT 'claim_stage_breakdown' AS table_name, CAST(o_custkey AS VARCHAR) AS account,
+  CAST(o_orderkey AS VARCHAR) AS claim_id,
+  '$' || format('{{:,.2f}}', CAST({d152("o_totalprice")} AS DOUBLE)) AS last_column
+FROM orders JOIN customer ON o_custkey = c_custkey
+UNION ALL SELECT 'rcm_productivity', CAST(c_custkey AS VARCHAR), NULL, 'open' FROM customer
+UNION ALL SELECT 'rcm_productivity', CAST(c_custkey AS VARCHAR), NULL, NULL FROM customer""",
+)
+def flat_report_load(t: Tables) -> DataFrame:
+    """Flat files loaded into their tables, short lines padded."""
+    load_flat_reports(t.spark, _flat_folder(t), run_folder(t.spark, "store"), prefix="flat_")
+    breakdown = t.spark.table("flat_claim_stage_breakdown").select(
+        F.lit("claim_stage_breakdown").alias("table_name"),
+        F.col("customer_account").alias("account"),
+        "claim_id",
+        F.col("charge_balance_at_collections").alias("last_column"),
+    )
+    productivity = t.spark.table("flat_rcm_productivity").select(
+        F.lit("rcm_productivity"), "customer_account", "claim_id", "claim_status"
+    )
+    return breakdown.unionAll(productivity)
+
+
+@query(
+    "flat_report_audit",
+    """SELECT table_name, CASE WHEN rows > 0 THEN 'loaded' WHEN table_name = 'denial_trends'
+    THEN 'empty' ELSE 'failed' END AS status, rows AS rows_loaded, adjusted AS rows_adjusted
+FROM (SELECT 'claim_stage_breakdown' AS table_name, count(*) AS rows, 0 AS adjusted FROM orders
+  UNION ALL SELECT 'rcm_productivity', 2 * count(*), count(*) FROM customer
+  UNION ALL SELECT unnest(['ar_aging', 'charges_on_hold', 'denial_trends', 'gross_billing',
+    'payment_trend', 'quadrant_performance']), 0, 0)""",
+)
+def flat_report_audit(t: Tables) -> DataFrame:
+    """Two loaded files, one empty, five missing."""
+    return flat_report_tables(t.spark, _flat_folder(t))[1]
+
+
+# ---- snapshots ----------------------------------------------------------
+
+# Made-up tables in the dialect of a snapshot's own script.
+_DDL = """CREATE TABLE CLAIMS (
+SEQNO NUMBER(19) PRIMARY KEY,
+CUSTNO NUMBER(19),
+AMOUNT NUMBER(12,2),
+ENTERED TIMESTAMP,
+MEMO VARCHAR2(40));
+CREATE TABLE ACCOUNTS (
+CUSTNO NUMBER(19),
+NAME VARCHAR2(100));
+CREATE TABLE NOT_DELIVERED (
+SEQNO NUMBER(19) PRIMARY KEY);"""
+
+
+@query(
+    "snapshot_load",
+    """SELECT 'CLAIMS' AS table_name, count(*) AS rows,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS amount,
+  max(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')) AS last_entered FROM orders
+UNION ALL SELECT 'ACCOUNTS', count(*), NULL, NULL FROM customer""",
+)
+def snapshot_load(t: Tables) -> DataFrame:
+    """Snapshot files appended to typed tables that the load creates."""
+    root = run_folder(t.spark, "snapshot") + "/A1_20250416_141525/5 Customers"
+    entered = F.date_format("o_orderdate", "MM/dd/yyyy HH:mm:ss")
+    claims_file = t.orders.select(
+        F.col("o_orderkey").alias("SEQNO"),
+        F.col("o_custkey").alias("CUSTNO"),
+        dec("o_totalprice", "decimal(12,2)").alias("AMOUNT"),
+        entered.alias("ENTERED"),
+        F.col("o_orderpriority").alias("MEMO"),
+    )
+    accounts_file = t.customer.select(
+        F.col("c_custkey").alias("CUSTNO"), F.col("c_name").alias("NAME")
+    )
+    for name, df in (("CLAIMS", claims_file), ("ACCOUNTS", accounts_file)):
+        writer = df.write.option("sep", "\t").option("header", True)
+        writer.csv(f"{root}/{name}.DAT")
+    return _snapshot_totals(t, root)
+
+
+def _snapshot_totals(t: Tables, root: str) -> DataFrame:
+    prefix = "snap_" + root.split("snapshot-")[1][:12] + "_"
+    load_snapshot(t.spark, root, ddl_catalogue(_DDL), run_folder(t.spark, "store"), prefix)
+    amount, last = F.sum("AMOUNT"), F.max("ENTERED").cast("string")
+    loaded = t.spark.table(prefix + "claims").agg(
+        F.lit("CLAIMS").alias("table_name"),
+        F.count("*").alias("rows"),
+        amount.alias("amount"),
+        last.alias("last_entered"),
+    )
+    accounts_loaded = t.spark.table(prefix + "accounts").agg(
+        F.lit("ACCOUNTS"), F.count("*"), F.lit(None), F.lit(None)
+    )
+    return loaded.unionAll(accounts_loaded)

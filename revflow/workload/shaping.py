@@ -136,7 +136,7 @@ _INFER_SQL = f"""WITH t AS {_TEXT_SQL} SELECT CAST(list_position(['claim_id', 't
       regexp_full_match(v, '[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?')) THEN 'double precision'
     WHEN bool_and(coalesce(v, '') = '' OR (regexp_full_match(v, '\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}')
       AND try_strptime(v, '%m/%d/%Y') IS NOT NULL)) THEN 'date'
-    ELSE 'text' END AS data_type
+    ELSE 'text' END AS data_type, count(nullif(v, '')) = 0 AS all_missing
 FROM t UNPIVOT INCLUDE NULLS (v FOR column_name IN (COLUMNS(*)))
 GROUP BY column_name"""
 

@@ -15,7 +15,6 @@ def spark():
     session = build_session(
         "revflow-tests",
         "local[8]",
-        spark__checkpoint__dir=f"{folder}/shared",
         spark__sql__warehouse__dir=f"{folder}/warehouse",
         spark__driver__memory="6g",
     )

@@ -16,8 +16,9 @@ if __name__ == "__main__":
     sf, names = sys.argv[1], sys.argv[2:] or list(QUERIES)
     folder = tempfile.mkdtemp(prefix="run-")
     spark = build_session(
-        "try", "local[8]", spark__checkpoint__dir=folder,
+        "try", "local[8]",
         spark__sql__warehouse__dir=f"{folder}/warehouse", spark__driver__memory="8g",
+        spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     bad = 0
