@@ -23,8 +23,14 @@ def _pick(names: list[str], index: Column) -> Column:
 
 
 def parse_date(raw: Column, strict: bool = False) -> Column:
-    """Text date, month first or ISO; unreadable text is NULL, or an error when strict."""
-    parsed = F.coalesce(F.try_to_date(raw, US_DATE), raw.try_cast("date"))
+    """Text date, month first or ISO; unreadable text is NULL, or an error when strict.
+
+    The form is told by its slashes: trying one form after the other would
+    cost an exception per row.
+    """
+    parsed = F.when(raw.contains("/"), F.try_to_date(raw, US_DATE)).when(
+        raw != "", raw.try_cast("date")
+    )
     if not strict:
         return parsed
     complaint = F.raise_error(F.concat(F.lit("not a date: "), raw))
@@ -48,7 +54,7 @@ def month_name(d: Column, trim: bool = False) -> Column:
 
 
 def iso_week_label(d: Column) -> Column:
-    return F.concat(F.lit("Week"), F.lpad(F.weekofyear(d).cast("string"), 2, "0"))
+    return _pick([f"Week{n:02d}" for n in range(1, 54)], F.weekofyear(d) - 1)
 
 
 def year_text(d: Column) -> Column:

@@ -193,14 +193,23 @@ def upsert_ledger(ledger: DataFrame, runs: DataFrame) -> DataFrame:
     """The ledger after further runs.
 
     Known runs change nothing. A group that gets a new run has its older rows
-    set to 0; other groups keep their status, also one set by hand.
+    set to 0; other groups keep their status, also one set by hand. Only
+    active rows take part in the join, so a group with a long history does
+    not move.
     """
     fresh = newest_active(unknown_runs(first_sightings(runs), ledger))
     touched = _marks(fresh.select(*GROUP).distinct(), GROUP, "_touched")
-    kept = _mark(with_instance(ledger), touched, GROUP).withColumn(
-        "status", F.when(F.col("_touched"), 0).otherwise(F.col("status"))
+    before = with_instance(ledger)
+    retired = _mark(before.filter(F.col("status") == 1), touched, GROUP).withColumn(
+        "status", F.when(F.col("_touched"), 0).otherwise(1)
+    )
+    names = ledger.columns
+    return (
+        before.filter(F.col("status") != 1)
+        .select(*names)
+        .unionByName(retired.select(*names))
+        .unionByName(fresh.select(*names))
     )
-    return kept.select(*ledger.columns).unionByName(fresh.select(*ledger.columns))
 
 
 def active_reports(ledger: DataFrame, instance_key: str | None = None) -> DataFrame:

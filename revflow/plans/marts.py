@@ -3,12 +3,15 @@
 Each mart is a projection over one scan plus at most one lookup, so it needs
 no shuffle of its own apart from the held-charge totals. Amounts and dates
 are derived once, in an inner projection, and the labels built on them after
-that.
+that. Amounts that cannot be read become NULL; an ``Observation`` passed as
+``rejects`` counts them per column while the rows pass, without a second scan.
+It also parts the generated code between the two projections, which for such
+wide rows would otherwise outgrow what the JVM compiles.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from revflow.functions import (
     charge_lag,
@@ -97,33 +100,45 @@ def _labels(prefix: str, d: Column, capital_day: bool) -> dict[str, Column]:
     }
 
 
-def _text(df: DataFrame, name: str) -> Column:
-    return df[name].cast("string")
+def _observed(df: DataFrame, amounts: dict[str, str], rejects: Observation | None) -> DataFrame:
+    """Count present values without a parsed amount; ``amounts`` maps parsed to raw columns."""
+    if rejects is None:
+        return df
+    counts = [
+        F.count_if(F.col(raw).isNotNull() & F.col(parsed).isNull()).alias(raw)
+        for parsed, raw in amounts.items()
+    ]
+    return df.observe(rejects, *counts)
 
 
-def ar_aging(report: DataFrame, payers: DataFrame, strict: bool = False) -> DataFrame:
+def ar_aging(
+    report: DataFrame,
+    payers: DataFrame,
+    strict: bool = False,
+    rejects: Observation | None = None,
+) -> DataFrame:
     """Receivables with parsed balances, statement range and payer code.
 
     ``payers`` holds (payer_name, payer_code).
     """
     practice, payer = F.col("practice_name"), F.col("charge_primary_payer_name")
     electronic, printed = "patient_stmts_sent_electronically", "patient_statements_printed"
-    base = report.withColumns(
+    balances = ("charge_balance_due_ins", "charge_balance_due_other", "charge_balance_due_pat")
+    counts = (electronic, printed)
+    parsed = report.withColumns(
+        {
+            **{f"int_{c}": money(F.col(c), strict) for c in balances},
+            **{f"int_{c}": number(F.col(c), strict) for c in counts},
+        }
+    )
+    base = _observed(parsed, {f"int_{c}": c for c in (*balances, *counts)}, rejects)
+    totals = base.withColumns(
         {
             "office_name": practice,
             "facility_name": practice,
             "charge_current_payer_name": payer,
             "patient_full_name": strip_trailing_id(F.col("patient_full_name")),
             "claim_patient_id": F.col("patient_id"),
-            "int_charge_balance_due_ins": money(F.col("charge_balance_due_ins"), strict),
-            "int_charge_balance_due_other": money(F.col("charge_balance_due_other"), strict),
-            "int_charge_balance_due_pat": money(F.col("charge_balance_due_pat"), strict),
-            f"int_{electronic}": number(F.col(electronic), strict),
-            f"int_{printed}": number(F.col(printed), strict),
-        }
-    )
-    totals = base.withColumns(
-        {
             "balance_due_payer": F.col("int_charge_balance_due_ins")
             + F.col("int_charge_balance_due_other"),
             "total_statements": F.col(f"int_{printed}") + F.col(f"int_{electronic}"),
@@ -137,6 +152,7 @@ def gross_billing(
     crosswalk: DataFrame | None = None,
     as_of: Column | None = None,
     strict: bool = False,
+    rejects: Observation | None = None,
 ) -> DataFrame:
     """Charges with age on hold, billing lag, billing calendar and level of care.
 
@@ -147,8 +163,10 @@ def gross_billing(
         {
             "date_charge_entered_date": date_value(report, "charge_entered_date", strict),
             "_billed": date_value(report, "claim_first_billed_date", strict),
+            "int_charge_amount": money(F.col("charge_amount"), strict),
         }
     )
+    dated = _observed(dated, {"int_charge_amount": "charge_amount"}, rejects)
     entered = F.col("date_charge_entered_date")
     ids = ("customer_account", "charge_patient_id", "charge_id", "charge_claim_id",
            "type_of_bill", "charge_units_sum")
@@ -164,7 +182,6 @@ def gross_billing(
                 F.col("claim_first_billed_date").isNotNull(), "Billed"
             ).otherwise("Not Billed"),
             **_labels("claim_first_billed", billed, capital_day=False),
-            "int_charge_amount": money(F.col("charge_amount"), strict),
             "first_billed_week_date": week_start(billed),
         }
     ).withColumns(
@@ -179,7 +196,10 @@ def gross_billing(
 
 
 def payment_trends(
-    report: DataFrame, crosswalk: DataFrame | None = None, strict: bool = False
+    report: DataFrame,
+    crosswalk: DataFrame | None = None,
+    strict: bool = False,
+    rejects: Observation | None = None,
 ) -> DataFrame:
     """Payments with calendar labels, posting time, parsed amounts, level of care.
 
@@ -205,6 +225,7 @@ def payment_trends(
             "_entered": date_value(report, "payment_entered", strict),
         }
     )
+    parsed = _observed(parsed, amounts, rejects)
     out = parsed.withColumns(
         {
             "facility_name": practice,

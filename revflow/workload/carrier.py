@@ -30,6 +30,10 @@ def money_text(c: Column) -> Column:
     return F.concat(F.lit("$"), F.format_number(c.cast("decimal(18,2)"), 2))
 
 
+def plain_money(c: Column) -> Column:
+    return F.concat(F.lit("$"), c.cast("decimal(18,2)").cast("string"))
+
+
 def us_date(c: Column | str) -> Column:
     return F.date_format(c, "MM/dd/yyyy")
 
@@ -96,6 +100,10 @@ def money_text_sql(x: str) -> str:
     return f"'$' || format('{{:,.2f}}', CAST(CAST({x} AS DECIMAL(18,2)) AS DOUBLE))"
 
 
+def plain_money_sql(x: str) -> str:
+    return f"'$' || CAST(CAST({x} AS DECIMAL(18,2)) AS VARCHAR)"
+
+
 def money_sql(text: str) -> str:
     return f"TRY_CAST(replace(replace({text}, '$', ''), ',', '') AS DECIMAL(18,2))"
 
@@ -178,9 +186,9 @@ def ar_aging_report(t: Tables) -> DataFrame:
         .otherwise(money_text(total * rate("0.3")))
         .alias("charge_balance_due_pat"),
         F.lit("$0.00").alias("charge_balance_at_collections"),
-        money_text(total * rate("0.2")).alias("charge_insurance_payments"),
-        money_text(total * rate("0.4")).alias("charge_patient_payments"),
-        money_text(total * rate("0.5")).alias("charge_total_payments"),
+        plain_money(total * rate("0.2")).alias("charge_insurance_payments"),
+        plain_money(total * rate("0.4")).alias("charge_patient_payments"),
+        plain_money(total * rate("0.5")).alias("charge_total_payments"),
         F.when(key % 13 != 0, (key % 5).cast("string")).alias("patient_stmts_sent_electronically"),
         F.when(key % 9 == 0, "1.5")
         .otherwise((F.col("o_custkey") % 4).cast("string"))
@@ -188,8 +196,8 @@ def ar_aging_report(t: Tables) -> DataFrame:
     )
 
 
-def _share(r: str) -> str:
-    return money_text_sql(f"{d152('o_totalprice')} * CAST({r} AS DECIMAL(2,1))")
+def _share(r: str, sql=money_text_sql) -> str:
+    return sql(f"{d152('o_totalprice')} * CAST({r} AS DECIMAL(2,1))")
 
 
 AR_AGING_SQL = f"""
@@ -217,8 +225,9 @@ ar_aging AS (
     CASE WHEN o_orderkey % 11 = 0 THEN '$-' || {d152("o_totalprice")} ELSE {_share("0.3")} END
       AS charge_balance_due_pat,
     '$0.00' AS charge_balance_at_collections,
-    {_share("0.2")} AS charge_insurance_payments, {_share("0.4")} AS charge_patient_payments,
-    {_share("0.5")} AS charge_total_payments,
+    {_share("0.2", plain_money_sql)} AS charge_insurance_payments,
+    {_share("0.4", plain_money_sql)} AS charge_patient_payments,
+    {_share("0.5", plain_money_sql)} AS charge_total_payments,
     CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_orderkey % 5 AS VARCHAR) END
       AS patient_stmts_sent_electronically,
     CASE WHEN o_orderkey % 9 = 0 THEN '1.5' ELSE CAST(o_custkey % 4 AS VARCHAR) END
@@ -259,8 +268,8 @@ def payment_trend_report(t: Tables) -> DataFrame:
         F.col("c_mktsegment").alias("practice_name"),
         F.col("n_name").alias("office_name"),
         F.col("n_name").alias("facility_name"),
-        us_date("o_orderdate").alias("charge_entered_date"),
-        us_date("o_orderdate").alias("charge_first_bill_date"),
+        F.col("o_orderdate").cast("date").alias("charge_entered_date"),
+        F.col("o_orderdate").cast("date").alias("charge_first_bill_date"),
         us_date("l_shipdate").alias("charge_from_date"),
         us_date("l_shipdate").alias("charge_to_date"),
         F.col("c_name").alias("patient_full_name"),
@@ -270,22 +279,22 @@ def payment_trend_report(t: Tables) -> DataFrame:
         (F.col("l_orderkey") * 10 + line).alias("charge_id"),
         F.col("l_orderkey").alias("claim_id"),
         code_of("l_partkey").alias("charge_rev_code"),
-        (F.col("l_partkey") % 1000 + 90000).cast("string").alias("charge_cpt_code"),
+        F.col("l_partkey").alias("charge_cpt_code"),
         F.lit("111").alias("type_of_bill"),
         F.col("n_name").alias("charge_primary_payer_name"),
-        F.concat(F.lit("M"), F.col("o_custkey").cast("string")).alias("primary_payer_member_id"),
-        money_text(price).alias("charge_amount"),
+        F.col("c_name").alias("primary_payer_member_id"),
+        F.col("l_extendedprice").alias("charge_amount"),
         F.when(F.col("l_partkey") % 17 != 0, money_text(price * tax)).alias(
             "insurance_paid_amount"
         ),
         money_text(price * discount).alias("payment_total_paid"),
         money_text(quantity).alias("payment_total_applied"),
-        money_text(tax).alias("charge_insurance_adjustments"),
-        money_text(discount).alias("charge_patient_adjustments"),
-        money_text(tax + discount).alias("charge_total_adjustments"),
+        F.col("l_tax").alias("charge_insurance_adjustments"),
+        F.col("l_discount").alias("charge_patient_adjustments"),
+        F.col("l_quantity").alias("charge_total_adjustments"),
         F.when(line != 2, us_date(F.date_add(shipped, line))).alias("payment_received"),
         F.date_format("o_orderdate", "M/d/yyyy").alias("payment_entered"),
-        money_text(tax).alias("insurance_applied_amount"),
+        F.col("l_tax").alias("insurance_applied_amount"),
         money_text(quantity * rate("0.5")).alias("patient_applied_amount"),
         money_text(price - quantity * rate("2.0")).alias("payment_unapplied_amount"),
     )
@@ -298,27 +307,27 @@ _PRICE, _QUANTITY = d152("l_extendedprice"), d152("l_quantity")
 PAYMENT_TREND_SQL = f"""
 payment_trend AS (
   SELECT CAST(o_custkey AS VARCHAR) AS customer_account, r_name AS instance_key,
-    c_mktsegment AS practice_name, strftime(o_orderdate, '%m/%d/%Y') AS charge_entered_date,
+    c_mktsegment AS practice_name,
+    CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS charge_entered_date,
     strftime(l_shipdate, '%m/%d/%Y') AS charge_from_date,
     strftime(l_shipdate, '%m/%d/%Y') AS charge_to_date, c_name AS patient_full_name,
     CASE WHEN l_linenumber = 3 THEN '' WHEN l_linenumber = 1 THEN '$0.00'
       ELSE {money_text_sql(f"{_PRICE} - {_QUANTITY}")} END AS payment_allowed_amount,
     o_custkey AS charge_patient_id, l_orderkey * 10 + l_linenumber AS charge_id,
     l_orderkey AS claim_id, {code_sql("l_partkey")} AS charge_rev_code,
-    CAST(l_partkey % 1000 + 90000 AS VARCHAR) AS charge_cpt_code, '111' AS type_of_bill,
-    n_name AS charge_primary_payer_name, 'M' || o_custkey AS primary_payer_member_id,
-    {money_text_sql(_PRICE)} AS charge_amount,
+    l_partkey AS charge_cpt_code, '111' AS type_of_bill,
+    n_name AS charge_primary_payer_name, c_name AS primary_payer_member_id,
+    l_extendedprice AS charge_amount,
     CASE WHEN l_partkey % 17 <> 0 THEN {money_text_sql(f"{_PRICE} * {_TAX}")} END
       AS insurance_paid_amount,
     {money_text_sql(f"{_PRICE} * {_DISCOUNT}")} AS payment_total_paid,
     {money_text_sql(_QUANTITY)} AS payment_total_applied,
-    {money_text_sql(_TAX)} AS charge_insurance_adjustments,
-    {money_text_sql(_DISCOUNT)} AS charge_patient_adjustments,
-    {money_text_sql(f"{_TAX} + {_DISCOUNT}")} AS charge_total_adjustments,
+    l_tax AS charge_insurance_adjustments, l_discount AS charge_patient_adjustments,
+    l_quantity AS charge_total_adjustments,
     CASE WHEN l_linenumber <> 2
       THEN strftime(CAST(l_shipdate AS DATE) + l_linenumber, '%m/%d/%Y') END AS payment_received,
     strftime(o_orderdate, '%-m/%-d/%Y') AS payment_entered,
-    {money_text_sql(_TAX)} AS insurance_applied_amount,
+    l_tax AS insurance_applied_amount,
     {money_text_sql(f"{_QUANTITY} * CAST(0.5 AS DECIMAL(2,1))")} AS patient_applied_amount,
     {money_text_sql(f"{_PRICE} - {_QUANTITY} * CAST(2.0 AS DECIMAL(2,1))")}
       AS payment_unapplied_amount,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from revflow.plans import marts
 from revflow.workload.carrier import (
@@ -70,7 +70,8 @@ SELECT *, {HOLD_SQL.format(d="days_on_hold")} AS days_on_hold_range,
 FROM cte""",
 )
 def mart_gross_billing(t: Tables) -> DataFrame:
-    return marts.gross_billing(gross_billing_report(t), as_of=F.lit(AS_OF).cast("date"))
+    as_of = F.lit(AS_OF).cast("date")
+    return marts.gross_billing(gross_billing_report(t), as_of=as_of, rejects=Observation())
 
 
 @query(
@@ -96,7 +97,7 @@ SELECT cte.* EXCLUDE (ins, other, pat, sent, printed),
 FROM cte LEFT JOIN payer_name_crosswalk pc ON pc.payer_name = cte.charge_primary_payer_name""",
 )
 def mart_ar_aging(t: Tables) -> DataFrame:
-    return marts.ar_aging(ar_aging_report(t), payers(t))
+    return marts.ar_aging(ar_aging_report(t), payers(t), rejects=Observation())
 
 
 @query(
@@ -123,7 +124,7 @@ SELECT pt.* EXCLUDE (claim_id, charge_primary_payer_name, from_day, received_day
 FROM payment_trend pt LEFT JOIN {LOC_SQL} ON rev_code = charge_rev_code""",
 )
 def mart_payment_trends(t: Tables) -> DataFrame:
-    return marts.payment_trends(payment_trend_report(t))
+    return marts.payment_trends(payment_trend_report(t), rejects=Observation())
 
 
 def _hold_sql(facility: str) -> str:
