@@ -1,8 +1,8 @@
 """Types of text columns, decided over all rows in one aggregate.
 
 Every value is put into one class (missing, whole number, number, date,
-text) as a bit, and one ``bit_or`` per column collects the classes seen. The
-result is one small row, however many rows and columns there are.
+text) as a bit, and a ``bit_or`` per column collects the classes seen. The
+result is one small row per column, however many rows there are.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ MISSING, WHOLE, NUMBER, DATE, TEXT = 1, 2, 4, 8, 16
 
 # What counts as a number and as a date, and the reach of a
 # nanosecond time stamp, beyond which a date stays text.
-_WHOLE = r"^[+-]?\d+\z"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
 _DATE = r"^\d{1,2}/\d{1,2}/\d{4}\z"
 _FIRST_DATE, _LAST_DATE = "1677-09-22", "2262-04-11"
@@ -31,32 +30,41 @@ TYPE_NAMES = {
 
 
 def _class_of(c: Column) -> Column:
+    """Class of a value. Cheap tests go first: plain text is told by its first
+    character, a date by its slash, and only very long numbers are cast."""
     day = F.try_to_date(c, US_DATE)
+    fraction = c.contains(".") | c.contains("e") | c.contains("E")
+    whole = (F.length(c) < 19) | c.try_cast("bigint").isNotNull()
     return (
         F.when(c.isNull() | (c == ""), MISSING)
-        .when(c.rlike(_WHOLE), F.when(c.try_cast("bigint").isNull(), NUMBER).otherwise(WHOLE))
-        .when(c.rlike(_NUMBER), NUMBER)
-        .when(c.rlike(_DATE) & day.between(F.lit(_FIRST_DATE), F.lit(_LAST_DATE)), DATE)
+        .when(~F.ascii(c).between(ord("+"), ord("9")), TEXT)
+        .when(
+            c.contains("/"),
+            F.when(
+                c.rlike(_DATE) & day.between(F.lit(_FIRST_DATE), F.lit(_LAST_DATE)), DATE
+            ).otherwise(TEXT),
+        )
+        .when(c.rlike(_NUMBER), F.when(~fraction & whole, WHOLE).otherwise(NUMBER))
         .otherwise(TEXT)
     )
 
 
-def _type_of(
-    mask: Column, name: str, pinned: Sequence[str], skip_date_names: bool, blank_double: bool
-) -> Column:
-    if name in pinned:
-        return F.lit("text")
-    seen = mask.bitwiseAND(WHOLE | NUMBER | DATE | TEXT)
-    whole = F.lit("bigint")
-    if blank_double:
-        whole = F.when(mask.bitwiseAND(MISSING) != 0, "double precision").otherwise(whole)
-    numeric = F.lit(not (skip_date_names and "date" in name.lower()))
-    return (
-        F.when(numeric & (seen == WHOLE), whole)
-        .when(numeric & seen.isin(NUMBER, WHOLE | NUMBER), "double precision")
-        .when(seen == DATE, "date")
-        .otherwise("text")
+def _column_masks(df: DataFrame, text: list[int]) -> DataFrame:
+    """(position, mask) of every column; columns without rows or text have mask 0.
+
+    The values of a row are taken one after the other, so that the work is
+    one short loop however wide the frame is, and only one bit set per column
+    and task is shuffled.
+    """
+    masks = df.sparkSession.range(len(df.columns)).select(
+        F.col("id").cast("int").alias("position"), F.lit(0).alias("mask")
     )
+    if text:
+        values = F.array(*[ref(df.columns[i]) for i in text])
+        cells = df.select(F.posexplode(values).alias("nth", "value"))
+        position = F.get(F.array(*[F.lit(i) for i in text]), F.col("nth"))
+        masks = masks.unionAll(cells.select(position, _class_of(F.col("value"))))
+    return masks.groupBy("position").agg(F.bit_or("mask").alias("mask"))
 
 
 def infer_structure(
@@ -67,35 +75,43 @@ def infer_structure(
 ) -> DataFrame:
     """(position, column_name, data_type, all_missing) of a frame, lazily.
 
-    Columns that are not text keep their type (and have a NULL ``all_missing``). ``pinned`` columns stay text,
-    so that codes keep their leading zeros. The CSV reader types plain
-    numbers whatever their column is called; ``skip_date_names`` gives the
-    later promotion step by itself, which passes over names with ``date``.
-    ``blank_double`` makes whole numbers with missing values double.
+    Columns that are not text keep their type (and have a NULL ``all_missing``).
+    ``pinned`` columns stay text, so that codes keep their leading zeros. The
+    CSV reader types plain numbers whatever their column is called;
+    ``skip_date_names`` gives the later promotion step by itself, which passes
+    over names with ``date``. ``blank_double`` makes whole numbers with
+    missing values double.
     """
-    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    masks = df.agg(
-        F.lit(0).alias("_none"),
-        *[F.bit_or(_class_of(ref(c))).alias(f"m{i}") for i, c in enumerate(text)],
+    fields = list(df.schema)
+    text = [i for i, f in enumerate(fields) if isinstance(f.dataType, T.StringType)]
+    position, mask = F.col("position"), F.col("mask")
+
+    def of(values: list) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), position)
+
+    fixed = [
+        TYPE_NAMES.get(f.dataType, "text") if i not in text else "text" if f.name in pinned else None
+        for i, f in enumerate(fields)
+    ]
+    numeric = of([not (skip_date_names and "date" in f.name.lower()) for f in fields])
+    seen = mask.bitwiseAND(WHOLE | NUMBER | DATE | TEXT)
+    whole = F.lit("bigint")
+    if blank_double:
+        whole = F.when(mask.bitwiseAND(MISSING) != 0, "double precision").otherwise(whole)
+    inferred = (
+        F.when(numeric & (seen == WHOLE), whole)
+        .when(numeric & seen.isin(NUMBER, WHOLE | NUMBER), "double precision")
+        .when(seen == DATE, "date")
+        .otherwise("text")
+    )
+    return _column_masks(df, text).select(
+        "position",
+        of([f.name for f in fields]).alias("column_name"),
+        F.coalesce(of(fixed).cast("string"), inferred).alias("data_type"),
+        F.when(of([i in text for i in range(len(fields))]), mask.isin(0, MISSING)).alias(
+            "all_missing"
+        ),
     )
-    rows = []
-    for position, f in enumerate(df.schema):
-        if f.name in text:
-            mask = F.coalesce(F.col(f"m{text.index(f.name)}"), F.lit(0))
-            kind = _type_of(mask, f.name, pinned, skip_date_names, blank_double)
-            missing = mask.isin(0, MISSING)
-        else:
-            kind = F.lit(TYPE_NAMES.get(f.dataType, "text"))
-            missing = F.lit(None).cast("boolean")
-        rows.append(
-            F.struct(
-                F.lit(position).alias("position"),
-                F.lit(f.name).alias("column_name"),
-                kind.alias("data_type"),
-                missing.alias("all_missing"),
-            )
-        )
-    return masks.select(F.inline(F.array(*rows)))
 
 
 def structure(df: DataFrame) -> list[tuple[str, str]]:

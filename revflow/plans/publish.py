@@ -65,9 +65,7 @@ def run_sql_scripts(spark: SparkSession, folder: str) -> list[str]:
     The first failing statement ends the run. Returns the file names.
     """
     scripts = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", "*.sql")
-        .text(folder)
+        spark.read.text(folder, wholetext=True, pathGlobFilter="*.sql")
         .select(F.col("_metadata.file_name").alias("name"), "value")
         .orderBy("name")
         .collect()

@@ -87,9 +87,9 @@ def with_timestamps(
 
 
 def read_catalogue(spark: SparkSession, path: str) -> dict[str, SnapshotTable]:
-    """Catalogue from a script on any file system Spark can read."""
-    script = spark.read.option("wholetext", True).text(path).first()
-    return ddl_catalogue(script["value"])
+    """Catalogue from the scripts at a path, on any file system Spark can read."""
+    scripts = spark.read.text(path, wholetext=True, pathGlobFilter="*.sql").collect()
+    return ddl_catalogue("\n".join(script["value"] for script in scripts))
 
 
 def snapshot_files(spark: SparkSession, root: str) -> DataFrame:
