@@ -59,13 +59,13 @@ def statements(script: str) -> list[str]:
     return [part.strip() for part in script.split(";") if has_code(part)]
 
 
-def run_sql_scripts(spark: SparkSession, folder: str) -> list[str]:
-    """Run all ``*.sql`` files of a folder in the order of their names.
+def run_sql_scripts(spark: SparkSession, folder: str, pattern: str = "*.sql") -> list[str]:
+    """Run all matching files of a folder in the order of their names.
 
     The first failing statement ends the run. Returns the file names.
     """
     scripts = (
-        spark.read.text(folder, wholetext=True, pathGlobFilter="*.sql")
+        spark.read.text(folder, wholetext=True, pathGlobFilter=pattern)
         .select(F.col("_metadata.file_name").alias("name"), "value")
         .orderBy("name")
         .collect()

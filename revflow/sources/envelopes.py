@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from revflow.functions.names import distinct_names
@@ -21,6 +23,9 @@ from revflow.functions.xml import elements
 
 _BATCH = 4096
 
+# The functions below travel to the executors, which need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _members(blob: bytes) -> Iterator[tuple[str, list[str], list[str]]]:
     """(member, header, fields) of every record of the CSV members."""

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from revflow.plans.fetch import chosen_payloads, spool_reports
 from revflow.plans.flat_load import flat_report_tables, load_flat_reports
 from revflow.plans.load import load_reports
+from revflow.plans.publish import run_sql_scripts
 from revflow.plans.report_layouts import REPORT_LAYOUTS
 from revflow.plans.snapshot_load import load_snapshot
 from revflow.session import run_folder
@@ -225,3 +226,29 @@ def _snapshot_totals(t: Tables, root: str) -> DataFrame:
         F.lit("ACCOUNTS"), F.count("*"), F.lit(None), F.lit(None)
     )
     return loaded.unionAll(accounts_loaded)
+
+
+# ---- scripts ------------------------------------------------------------
+
+
+@query(
+    "published_scripts",
+    """SELECT c_mktsegment AS practice_name, o_orderstatus AS claim_status, count(*) AS claims
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL""",
+)
+def published_scripts(t: Tables) -> DataFrame:
+    """Two scripts, the second one over the first one's view, run in name order."""
+    folder = run_folder(t.spark, "scripts")
+    claims(t).createOrReplaceTempView("published_claims")
+    scripts = {
+        "1.sql": "-- base\nCREATE OR REPLACE TEMP VIEW published_base AS SELECT "
+        "c_mktsegment AS practice_name, o_orderstatus AS claim_status FROM published_claims;\n-- end",
+        "2.sql": "CREATE OR REPLACE TEMP VIEW published_counts AS SELECT practice_name, "
+        "claim_status, count(*) AS claims FROM published_base GROUP BY ALL;",
+    }
+    for name, text in scripts.items():
+        script = t.spark.range(1).select(F.lit(text).alias("value"))
+        script.coalesce(1).write.option("lineSep", "\n").text(f"{folder}/{name}")
+    for name in scripts:
+        run_sql_scripts(t.spark, f"{folder}/{name}", pattern="*.txt")
+    return t.spark.table("published_counts")

@@ -5,12 +5,17 @@ from __future__ import annotations
 import base64
 import csv
 import io
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
+# The zip function travels to the executors, which need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def csv_line(cells: Sequence[Column]) -> Column:
     """Quoted CSV record of text columns; NULL is an empty field."""
