@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from revflow.operators.quality import declared_lengths, enforce, load_audit, quality_gate
+from revflow.operators.quality import declared_lengths, load_audit
 from revflow.plans.report_layouts import REPORT_KEYS, REPORT_LAYOUTS
 from revflow.sinks.tables import full_refresh
 from revflow.sources.reports import repair_ragged
@@ -63,12 +63,15 @@ def load_flat_reports(
     Text longer than declared or a repeated key refuses the whole load.
     """
     frames, audit = flat_report_tables(spark, folder, layouts)
-    for df in frames.values():
-        enforce(quality_gate(df, max_length=declared_lengths(df.schema)))
     full_refresh(
         spark,
         {prefix + t: df for t, df in frames.items()},
         store,
         keys={prefix + t: k for t, k in keys.items()},
+        rules={
+            prefix + t: {"max_length": lengths}
+            for t, df in frames.items()
+            if (lengths := declared_lengths(df.schema))
+        },
     )
     return audit

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revflow.operators.quality import declared_lengths, enforce, quality_gate
+from revflow.operators.quality import declared_lengths
 from revflow.sinks.tables import append_unique, create_if_absent, row_counts
 from revflow.sources.snapshots import SnapshotTable, scan_snapshot, snapshot_files
 
@@ -42,8 +42,7 @@ def load_snapshot(
         table, key = prefix + name.lower(), catalogue[name].key
         create_if_absent(spark, table, df, store)
         lengths = declared_lengths(catalogue[name].schema)
-        if lengths:
-            enforce(quality_gate(df, max_length=lengths))
-        append_unique(spark, table, df, [key] if key else [], staging=store)
+        rules = {"max_length": lengths} if lengths else {}
+        append_unique(spark, table, df, [key] if key else [], staging=store, **rules)
         loaded.append(table)
     return row_counts(spark, loaded)

@@ -12,19 +12,27 @@ ROWS_PER_FILE = 1_000_000
 
 
 def write_report_csv(
-    df: DataFrame, root: str, report: str, instance: str | None = "instance_key"
+    df: DataFrame,
+    root: str,
+    report: str,
+    instance: str | None = "instance_key",
+    rebalance: bool = True,
 ) -> str:
     """Write ``{root}/{report}.csv`` with headers and return its path.
 
     With an instance column there is one folder per instance below it, and
     the column stays in the files. Rows are rebalanced by instance first:
     Spark splits an instance that holds much of the data over many files and
-    packs small ones, and a file never exceeds ``ROWS_PER_FILE`` rows.
+    packs small ones, and a file never exceeds ``ROWS_PER_FILE`` rows. With
+    ``rebalance=False`` that shuffle is saved and every task writes a file
+    per instance it holds, which suits few instances.
     """
     path = f"{root}/{report}.csv"
     writer_input = df
     if instance is not None:
-        writer_input = df.withColumn("instance", ref(instance)).hint("rebalance", "instance")
+        writer_input = df.withColumn("instance", ref(instance))
+        if rebalance:
+            writer_input = writer_input.hint("rebalance", "instance")
     writer = (
         writer_input.write.mode("overwrite")
         .option("header", True)

@@ -51,13 +51,16 @@ def full_refresh(
     frames: Mapping[str, DataFrame],
     root: str,
     keys: Mapping[str, Sequence[str]] | None = None,
+    rules: Mapping[str, Mapping] | None = None,
     check_schema: bool = True,
     partition_by: str | None = None,
 ) -> dict[str, int]:
     """Replace the contents of all tables, or of none. Returns rows per table.
 
-    ``keys`` names primary keys to check on the staged data. Tables that are
-    not in ``frames`` are not touched.
+    ``keys`` names primary keys, ``rules`` further arguments of the quality
+    gate per table. Both are checked on the staged data, so that a frame is
+    computed once and a check reads only its columns. Tables that are not in
+    ``frames`` are not touched.
     """
     if check_schema:
         require_schema(spark, frames)
@@ -67,9 +70,12 @@ def full_refresh(
         part = partition_by if partition_by in df.columns else None
         staged[table] = _location(root, table, load)
         rows[table] = _write(df, staged[table], part)
+        gate = dict((rules or {}).get(table, {}))
         key = (keys or {}).get(table)
         if key:
-            enforce(quality_gate(spark.read.parquet(staged[table]), key=key, not_null=key))
+            gate |= {"key": key, "not_null": [*key, *gate.get("not_null", [])]}
+        if gate:
+            enforce(quality_gate(spark.read.parquet(staged[table]), **gate))
     for table, df in frames.items():
         _point(spark, table, df, staged[table], partition_by if partition_by in df.columns else None)
     return rows
@@ -95,20 +101,29 @@ def _point(
 
 
 def append_unique(
-    spark: SparkSession, table: str, df: DataFrame, key: Sequence[str], staging: str | None = None
+    spark: SparkSession,
+    table: str,
+    df: DataFrame,
+    key: Sequence[str],
+    staging: str | None = None,
+    **rules,
 ) -> None:
     """Append rows to an existing table; a repeated key refuses the load.
 
     The key must be new to the table and occur once in the frame. Both are
     checked before a row reaches the table. With a staging folder the frame
-    is computed once, into that folder, and the checks read its key columns.
+    is computed once, into that folder, and the checks read only their
+    columns there. ``rules`` are further arguments of the quality gate.
     """
     if staging is not None:
         path = f"{staging}/append-{uuid.uuid4().hex[:12]}"
         _write(df, path)
         df = spark.read.schema(df.schema).parquet(path)
     if key:
-        enforce(quality_gate(df, key=key, not_null=key))
+        rules |= {"key": key, "not_null": [*key, *rules.get("not_null", [])]}
+    if rules:
+        enforce(quality_gate(df, **rules))
+    if key:
         known = spark.table(table).select(*[ref(c) for c in key])
         clash = df.select(*[ref(c) for c in key]).join(known, list(key), "left_semi")
         counted = clash.agg(F.count("*").alias("violations")).select(
