@@ -143,6 +143,14 @@ def unknown_runs(firsts: DataFrame, ledger: DataFrame) -> DataFrame:
     return _mark(firsts, _marks(with_instance(ledger), key, "_known"), key, "left_anti")
 
 
+def unseen_runs(firsts: DataFrame, stored: DataFrame) -> DataFrame:
+    """Runs that are not stored, or only with a later sighting."""
+    key = [*GROUP, "identifier"]
+    known = stored.select(*[F.col(c).alias(f"_{c}") for c in (*key, SEQUENCE)])
+    same = reduce(Column.__and__, [firsts[c] == known[f"_{c}"] for c in key])
+    return firsts.join(known, same & (known[f"_{SEQUENCE}"] <= firsts[SEQUENCE]), "left_anti")
+
+
 def classify_responses(
     responses: DataFrame, ledger: DataFrame | None = None, xml: str = "response"
 ) -> DataFrame:

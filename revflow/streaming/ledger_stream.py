@@ -3,7 +3,9 @@
 Each micro-batch is classified and its new runs are appended to a store with
 one folder per batch; a batch that is run again after a failure overwrites
 its own folder. The ledger is the fold over the store, so a batch never
-rewrites what earlier ones wrote.
+rewrites what earlier ones wrote. Files that land together may be taken in
+any order: a run seen again with a lower sequence number is stored once more,
+and the fold takes the lowest, as the batch ledger does.
 """
 
 from __future__ import annotations
@@ -15,9 +17,9 @@ from revflow.operators.ledger import (
     GROUP,
     SEQUENCE,
     first_sightings,
-    newest_active,
     parse_responses,
-    unknown_runs,
+    report_ledger,
+    unseen_runs,
 )
 
 LANDING_SCHEMA = (
@@ -40,7 +42,7 @@ def _registrar(store: str):
         fresh = first_sightings(parse_responses(batch), F.col("outcome").isNull())
         if batch_id > 0:
             earlier = stored_runs(spark, store).filter(F.col("batch") < batch_id)
-            fresh = unknown_runs(fresh, earlier)
+            fresh = unseen_runs(fresh, earlier)
         fresh.select(*GROUP, "identifier", SEQUENCE).write.mode("overwrite").parquet(
             f"{store}/batch={batch_id}"
         )
@@ -71,4 +73,4 @@ def start_ledger_stream(
 
 def stream_ledger(spark: SparkSession, store: str) -> DataFrame:
     """Ledger of all runs the stream has registered."""
-    return newest_active(stored_runs(spark, store).select(*GROUP, "identifier", SEQUENCE))
+    return report_ledger(stored_runs(spark, store).select(*GROUP, "identifier", SEQUENCE))

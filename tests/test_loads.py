@@ -287,3 +287,5 @@ def test_stream_resumes_and_ignores_known_runs(spark, tmp_path):
     land(landing, "3.json", (6, xml(identifier="x2")), (7, xml(message="still running")))
     assert take_in() == {("x1", 1, 0), ("x2", 4, 1)}
     assert take_in() == {("x1", 1, 0), ("x2", 4, 1)}
+    land(landing, "4.json", (3, xml(identifier="x2")), (2, xml(identifier="x3")))
+    assert take_in() == {("x1", 1, 0), ("x2", 3, 1), ("x3", 2, 0)}
