@@ -157,8 +157,9 @@ def union_accounts(frames: Sequence[DataFrame], by_position: bool = False) -> Da
 
     Aligned by name: a column some account lacks is NULL there, a column only
     later accounts have is dropped. By position: rows are cut or padded with
-    NULL to the first one's width.
+    NULL to the first one's width. Frames without columns do not count.
     """
+    frames = [df for df in frames if df.columns]
     head = frames[0].columns
 
     def fit(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from revflow.operators.ledger import active_reports
+from revflow.operators.ledger import active_reports, report_names
 from revflow.operators.shape import tenant_columns
 from revflow.sinks.files import write_report_csv
 from revflow.sources.envelopes import decode_envelopes, records_by_name, records_by_position
@@ -36,11 +36,26 @@ def report_rows(
     return tenant_columns(rows, rows["customer_account"], rows["instance_key"])
 
 
+def delivered_header(payloads: DataFrame, report: str) -> list[str]:
+    """Header cells of a report as its first envelope with records has them."""
+    chosen = payloads.filter(payloads["report_name"] == report)
+    first = decode_envelopes(chosen, "xml", _IDS).select("header").first()
+    return [] if first is None else [cell.strip() for cell in first["header"]]
+
+
 def spool_reports(
-    payloads: DataFrame, headers: dict[str, Sequence[str]], root: str
+    payloads: DataFrame, root: str, headers: dict[str, Sequence[str]] | None = None
 ) -> dict[str, str]:
-    """Write each report as CSV per instance; returns report to path."""
+    """Write each report as CSV per instance; returns report to path.
+
+    Without given headers every report among the payloads is spooled under
+    its delivered header. A report without records is not written.
+    """
+    if headers is None:
+        names = report_names(payloads).collect()
+        headers = {r.report_name: delivered_header(payloads, r.report_name) for r in names}
     return {
         report: write_report_csv(report_rows(payloads, report, header), root, report)
         for report, header in headers.items()
+        if header
     }

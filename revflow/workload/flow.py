@@ -79,13 +79,15 @@ def spool_envelopes(t: Tables) -> DataFrame:
     )
     instance = F.concat(F.lit("I"), (F.col("account").cast("bigint") % 3).cast("string"))
     runs = F.explode(F.array(F.lit("old"), F.lit("new")))
-    payloads = envelopes(records).select(
+    landed = run_folder(t.spark, "payloads")
+    envelopes(records).select(
         F.col("account").alias("customer_account"),
         instance.alias("instance_key"),
         F.lit("Open Claims").alias("report_name"),
         runs.alias("identifier"),
         "xml",
-    )
+    ).write.parquet(landed)
+    payloads = t.spark.read.parquet(landed)
     ledger = payloads.select(
         "customer_account",
         "instance_key",
@@ -99,9 +101,7 @@ def spool_envelopes(t: Tables) -> DataFrame:
         .alias("status"),
     ).distinct()
     chosen = chosen_payloads(payloads, ledger)
-    paths = spool_reports(
-        chosen, {"Open Claims": ["Claim ID", "Status"]}, run_folder(t.spark, "spool")
-    )
+    paths = spool_reports(chosen, run_folder(t.spark, "spool"))
     return scan_report_csv(t.spark, paths["Open Claims"], recursive=True)
 
 

@@ -88,8 +88,10 @@ _BOTH_SQL = "(SELECT * FROM runs UNION ALL SELECT * FROM new_runs)"
     f"""WITH {RUNS_SQL}, {_NEW_SQL}, {ledger_sql(_BOTH_SQL)} SELECT * FROM ledger""",
 )
 def ledger_upsert(t: Tables) -> DataFrame:
-    """A ledger after further runs equals the ledger of all runs."""
-    return upsert_ledger(report_ledger(runs(t)), _new_runs(t))
+    """A stored ledger after further runs equals the ledger of all runs."""
+    stored = run_folder(t.spark, "ledger")
+    report_ledger(runs(t)).write.parquet(stored)
+    return upsert_ledger(t.spark.read.parquet(stored), _new_runs(t))
 
 
 _ACTIVE_SQL = """

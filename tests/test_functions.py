@@ -2,6 +2,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from revflow import functions as fn
@@ -115,3 +116,13 @@ def test_statement_bucket(spark):
     assert values(spark, counts, "double", fn.statement_bucket) == [
         few, few, mid, mid, None, many, many, most, None,
     ]
+
+
+amounts = st.decimals(min_value=-(10**12), max_value=10**12, places=2)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(amounts, min_size=20, max_size=60))
+def test_money_reads_back_what_was_printed(spark, numbers):
+    printed = [f"${n:,.2f}" if i % 2 else f"{n:.2f}" for i, n in enumerate(numbers)]
+    assert values(spark, printed, "string", fn.money) == numbers

@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from revflow.plans.fetch import chosen_payloads, spool_reports
 from revflow.sources.envelopes import decode_envelopes, records_by_name, records_by_position
 from revflow.sources.reports import (
     collapse_repeats,
@@ -139,6 +140,31 @@ def test_envelopes(spark):
     assert ("s", "b", "a") in rows(placed)
 
 
+def test_spooling_of_active_runs(spark, tmp_path):
+    rows_ = [
+        ("1", "i1", "open", "x1", envelope(a_csv="A,B\n1,2\n")),
+        ("1", "i1", "open", "x0", envelope(a_csv="A,B\n8,9\n")),
+        ("2", "i2", "open", "x2", envelope(a_csv="B,A\n4,3\n")),
+        ("2", "i2", "hollow", "x3", "<R/>"),
+    ]
+    payloads = spark.createDataFrame(
+        rows_,
+        "customer_account string, instance_key string, report_name string, identifier string, xml string",
+    )
+    ledger = payloads.select(
+        "customer_account", "instance_key", "report_name", "identifier",
+        F.lit(1).cast("bigint").alias("sequence"),
+        F.when(F.col("identifier") == "x0", 0).otherwise(1).alias("status"),
+    )
+    paths = spool_reports(chosen_payloads(payloads, ledger), str(tmp_path))
+    assert list(paths) == ["open"]
+    first = csv_header(spark, paths["open"], recursive=True)
+    assert first[:2] == ["customer_account", "instance_key"] and set(first[2:]) == {"A", "B"}
+    df = scan_report_csv(spark, paths["open"], recursive=True)
+    got = df.select("customer_account", "instance_key", "a", "b")
+    assert sorted(rows(got)) == [("1", "i1", "1", "2"), ("2", "i2", "3", "4")]
+
+
 # ---- snapshots ----------------------------------------------------------
 
 SCRIPT = """CREATE TABLE ONE (
