@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from revflow.functions.names import distinct_names
 from revflow.functions.text import trim_all, trim_to_null
-from revflow.functions.xml import elements
+from revflow.functions.xml import elements, is_broken
 
 _BATCH = 4096
 
@@ -29,6 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def _members(blob: bytes) -> Iterator[tuple[str, list[str], list[str]]]:
     """(member, header, fields) of every record of the CSV members."""
+    csv.field_size_limit(2**31 - 1)  # whole texts, also beyond the default 128 KiB
     with zipfile.ZipFile(io.BytesIO(blob)) as archive:
         for info in archive.infolist():
             if not info.filename.endswith(".csv"):
@@ -76,11 +77,25 @@ def envelope_zip(xml: Column) -> Column:
     return F.when(F.length(F.trim(data)) > 0, F.try_to_binary(data, F.lit("base64")))
 
 
+def broken_envelopes(payloads: DataFrame, xml: str) -> DataFrame:
+    """Payloads that decoding passes over though they are no empty answers.
+
+    Their XML cannot be read, or their ``Data`` is no base64.
+    """
+    parsed = elements(F.col(xml), "Data")
+    return payloads.filter(
+        is_broken(parsed)
+        | ((F.length(F.trim(parsed["Data"])) > 0) & envelope_zip(F.col(xml)).isNull())
+    )
+
+
 def decode_envelopes(payloads: DataFrame, xml: str, ids: Sequence[str]) -> DataFrame:
     """(ids..., member, header, fields): one row per CSV record of each payload.
 
-    ``ids`` are text columns that say where a payload came from. Spread the
-    payload table over enough partitions first if its files are few.
+    ``ids`` are text columns that say where a payload came from. Payloads
+    without data have no records; ``broken_envelopes`` tells the unreadable
+    ones. Spread the payload table over enough partitions first if its files
+    are few.
     """
     zipped = payloads.select(
         *[F.col(c).cast("string").alias(c) for c in ids], envelope_zip(F.col(xml)).alias("_zip")

@@ -24,7 +24,7 @@ from revflow.sources.reports import (
     scan_pipe_dat,
     scan_report_csv,
 )
-from revflow.sources.snapshots import ddl_catalogue, lineage, scan_snapshot, time_label
+from revflow.sources.snapshots import ddl_catalogue, scan_snapshot, time_label
 from revflow.workload.carrier import accounts, d152, dec
 from revflow.workload.landing import csv_line, envelopes, write_files_with_header
 from revflow.workload.registry import Tables, query

@@ -116,7 +116,8 @@ _DAY = "strftime(o_orderdate, '%-m/%-d/%Y')"
 _TEXT_SQL = f"""(SELECT CAST(o_orderkey AS VARCHAR) AS claim_id,
     CAST({d152("o_totalprice")} AS VARCHAR) AS total,
     CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE '' END AS account,
-    {_DAY} AS entered, CASE WHEN o_orderkey % 97 = 0 THEN '2/30/2024' ELSE {_DAY} END AS bad_date,
+    {_DAY} AS entered,
+    CASE WHEN o_orderkey % 97 = 0 THEN '2/30/2024' ELSE {_DAY} END AS bad_date,
     CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE {_DAY} END AS billed_date,
     lpad(CAST(o_orderkey % 1000 AS VARCHAR), 4, '0') AS rev_code,
     lpad(CAST(o_orderkey % 1000 AS VARCHAR), 4, '0') AS pinned_code,

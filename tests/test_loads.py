@@ -202,6 +202,21 @@ def test_load_reports(spark, tmp_path):
     assert spark.table("load_test.gross").count() == 2
 
 
+def test_delivered_report_is_conformed(spark, tmp_path):
+    """One listed column is missing, one is delivered twice, one is unknown."""
+    put(
+        tmp_path / "Write-off Trend.csv",
+        "Patient Total Credits,Patient Ins Credits,Patient Total Credits,customer_account,"
+        "instance_key,New Thing\n1,2,3,4,i,x\n",
+    )
+    df = report_tables(spark, str(tmp_path))["write_off_trend"]
+    assert df.columns == [
+        "customer_account", "instance_key", "patient_total_credits", "patient_ins_credits",
+        "patient_credits", "patient_total_credits_1", "patient_total_credits_1_1", "new_thing",
+    ]
+    assert rows(df) == [(4, "i", 1, 2, "", 1, 3, "x")]
+
+
 def test_register_marts_with_own_crosswalk(spark, tmp_path):
     columns = (
         "customer_account instance_key practice_name charge_primary_payer_name "

@@ -8,7 +8,12 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from revflow.plans.fetch import chosen_payloads, spool_reports
-from revflow.sources.envelopes import decode_envelopes, records_by_name, records_by_position
+from revflow.sources.envelopes import (
+    broken_envelopes,
+    decode_envelopes,
+    records_by_name,
+    records_by_position,
+)
 from revflow.sources.reports import (
     collapse_repeats,
     csv_header,
@@ -117,10 +122,12 @@ def envelope(**members):
 def test_envelopes(spark):
     good = envelope(a_csv=' A , B,A\r\n 1 ,"x\ny",3\r\n2\r\n', b_csv="", c_txt="A\n9\n")
     swapped = envelope(a_csv="B,A\nb,a\n")
+    long = envelope(a_csv="A\n" + "z" * 200_000 + "\n")
     payloads = spark.createDataFrame(
         [
             ("g", good),
             ("s", swapped),
+            ("z", long),
             ("n", "<R/>"),
             ("e", "<R><Data></Data></R>"),
             ("broken", "<R><Data>"),
@@ -128,6 +135,7 @@ def test_envelopes(spark):
         ],
         "id string, xml string",
     )
+    assert {r.id for r in broken_envelopes(payloads, "xml").collect()} == {"broken", "base"}
     decoded = decode_envelopes(payloads, "xml", ["id"])
     named = records_by_name(decoded, ["A", "B", "A"], keep=["id"])
     assert named.columns == ["id", "A", "B", "A.1"]
@@ -135,6 +143,7 @@ def test_envelopes(spark):
         ("g", "1", "x\ny", "3"),
         ("g", "2", None, None),
         ("s", "a", "b", None),
+        ("z", "z" * 200_000, None, None),
     ]
     placed = records_by_position(decoded, ["x", "y"], keep=["id"])
     assert ("s", "b", "a") in rows(placed)
