@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from revflow.llm import exact_dedup, packing
+from revflow.llm import exact_dedup, packing, token_counts
 from revflow.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,15 @@ def _query(f):
     return f
 
 
+@_query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counted = token_counts.count_tokens(docs, _vocabulary("piece_bpe_32k.model"), budget=4096, store=False)
+    return counted.select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"), F.col("fit_points").alias("limit_points")
+    )
+
+
 @_query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
