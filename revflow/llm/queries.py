@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revflow.llm import exact_dedup, minhash, packing, token_counts
+from revflow.llm import decontamination, exact_dedup, minhash, packing, token_counts
 from revflow.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,39 @@ WITH RECURSIVE w AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
 FROM documents d LEFT JOIN n USING (doc_id) JOIN m ON m.node = d.doc_id
 """
+
+
+@_query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), words=10, k=5)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLE["op7_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), iw AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS m, unnest(list_transform(range(1, greatest(len(ws) - 9, 1) + 1), lambda i: array_to_string(list_slice(ws, i, i + 9), ' '))) AS g
+  FROM b WHERE len(ws) > 0
+), m AS (SELECT DISTINCT m FROM iw
+), dp AS (
+  SELECT r, m, ws, unnest(range(1, len(ws) - m + 2)) AS i FROM d, m WHERE len(ws) >= m
+), dw AS (SELECT r, m, i, array_to_string(list_slice(ws, i, i + m - 1), ' ') AS g FROM dp
+), h AS (SELECT DISTINCT dw.r, dw.i, dw.m, iw.item_id FROM dw JOIN iw ON dw.g = iw.g AND dw.m = iw.m
+), hit AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + m)) AS p FROM h) GROUP BY r
+), its AS (SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, item_id FROM h) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items,
+       sha256(coalesce(its.ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
+"""
