@@ -21,6 +21,8 @@ table on either side is allowed. Other columns of either table are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,23 +40,32 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(low, _GAP), lambda w: w != "")
 
 
-def _runs(words: Column, k: int | Column) -> Column:
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, also where ``use`` has lambdas that read it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _runs(words: Column, k: int) -> Column:
     """Hashes of all runs of k words, in order."""
-    n = F.size(words) - k + 1
-    return F.when(
-        n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, k)))
-    ).otherwise(F.array().cast("array<bigint>"))
+    return _let(
+        words,
+        lambda w: F.when(
+            F.size(w) >= k, F.transform(F.sequence(F.lit(1), F.size(w) - k + 1), lambda i: F.xxhash64(F.slice(w, i, k)))
+        ).otherwise(F.array().cast("array<bigint>")),
+    )
 
 
 def _kept(hashes: Column, width: int) -> Column:
     """The distinct minima of all windows of hashes."""
-    n = F.size(hashes) - width + 1
-    return F.when(
-        n > 0,
-        F.array_distinct(
-            F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.array_min(F.slice(hashes, i, width)))
-        ),
-    ).otherwise(F.array().cast("array<bigint>"))
+    return _let(
+        hashes,
+        lambda h: F.when(
+            F.size(h) >= width,
+            F.array_distinct(
+                F.transform(F.sequence(F.lit(1), F.size(h) - width + 1), lambda i: F.array_min(F.slice(h, i, width)))
+            ),
+        ).otherwise(F.array().cast("array<bigint>")),
+    )
 
 
 def contaminated(
@@ -67,7 +78,7 @@ def contaminated(
     item_id: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted ids) for each row of ``docs``.
+    """doc_id, n_words, n_hit, items (sorted ids), spots (places of hit words, from 0) for each row of ``docs``.
 
     ``words`` is the length of a window, ``k`` that of the hashed grams.
     """
@@ -77,103 +88,112 @@ def contaminated(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # rows with the same id and text share one key, and one result
     key = [F.col("doc_id").alias("key_id"), F.xxhash64("text").alias("key_text")]
+    empty = F.array().cast("array<bigint>")
     bench = stored(
-        items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item_id"), words_of(F.col(item_text)).alias("item_words"))
-        .filter(F.size("item_words") > 0)
-        .distinct(),
+        items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item_id"), words_of(F.col(item_text)).alias("words"))
+        .filter(F.size("words") > 0)
+        .distinct()
+        .withColumn("runs", F.when(F.size("words") >= words, _runs(F.col("words"), k)).otherwise(empty))
+        .select(
+            F.monotonically_increasing_id().alias("item"),
+            "item_id",
+            "words",
+            "runs",
+            F.when(F.size("words") >= words, _kept(F.col("runs"), width)).otherwise(F.array(F.xxhash64("words"))).alias("kept"),
+        ),
         "items",
     )
-    short = [r[0] for r in bench.filter(F.size("item_words") < words).select(F.size("item_words")).distinct().collect()]
-    prints = stored(
-        bench.select(
-            F.explode(
-                F.when(F.size("item_words") >= words, _kept(_runs(F.col("item_words"), k), width)).otherwise(
-                    F.array(F.xxhash64("item_words"))
-                )
-            ).alias("print")
-        ).distinct(),
-        "item-prints",
-    )
+    short = [r[0] for r in bench.filter(F.size("words") < words).select(F.size("words")).distinct().collect()]
+    prints = stored(bench.select("item", F.explode("kept").alias("print")), "item-prints")
     # fingerprints of documents; runs as long as a short item (there are fewer than ``words`` lengths) are all kept
-    worded = rows.withColumn("words", words_of(F.col("text")))
+    worded = rows.select(*key, words_of(F.col("text")).alias("words"))
     kept = _kept(_runs(F.col("words"), k), width)
     if short:
         kept = F.array_distinct(F.concat(kept, *[_runs(F.col("words"), n) for n in sorted(short)]))
-    marked = stored(worded.select(*key, F.size("words").cast("long").alias("n_words"), kept.alias("prints")), "doc-prints")
-    hits = (
+    marked = stored(worded.select("key_id", "key_text", F.size("words").cast("long").alias("n_words"), kept.alias("prints")), "prints")
+    hits = stored(
         marked.select("key_id", "key_text", F.explode("prints").alias("print"))
-        .join(small_side(prints, 8), "print", "left_semi")
-        .groupBy("key_id", "key_text")
-        .agg(F.collect_set("print").alias("found"))
+        .join(small_side(prints, 16), "print")
+        .select("key_id", "key_text", "item")
+        .distinct(),
+        "hits",
     )
-    hits = stored(hits, "hits")
-    pairs = _occurrences(worded.select(*key, "words"), hits, bench, words, k, width)
-    spots = (
-        pairs.groupBy("key_id", "key_text")
-        .agg(
-            F.array_sort(F.collect_set("item_id")).alias("items"),
-            F.size(F.array_distinct(F.flatten(F.collect_set("spots")))).cast("long").alias("n_hit"),
-        )
+    met = (
+        hits.join(small_side(bench, 2048), "item")
+        .groupBy(F.col("key_id").alias("met_id"), F.col("key_text").alias("met_text"))
+        .agg(F.collect_list(F.struct("item_id", "words", "runs", "kept")).alias("items"))
+    )
+    met = stored(met, "met")
+    same = worded["key_id"].eqNullSafe(met["met_id"]) & (worded["key_text"] == met["met_text"])
+    found = worded.join(small_side(met, 16384), same).dropDuplicates(["key_id", "key_text"])  # equal rows need one look
+    looked = found.withColumn("d_runs", _runs(F.col("words"), k)).select(
+        "met_id", "met_text", _occurrences(F.col("words"), F.col("d_runs"), F.col("items"), words).alias("seen")
     )
-    same = marked["key_id"].eqNullSafe(spots["key_id"]) & (marked["key_text"] == spots["key_text"])
+    spots = looked.withColumn("seen", F.filter("seen", lambda x: F.size(x["spots"]) > 0)).select(
+        "met_id",
+        "met_text",
+        F.array_sort(F.array_distinct(F.col("seen.item_id"))).alias("items"),
+        F.size(F.array_distinct(F.flatten(F.col("seen.spots")))).cast("long").alias("n_hit"),
+        F.array_sort(F.array_distinct(F.flatten(F.col("seen.spots")))).alias("spots"),
+    )
+    same = marked["key_id"].eqNullSafe(spots["met_id"]) & (marked["key_text"] == spots["met_text"])
     return marked.join(spots, same, "left").select(
-        marked["key_id"].alias("doc_id"),
+        F.col("key_id").alias("doc_id"),
         "n_words",
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce("spots", F.array().cast("array<int>")).alias("spots"),
     )
 
 
-def _occurrences(docs: DataFrame, hits: DataFrame, bench: DataFrame, words: int, k: int, width: int) -> DataFrame:
-    """key_id, key_text, item_id, spots: the document's words inside occurrences of the item's windows, per offset."""
-    hits = hits.withColumnsRenamed({"key_id": "h_id", "key_text": "h_text"})
-    same = docs["key_id"].eqNullSafe(hits["h_id"]) & (docs["key_text"] == hits["h_text"])
-    # equal rows need one look only
-    found = docs.join(small_side(hits, 64), same).drop("h_id", "h_text").dropDuplicates(["key_id", "key_text"])
-    docs_at = found.withColumn("d_runs", _runs(F.col("words"), k)).select(
-        "key_id", "key_text", "words", "d_runs", F.explode("found").alias("print")
-    )
-    items_at = bench.withColumn("i_runs", _runs(F.col("item_words"), k))
-    long_items = items_at.filter(F.size("item_words") >= words).select(
-        "item_id", "item_words", "i_runs", F.explode(_kept(F.col("i_runs"), width)).alias("print")
-    )
-    places = lambda runs: F.filter(
-        F.sequence(F.lit(0), F.size(runs) - 1), lambda i: F.get(runs, i) == F.col("print")
-    )
-    offsets = F.array_distinct(
-        F.flatten(F.transform(places(F.col("d_runs")), lambda p: F.transform(places(F.col("i_runs")), lambda q: p - q)))
-    )
-    by_offset = (
-        docs_at.join(long_items, "print")
-        .select("key_id", "key_text", "words", "item_id", "item_words", F.explode(offsets).alias("offset"))
-        .dropDuplicates(["key_id", "key_text", "item_id", "item_words", "offset"])
-    )
-    # along an offset, word q of the item lies on word offset + q of the document
-    low = F.greatest(F.lit(0), -F.col("offset"))
-    high = F.least(F.size("item_words"), F.size("words") - F.col("offset"))
-    equal = F.transform(F.sequence(low, high - 1), lambda q: F.get("item_words", q) == F.get("words", q + F.col("offset")))
-    aligned = by_offset.select("key_id", "key_text", "item_id", (low + F.col("offset")).alias("at"), equal.alias("equal"))
-    whole = lambda i: F.forall(F.slice("equal", i + 1, words), lambda x: x)
-    starts = F.filter(
-        F.sequence(F.lit(0), F.greatest(F.size("equal") - words, F.lit(0))), lambda i: (i + words <= F.size("equal")) & whole(i)
-    )
-    spots = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.sequence(F.col("at") + i, F.col("at") + i + words - 1))))
-    of_long = aligned.select("key_id", "key_text", "item_id", spots.alias("spots")).filter(F.size("spots") > 0)
+def _occurrences(words: Column, runs: Column, items: Column, length: int) -> Column:
+    """For each item its id and the places of the words inside occurrences of its windows."""
+
+    def along(offset: Column, item: Column) -> Column:
+        # word q of the item lies on word offset + q of the document
+        low = F.greatest(F.lit(0), -offset)
+        high = F.least(F.size(item["words"]), F.size(words) - offset)
+        equal = F.transform(F.sequence(low, high - 1), lambda q: F.get(item["words"], q) == F.get(words, q + offset))
+        return _let(
+            equal,
+            lambda e: F.when(
+                F.size(e) >= length,
+                F.flatten(
+                    F.transform(
+                        F.filter(
+                            F.sequence(F.lit(0), F.size(e) - length), lambda i: F.forall(F.slice(e, i + 1, length), lambda x: x)
+                        ),
+                        lambda i: F.sequence(low + offset + i, low + offset + i + length - 1),
+                    )
+                ),
+            ).otherwise(F.array().cast("array<int>")),
+        )
 
-    short_items = bench.filter(F.size("item_words") < words).select("item_id", "item_words", F.xxhash64("item_words").alias("print"))
-    m = F.size("item_words")
-    begins = F.filter(
-        F.sequence(F.lit(0), F.greatest(F.size("words") - m, F.lit(0))), lambda i: F.slice("words", i + 1, m) == F.col("item_words")
-    )
-    of_short = (
-        docs_at.select("key_id", "key_text", "words", "print")
-        .join(short_items, "print")
-        .select(
-            "key_id",
-            "key_text",
-            "item_id",
-            F.array_distinct(F.flatten(F.transform(begins, lambda i: F.sequence(i, i + m - 1)))).alias("spots"),
+    def of_long(item: Column) -> Column:
+        seeds = F.filter(F.sequence(F.lit(0), F.size(runs) - 1), lambda p: F.array_contains(item["kept"], F.get(runs, p)))
+        offsets = F.array_distinct(
+            F.flatten(
+                F.transform(
+                    seeds,
+                    lambda p: F.transform(
+                        F.filter(F.sequence(F.lit(0), F.size(item["runs"]) - 1), lambda q: F.get(item["runs"], q) == F.get(runs, p)),
+                        lambda q: p - q,
+                    ),
+                )
+            )
         )
-        .filter(F.size("spots") > 0)
+        return F.flatten(F.transform(offsets, lambda o: along(o, item)))
+
+    def of_short(item: Column) -> Column:
+        m = F.size(item["words"])
+        begins = F.filter(
+            F.sequence(F.lit(0), F.greatest(F.size(words) - m, F.lit(0))), lambda i: F.slice(words, i + 1, m) == item["words"]
+        )
+        return F.flatten(F.transform(begins, lambda i: F.sequence(i, i + m - 1)))
+
+    places = lambda item: F.when(
+        F.size(item["words"]) < length, of_short(item)
+    ).when(F.size(runs) > 0, of_long(item)).otherwise(F.array().cast("array<int>"))
+    return F.transform(
+        items, lambda item: F.struct(item["item_id"].alias("item_id"), F.array_distinct(places(item)).alias("spots"))
     )
-    return of_long.union(of_short)
