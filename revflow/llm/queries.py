@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revflow.llm import decontamination, exact_dedup, minhash, packing, token_counts
+from revflow.llm import decontamination, exact_dedup, minhash, packing, repeats, token_counts
 from revflow.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,30 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_h
        sha256(coalesce(its.ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
 """
+
+
+@_query
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"), length=20)
+    lengths = F.transform("removed", lambda r: r["end"] - r["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+ORACLE["op2_repeats"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), p AS (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d WHERE len(ws) >= 20
+), w AS (SELECT r, doc_id, i, sha256(array_to_string(list_slice(ws, i, i + 19), ' ')) AS g FROM p
+), f AS (SELECT *, min(struct_pack(d := coalesce(doc_id, 9223372036854775807), i := i)) OVER (PARTITION BY g) AS m FROM w
+), again AS (SELECT r, i FROM f WHERE struct_pack(d := coalesce(doc_id, 9223372036854775807), i := i) > m
+), gone AS (SELECT DISTINCT r, unnest(range(i, i + 20)) AS p FROM again
+), x AS (SELECT r, doc_id, len(ws) AS n, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM d
+), k AS (SELECT x.r, count(*) AS n, string_agg(word, ' ' ORDER BY x.p) AS t FROM x ANTI JOIN gone ON gone.r = x.r AND gone.p = x.p GROUP BY x.r)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, len(ws) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
