@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revflow.llm import decontamination, exact_dedup, minhash, packing, repeats, token_counts
-from revflow.llm.tables import table
+from revflow.llm import decontamination, exact_dedup, katz, minhash, packing, repeats, token_counts
+from revflow.llm.tables import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -142,3 +142,11 @@ WITH d AS (
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, len(ws) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (r)
 """
+
+
+@_query
+def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = katz.katz_scores(table(spark, sf_dir, "documents"), crc_of_id(7) != 2, order=2)
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
