@@ -220,8 +220,10 @@ def range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
 
 def cut(keys: np.ndarray, ranges: int) -> list[tuple[int, int, int]]:
     """(range, from, to) of sorted keys; empty ranges are left out."""
+    if not len(keys):
+        return []
     place = range_of(keys, ranges)
-    first = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(keys) else np.empty(0, np.int64)
+    first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
     return [(int(place[a]), int(a), int(b)) for a, b in zip(first, np.append(first[1:], len(keys)), strict=True)]
 
 
@@ -238,4 +240,4 @@ def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order that sorts keys, and where each distinct key begins in it."""
     order = np.argsort(keys, kind="stable")
     inn = keys[order]
-    return order, np.flatnonzero(np.append(True, inn[1:] != inn[:-1])) if len(inn) else np.empty(0, np.int64)
+    return order, np.flatnonzero(np.append(True, inn[1:] != inn[:-1]))[: len(inn)]

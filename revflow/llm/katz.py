@@ -150,9 +150,10 @@ class _View:
         return out, speaks
 
     def contexts(self, order: int, answers: dict):
-        """Contexts of candidates of this order: keys in order, and number of each candidate's context."""
-        at = self.candidates(order, answers)
-        return np.unique(self.grams(order - 1, at - 1), return_inverse=True)
+        """Tokens whose context may have kept n-grams, the distinct contexts in order, and each token's context."""
+        good = self.counts(order - 1, answers)[0] >= self.model.least
+        at = np.flatnonzero(good[:-1] & (self.depth[1:] >= order - 1)) + 1
+        return at, *np.unique(self.grams(order - 1, at - 1), return_inverse=True)
 
     def probabilities(self, order: int, answers: dict) -> np.ndarray:
         """P(token | up to order - 1 tokens before it), evaluated from the lower orders up."""
@@ -164,27 +165,17 @@ class _View:
         return p
 
     def backed_off(self, n: int, lower: np.ndarray, answers: dict) -> np.ndarray:
+        """Probabilities of order n from those of the order below; contexts without kept n-grams have weight one."""
         m = self.model
-        at = self.candidates(n, answers)
+        at, keys, number = self.contexts(n, answers)
         if not len(at):
             return lower
-        keys, number = self.contexts(n, answers)
         weight = np.concatenate([a[0] for a in gather(answers[_weight_step(n)], keys, m.ranges)])[number]
         out = lower.copy()
-        # contexts outside the candidates have no kept n-gram, so their weight is one; contexts of candidates
-        # are shared by tokens that are no candidates themselves, so the weight is looked up for all of these
-        context = np.zeros(len(self.tokens), np.uint64)
-        inner = np.flatnonzero(self.depth >= n - 1)
-        context[inner] = self.grams(n - 1, inner - 1)
-        place = np.searchsorted(keys, context[inner])
-        place[place == len(keys)] = 0
-        known = keys[place] == context[inner]
-        by_key = np.ones(len(keys))
-        by_key[number] = weight
-        out[inner[known]] = lower[inner[known]] * np.abs(by_key[place[known]])
-        count, own = self.counts(n, answers)[0][at], self.counts(n - 1, answers)[0][at - 1]
+        out[at] *= np.abs(weight)
+        count = self.counts(n, answers)[0][at]
         kept = count >= m.least
-        share = m.discounts[n].of(count) * count / (own + (weight < 0))
+        share = m.discounts[n].of(count) * count / (self.counts(n - 1, answers)[0][at - 1] + (weight < 0))
         out[at[kept]] = share[kept]
         return out
 
@@ -237,13 +228,11 @@ def _count_answer(least: int):
 def _weight_question(order: int, model: Model):
     def question(docs: pa.RecordBatch, answers: dict) -> dict[int, bytes]:
         view = _View(docs, model)
-        at = view.candidates(order, answers)
+        at, keys, number = view.contexts(order, answers)
         if not len(at):
             return {}
-        keys, number = view.contexts(order, answers)
         lower = view.probabilities(order - 1, answers)[at]
-        count, speaks = view.counts(order, answers)
-        count, speaks = count[at], speaks[at]
+        count, speaks = (x[at] for x in view.counts(order, answers))
         own = np.zeros(len(keys), np.int64)
         own[number] = view.counts(order - 1, answers)[0][at - 1]
         mine = speaks & (count >= model.least)
