@@ -124,8 +124,13 @@ def contaminated(
         .agg(F.collect_list(F.struct("item_id", "words", "runs", "kept")).alias("items"))
     )
     met = stored(met, "met")
-    same = worded["key_id"].eqNullSafe(met["met_id"]) & (worded["key_text"] == met["met_text"])
-    found = worded.join(small_side(met, 16384), same).dropDuplicates(["key_id", "key_text"])  # equal rows need one look
+    # texts are dealt out only for the documents that met an item; equal rows need one look
+    keyed = rows.select(*key, "text")
+    some = small_side(stored(met.select("met_id", "met_text"), "met-keys"), 32)
+    same = keyed["key_id"].eqNullSafe(some["met_id"]) & (keyed["key_text"] == some["met_text"])
+    texts = keyed.join(some, same, "left_semi").dropDuplicates(["key_id", "key_text"])
+    same = texts["key_id"].eqNullSafe(met["met_id"]) & (texts["key_text"] == met["met_text"])
+    found = texts.join(met, same).select("met_id", "met_text", "items", words_of(F.col("text")).alias("words"))
     looked = found.withColumn("d_runs", _runs(F.col("words"), k)).select(
         "met_id", "met_text", _occurrences(F.col("words"), F.col("d_runs"), F.col("items"), words).alias("seen")
     )
