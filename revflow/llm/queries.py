@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revflow.llm import decontamination, exact_dedup, katz, minhash, packing, repeats, token_counts
+from revflow.llm import decontamination, exact_dedup, katz, minhash, packing, repeats, token_counts, toxicity
 from revflow.llm.tables import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,13 @@ def op1_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@_query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learned = toxicity.labelled(labels, "toxic", crc_of_id(3) != 1)
+    scored = toxicity.score_toxicity(docs, toxicity.fit(docs.select("doc_id", "text"), learned))
+    return scored.select(
+        "doc_id", (crc_of_id(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
