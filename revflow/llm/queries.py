@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revflow.llm import decontamination, exact_dedup, katz, minhash, packing, repeats, token_counts, toxicity
+from revflow.llm import decontamination, exact_dedup, katz, minhash, packing, quality, repeats, token_counts, toxicity
 from revflow.llm.tables import crc_of_id, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", (crc_of_id(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
     )
+
+
+@_query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    machine = quality.fit(docs, toxicity.labelled(labels, "quality", crc_of_id(5) != 0))
+    return quality.score_quality(docs, machine).select(
+        "doc_id", (crc_of_id(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
