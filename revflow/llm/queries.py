@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revflow.llm import decontamination, exact_dedup, katz, minhash, packing, quality, repeats, token_counts, toxicity
-from revflow.llm.tables import crc_of_id, table
+from revflow.llm import decontamination, exact_dedup, katz, minhash, packing, quality, repeats, secrets, token_counts, toxicity
+from revflow.llm.tables import crc_of_id, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -169,3 +169,21 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, machine).select(
         "doc_id", (crc_of_id(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+@_query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    known = secrets.dictionary(docs)
+    found = stored(secrets.described(secrets.candidates(docs), known).withColumn("label", secrets.rule_labels()), "candidates")
+    held_out = crc_of_id(7) == 2
+    forest = secrets.fit(found.filter(~held_out))
+    return secrets.scored(found, forest).select(
+        "doc_id",
+        "place",
+        F.char_length("value").cast("long").alias("length"),
+        held_out.alias("held_out"),
+        "label",
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
