@@ -78,7 +78,7 @@ def contaminated(
     item_id: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted ids), spots (places of hit words, from 0) for each row of ``docs``.
+    """doc_id, n_words, n_hit, items (sorted ids), spots (places of hit words, from 0) and text_key (xxhash64 of the text) for each row of ``docs``.
 
     ``words`` is the length of a window, ``k`` that of the hashed grams.
     """
@@ -148,6 +148,7 @@ def contaminated(
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.coalesce("spots", F.array().cast("array<int>")).alias("spots"),
+        F.col("key_text").alias("text_key"),
     )
 
 

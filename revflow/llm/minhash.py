@@ -1,18 +1,20 @@
 """Near duplicates by a Hamming join of min-hash signatures through several indexes.
 
-A signature has 24 components of 16 bits, each the reduced minimum of one hash
-of the document's word pairs. It is split into 6 chunks of 4 components. When
-two signatures differ in at most 11 components, some chunk holds at most one
-difference by the pigeonhole principle, so the four ways of leaving out one
-component of each chunk index all such pairs: 24 keys per document. Two
+A signature has 60 components of 16 bits, each the reduced minimum of one hash
+of the document's word pairs. It is split into 10 chunks of 6 components. When
+two signatures differ in at most 19 components, some chunk holds at most one
+difference by the pigeonhole principle, so the six ways of leaving out one
+component of each chunk index all such pairs: 60 keys per document. Two
 documents at a similarity of exactly 0.8 share no key with a probability of
-0.00004; candidates are confirmed on their full sets.
+0.00003; candidates are confirmed on their full sets. Five components in a key keep
+documents apart that only share a common passage.
 
 Groups of similar documents are not expanded into pairs. Documents with equal sets
 are one class. Within each key, classes are compared with the one class that
-shares the most keys overall; confirmed links give components. What remains
-are pairs of one key in different components: all of them are compared, in a
-join that adaptive execution splits, and each pair only in its first common key.
+shares the most keys overall, their centre; confirmed links give components. What
+remains are classes around one centre in different components. Links between these are
+found by what they differ in from the centre, through prefixes of rare differences, which
+misses none and compares few.
 
 Edge cases: texts without words (empty or NULL) have no shingles and are linked
 with nothing; texts of one word have that word as their only shingle. Rows with equal
@@ -34,10 +36,10 @@ from revflow.llm.components import components
 from revflow.llm.tables import small_side, stored
 from revflow.llm.words import find_words, mix, slices, windows
 
-CHUNKS, WIDTH = 6, 4
+CHUNKS, WIDTH = 10, 6
 _PARTS = CHUNKS * WIDTH
-#: Pairs that share a key but differ in more components are not compared on their sets (at 0.8: one in a million).
-FAR = 15
+#: Classes that differ from their centre in more components are not compared on their sets (at 0.8: one in a million).
+FAR = 28
 _RNG = np.random.default_rng(77)
 _SEED = _RNG.integers(0, 2**63, _PARTS, dtype=np.uint64)
 _FACTOR = _RNG.integers(0, 2**63, _PARTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -79,20 +81,20 @@ def _sketches(k: int):
                 full = np.flatnonzero(n > 0)
                 at = first[:-1][full]
                 low, high = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
-                signature = np.zeros((len(n), _PARTS), np.int32)
+                signature = np.zeros((len(n), _PARTS), np.int16)
                 if len(full):
                     low[full] = np.add.reduceat(mix(hashes), at)
                     high[full] = np.add.reduceat(mix(hashes ^ _SEED[0]), at)
                     for i in range(_PARTS):
                         least = np.minimum.reduceat((hashes ^ _SEED[i]) * _FACTOR[i], at)
-                        signature[full, i] = (mix(least) & np.uint64(0xFFFF)).astype(np.int32)
+                        signature[full, i] = mix(least).astype(np.uint16).view(np.int16)
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("doc_id"),
                         pa.array(n.astype(np.int64)),
                         pa.array(low.view(np.int64)),
                         pa.array(high.view(np.int64)),
-                        pa.FixedSizeListArray.from_arrays(pa.array(signature.ravel()), _PARTS).cast(pa.list_(pa.int32())),
+                        pa.FixedSizeListArray.from_arrays(pa.array(signature.ravel()), _PARTS).cast(pa.list_(pa.int16())),
                     ],
                     ["doc_id", "n_shingles", "low", "high", "signature"],
                 )
@@ -140,6 +142,70 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.filter(100 * F.col("common") >= percent * (F.size("set_a") + F.size("set_b") - F.col("common"))).select("a", "b")
 
 
+def _across(around: DataFrame, sets: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` around one centre, in different components, whose sets may reach the similarity.
+
+    Sets x and y are similar enough when their symmetric difference holds at most
+    (1 - s) / (1 + s) * (|x| + |y|) elements. Let A and B be their differences from
+    the centre. If x was not linked to the centre, A alone is larger than that, so
+    x and y can only be linked if A and B have (|A| + |B| - the bound) / 2 elements
+    in common. With the elements of each difference in one order, rarest first,
+    such a pair has its first common element within a short prefix of both, with enough
+    elements behind it. That leaves few pairs to compare, and none out.
+    """
+    part = (100 - percent) / (100 + percent)
+    home = placed.select(F.col("node").alias("centre"), F.col("component").alias("home"))
+    of_centre = sets.select(F.col("id").alias("centre"), F.col("set").alias("centre_set"))
+    differing = (
+        around.join(sets, "id")
+        .join(of_centre, "centre")
+        .join(home, "centre", "left")
+        .select(
+            "centre",
+            "id",
+            "component",
+            (F.col("component") != F.coalesce("home", "centre")).alias("outside"),
+            F.size("set").alias("n"),
+            F.size("centre_set").alias("m"),
+            F.concat(F.array_except("set", "centre_set"), F.array_except("centre_set", "set")).alias("d"),
+        )
+    )
+    differing = stored(differing, "differences")
+    elements = differing.select("centre", F.explode("d").alias("e"))
+    often = elements.groupBy("centre", "e").agg(F.count("*").alias("f")).filter("f > 1")
+    # elements that occur once come first in every order and join nothing, so only their number matters
+    shared = differing.select("centre", "id", F.explode("d").alias("e")).join(often, ["centre", "e"])
+    orders = shared.groupBy("centre", "id").agg(F.array_sort(F.collect_list(F.struct("f", "e"))).alias("order"))
+    size = F.size("d")
+    longest = F.when(F.col("outside"), part * F.col("n") * (1 + 100 / percent)).otherwise((size + part * (F.col("n") - F.col("m"))) / 2)
+    prefix = F.greatest(F.lit(1), F.floor(longest + 1e-6).cast("int") + 1)
+    rows = (
+        differing.join(orders, ["centre", "id"])
+        .select(
+            "centre", "id", "component", "outside", "n", size.alias("size"), prefix.alias("prefix"), F.posexplode("order").alias("i", "x"),
+            (size - F.size("order")).alias("alone"),
+        )
+        .select("centre", "id", "component", "outside", "n", "size", "prefix", F.col("x.e").alias("e"), (F.col("i") + F.col("alone")).alias("i"))
+        .filter("i < prefix")
+    )
+    rows = stored(rows, "prefixes")
+    p, q = rows.filter("outside").alias("p"), rows.alias("q")
+    left = F.least(F.col("p.size") - F.col("p.i"), F.col("q.size") - F.col("q.i"))
+    enough = (F.col("p.size") + F.col("q.size") - part * (F.col("p.n") + F.col("q.n"))) / 2 - 1e-6
+    return (
+        p.join(
+            q,
+            (F.col("p.centre") == F.col("q.centre"))
+            & (F.col("p.e") == F.col("q.e"))
+            & (F.col("p.component") != F.col("q.component"))
+            & (~F.col("q.outside") | (F.col("p.id") < F.col("q.id")))
+            & (left >= enough),
+        )
+        .select(F.least("p.id", "q.id").alias("a"), F.greatest("p.id", "q.id").alias("b"))
+        .distinct()
+    )
+
+
 def near_duplicates(
     docs: DataFrame, k: int = 2, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -150,7 +216,7 @@ def near_duplicates(
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketches = stored(
-        rows.mapInArrow(_sketches(k), "doc_id long, n_shingles long, low long, high long, signature array<int>"), "sketches"
+        rows.mapInArrow(_sketches(k), "doc_id long, n_shingles long, low long, high long, signature array<short>"), "sketches"
     )
     linkable = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     # equal sets are one class; its smallest document stands for it
@@ -195,28 +261,13 @@ def near_duplicates(
         .join(centres, "key")
     )
     open_keys = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    open_rows = stored(
+    around = (
         placed.join(open_keys.select("key"), "key", "left_semi")
-        .join(classes.select("id", "n", "signature"), "id")
-        .select("key", "id", "component", "centre", "n", "signature", index_keys(F.col("signature")).alias("keys")),
-        "open",
-    )
-    home = open_rows.filter("id = centre").select("key", F.col("component").alias("home")).distinct()
-    outside = open_rows.join(home, "key").filter("component <> home AND id <> centre")
-    p, q = outside.alias("p"), open_rows.filter("id <> centre").alias("q")
-    rest = (
-        p.join(
-            q,
-            (F.col("p.key") == F.col("q.key"))
-            & (F.col("p.component") != F.col("q.component"))
-            & ((F.col("q.component") == F.col("p.home")) | (F.col("p.id") < F.col("q.id")))
-            & _sizes_fit("p.n", "q.n", percent)
-            & (_apart("p.signature", "q.signature") <= FAR)
-            & (F.array_intersect("p.keys", "q.keys")[0] == F.col("p.key")),
-        )
-        .select(F.col("p.id").alias("a"), F.col("q.id").alias("b"))
+        .filter("id <> centre")
+        .select("centre", "id", "component")
         .distinct()
     )
+    rest = _across(stored(around, "around"), sets, first, percent)
     more = stored(_confirmed(rest, sets, percent), "links")
     final = components(links.union(more)) if more.count() else first
     named = classes.join(final, F.col("id") == F.col("node"), "left").select(

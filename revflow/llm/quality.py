@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revflow.llm.logistic import sigmoid
@@ -81,13 +81,13 @@ def _upto(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.append(0, np.cumsum(flags))[at]
 
 
-def inputs(piece: pa.RecordBatch, offsets: np.ndarray, data: np.ndarray, bits: int):
+def inputs(sizes: pa.Array, offsets: np.ndarray, data: np.ndarray, bits: int):
     """Places of the distinct words of all documents, where each document's begin, and the statistics."""
     words = find_words(offsets, data, lower=False)
     place = (words.hash >> np.uint64(64 - bits)).astype(np.int64)
     pair = np.unique(words.doc() * (1 << bits) + place)
     first = np.searchsorted(pair, np.arange(words.docs + 1) << bits)
-    sizes = piece.column("size").to_numpy(zero_copy_only=False).astype(float)
+    sizes = sizes.to_numpy(zero_copy_only=False).astype(float)
     return (pair & ((1 << bits) - 1)).astype(np.int32), first, statistics(offsets, data, words, np.maximum(sizes, 0))
 
 
@@ -166,9 +166,12 @@ def learn(
 
 
 def _rows(docs: DataFrame, doc_id: str, text: str, size: str | None):
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), _size(text, size).alias("size"))
+
+
+def _size(text: str, size: str | None) -> Column:
     counted = F.char_length(F.coalesce(F.col(text), F.lit("")))
-    size = F.coalesce(F.col(size), counted) if size else counted
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), size.cast("long").alias("size"))
+    return (F.coalesce(F.col(size), counted) if size else counted).cast("long")
 
 
 def fit(
@@ -191,7 +194,7 @@ def fit(
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, offsets, data in slices(batch):
-                places, first, stats = inputs(piece, offsets, data, bits)
+                places, first, stats = inputs(piece.column("size"), offsets, data, bits)
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("doc_id"),
@@ -231,7 +234,24 @@ def score_quality(
         own = shared.value
         for batch in batches:
             for piece, offsets, data in slices(batch):
-                score = sigmoid(own.margin(*inputs(piece, offsets, data, own.bits)))
+                score = sigmoid(own.margin(*inputs(piece.column("size"), offsets, data, own.bits)))
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(score)], ["doc_id", "score"])
 
     return _rows(docs, doc_id, text, size).mapInArrow(run, "doc_id long, score double")
+
+
+def keep_good(docs: DataFrame, machine: Machine, least: float, text: str = "text", size: str | None = "n_chars") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score is at least ``least``."""
+    helper = "size"
+    while helper in docs.columns:
+        helper += "_"
+    shared = docs.sparkSession.sparkContext.broadcast(machine)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            for piece, offsets, data in slices(batch, text):
+                good = sigmoid(own.margin(*inputs(piece.column(helper), offsets, data, own.bits))) >= least
+                yield piece.drop_columns([helper]).filter(pa.array(good))
+
+    return docs.withColumn(helper, _size(text, size)).mapInArrow(run, docs.schema)

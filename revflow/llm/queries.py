@@ -8,18 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revflow.llm import decontamination, exact_dedup, katz, minhash, packing, quality, repeats, secrets, token_counts, toxicity
-from revflow.llm.tables import crc_of_id, stored, table
+from revflow.llm.tables import crc_of_id, stored, table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def _vocabulary(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def _query(f):
     QUERIES[f.__name__] = f
     return f
@@ -28,7 +22,7 @@ def _query(f):
 @_query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    counted = token_counts.count_tokens(docs, _vocabulary("piece_bpe_32k.model"), budget=4096, store=False)
+    counted = token_counts.count_tokens(docs, vocabulary("piece_bpe_32k.model"), budget=4096, store=False)
     return counted.select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"), F.col("fit_points").alias("limit_points")
     )
@@ -37,7 +31,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack(docs, _vocabulary("byte_bpe_50k.json"), longest=1024, end=0, ids=False).drop("bucket")
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), longest=1024, end=0, ids=False).drop("bucket")
 
 
 @_query

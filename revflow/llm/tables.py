@@ -12,6 +12,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file; the files are installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
     """The rows of ``df``, written once below the shared folder and read from there.
 
