@@ -16,6 +16,8 @@ _MONTHS = (
 )
 _WIDTH = 9
 US_DATE = "M/d/yyyy"
+# a whole day; a year or month alone, which a cast would take for its first day, is no date
+_ISO_DAY = r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ].*)?\s*$"
 
 
 def _pick(names: list[str], index: Column) -> Column:
@@ -29,7 +31,7 @@ def parse_date(raw: Column, strict: bool = False) -> Column:
     cost an exception per row.
     """
     parsed = F.when(raw.contains("/"), F.try_to_date(raw, US_DATE)).when(
-        raw != "", raw.try_cast("date")
+        raw.rlike(_ISO_DAY), raw.try_cast("date")
     )
     if not strict:
         return parsed

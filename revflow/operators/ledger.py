@@ -61,17 +61,24 @@ def run_plan(accounts: DataFrame, reports: DataFrame) -> DataFrame:
     return accounts.join(reports, "instance_key")
 
 
+def _registry_keys(registry: DataFrame, matrix: DataFrame) -> list[str]:
+    """A registry that names instances is covered per instance; one that does not, by any."""
+    return [c for c in GROUP if c != "instance_key" or c in registry.columns and c in matrix.columns]
+
+
 def registry_coverage(registry: DataFrame, matrix: DataFrame) -> DataFrame:
-    """Configured (account, report) pairs with their active identifier, if any."""
-    keys = ["customer_account", "report_name"]
-    return registry.join(matrix.select(*keys, "identifier"), keys, "left").withColumn(
-        "covered", F.col("identifier").isNotNull()
-    )
+    """Configured (account, report, instance) with their active identifier, if any.
+
+    Without instances in the registry, the greatest identifier of any instance is shown.
+    """
+    keys = _registry_keys(registry, matrix)
+    active = matrix.groupBy(*keys).agg(F.max("identifier").alias("identifier"))
+    return registry.join(active, keys, "left").withColumn("covered", F.col("identifier").isNotNull())
 
 
 def registry_gaps(registry: DataFrame, matrix: DataFrame) -> DataFrame:
-    """Configured pairs without an active run."""
-    keys = ["customer_account", "report_name"]
+    """Configured (account, report, instance) without an active run."""
+    keys = _registry_keys(registry, matrix)
     return registry.join(matrix.select(*keys), keys, "left_anti")
 
 
@@ -213,19 +220,28 @@ def upsert_ledger(ledger: DataFrame, runs: DataFrame) -> DataFrame:
     )
     names = ledger.columns
     return (
-        before.filter(F.col("status") != 1)
+        before.filter(~F.col("status").eqNullSafe(1))  # a row without a status stays as it is
         .select(*names)
         .unionByName(retired.select(*names))
         .unionByName(fresh.select(*names))
     )
 
 
-def active_reports(ledger: DataFrame, instance_key: str | None = None) -> DataFrame:
-    """(customer_account, report_name, identifier) of active rows, the last one winning."""
+def active_reports(
+    ledger: DataFrame, instance_key: str | None = None, per_instance: bool = False
+) -> DataFrame:
+    """(customer_account, report_name, identifier) of active rows, the last one winning.
+
+    With ``per_instance`` each instance of an account has its own active run,
+    and the instance is a column of the result.
+    """
     active = ledger.filter(F.col("status") == 1)
     if instance_key is not None and "instance_key" in ledger.columns:
         active = active.filter(F.col("instance_key") == instance_key)
-    return active.groupBy("customer_account", "report_name").agg(
+    if per_instance:
+        active = with_instance(active)
+    groups = GROUP if per_instance else [c for c in GROUP if c != "instance_key"]
+    return active.groupBy(*groups).agg(
         F.max_by("identifier", F.struct(SEQUENCE, "identifier")).alias("identifier")
     )
 

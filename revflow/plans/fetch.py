@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
-from revflow.operators.ledger import active_reports, report_names
+from revflow.functions.text import trim_all
+from revflow.operators.ledger import active_reports
 from revflow.operators.shape import tenant_columns
 from revflow.sinks.files import write_report_csv
-from revflow.sources.envelopes import decode_envelopes, records_by_name, records_by_position
+from revflow.sources.envelopes import decode_with_faults, records_by_name, records_by_position
 
 _IDS = ["customer_account", "instance_key"]
 
@@ -18,44 +21,81 @@ def chosen_payloads(payloads: DataFrame, ledger: DataFrame) -> DataFrame:
     """Payloads of active runs of the ledger.
 
     ``payloads`` holds (customer_account, instance_key, report_name,
-    identifier, xml). A run is unique among the active ones, so the join only
-    filters; the XML moves no further than that join.
+    identifier, xml). A run is unique among the active ones of its instance, so
+    the join only filters; the XML moves no further than that join.
     """
-    active = active_reports(ledger)
-    return payloads.join(active, ["customer_account", "report_name", "identifier"], "left_semi")
+    of_instance = "instance_key" in ledger.columns
+    active = active_reports(ledger, per_instance=of_instance)
+    same = [payloads[k] == active[k] for k in ("customer_account", "report_name", "identifier")]
+    if of_instance:
+        same.append(F.coalesce(payloads["instance_key"], F.lit("")) == active["instance_key"])
+    return payloads.join(active, reduce(Column.__and__, same), "left_semi")
 
 
-def report_rows(
-    payloads: DataFrame, report: str, header: Sequence[str], by_position: bool = False
-) -> DataFrame:
-    """All records of one report with the tenant columns in front."""
-    chosen = payloads.filter(payloads["report_name"] == report)
-    decoded = decode_envelopes(chosen, "xml", _IDS)
+class UnreadablePayloads(ValueError):
+    """Payloads or records that cannot be spooled whole."""
+
+
+def report_rows(decoded: DataFrame, header: Sequence[str], by_position: bool = False) -> DataFrame:
+    """Decoded records of one report with the tenant columns in front."""
     place = records_by_position if by_position else records_by_name
     rows = place(decoded, header, keep=_IDS)
     return tenant_columns(rows, rows["customer_account"], rows["instance_key"])
 
 
-def delivered_header(payloads: DataFrame, report: str) -> list[str]:
-    """Header cells of a report as its first envelope with records has them."""
-    chosen = payloads.filter(payloads["report_name"] == report)
-    first = decode_envelopes(chosen, "xml", _IDS).select("header").first()
-    return [] if first is None else [cell.strip() for cell in first["header"]]
+def delivered_headers(decoded: DataFrame) -> DataFrame:
+    """(report_name, header, further): per report the header of its lowest account and member.
+
+    ``further`` lists cells that only other members have; they are not spooled
+    under this header.
+    """
+    cells = F.transform("header", trim_all)
+    members = decoded.select("report_name", *_IDS, "member", cells.alias("header")).distinct()
+    return (
+        members.groupBy("report_name")
+        .agg(
+            F.min_by("header", F.struct(*_IDS, "member")).alias("header"),
+            F.array_distinct(F.flatten(F.collect_set("header"))).alias("_all"),
+        )
+        .select("report_name", "header", F.array_sort(F.array_except("_all", "header")).alias("further"))
+    )
 
 
 def spool_reports(
-    payloads: DataFrame, root: str, headers: dict[str, Sequence[str]] | None = None
+    payloads: DataFrame,
+    root: str,
+    headers: dict[str, Sequence[str]] | None = None,
+    quarantine: str | None = None,
+    by_position: bool = False,
 ) -> dict[str, str]:
     """Write each report as CSV per instance; returns report to path.
 
-    Without given headers every report among the payloads is spooled under
-    its delivered header. A report without records is not written.
+    Every payload is decoded once, into a folder below ``root`` by report. Unless
+    ``quarantine`` names a folder, anything unreadable (XML, base64, zip, text,
+    records longer than their header) refuses the whole call; with it, the faults
+    are written there and the rest is spooled. Without given headers every
+    report among the payloads is spooled under its delivered header. A report
+    without records is not written.
     """
+    spark = payloads.sparkSession
+    stage = f"{root}/_decoded-{uuid.uuid4().hex[:12]}"
+    decoded = decode_with_faults(payloads, "xml", [*_IDS, "report_name"]).withColumn("ok", F.col("fault").isNull())
+    decoded.write.partitionBy("ok", "report_name").parquet(stage)
+    everything = spark.read.schema(decoded.schema).parquet(stage)
+    faults = everything.filter("NOT ok").select(*_IDS, "report_name", "member", "fault")
+    if quarantine is not None:
+        faults.write.mode("append").parquet(quarantine)
+    else:
+        bad = faults.groupBy("fault").agg(F.count("*").alias("n")).orderBy("fault").collect()
+        if bad:
+            raise UnreadablePayloads("; ".join(f"{r.n} x {r.fault}" for r in bad))
+    decoded = everything.filter("ok")
     if headers is None:
-        names = report_names(payloads).collect()
-        headers = {r.report_name: delivered_header(payloads, r.report_name) for r in names}
+        headers = {r.report_name: r.header for r in delivered_headers(decoded).collect()}
     return {
-        report: write_report_csv(report_rows(payloads, report, header), root, report)
+        report: write_report_csv(
+            report_rows(decoded.filter(F.col("report_name") == report), header, by_position), root, report
+        )
         for report, header in headers.items()
         if header
     }

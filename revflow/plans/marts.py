@@ -178,9 +178,7 @@ def gross_billing(
             "charge_primary_payer_name_dup": F.col("charge_primary_payer_name_1"),
             "days_on_hold": days_on_hold(entered, as_of),
             "charge_lag": charge_lag(billed, entered),
-            "billed_or_not_billed": F.when(
-                F.col("claim_first_billed_date").isNotNull(), "Billed"
-            ).otherwise("Not Billed"),
+            "billed_or_not_billed": F.when(billed.isNotNull(), "Billed").otherwise("Not Billed"),
             **_labels("claim_first_billed", billed, capital_day=False),
             "first_billed_week_date": week_start(billed),
         }

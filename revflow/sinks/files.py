@@ -20,8 +20,8 @@ def write_report_csv(
 ) -> str:
     """Write ``{root}/{report}.csv`` with headers and return its path.
 
-    With an instance column there is one folder per instance below it, and
-    the column stays in the files. Rows are rebalanced by instance first:
+    Values keep their outer blanks. With an instance column there is one folder
+    per instance below it, and all columns stay in the files. Rows are rebalanced by instance first:
     Spark splits an instance that holds much of the data over many files and
     packs small ones, and a file never exceeds ``ROWS_PER_FILE`` rows. With
     ``rebalance=False`` that shuffle is saved and every task writes a file
@@ -30,18 +30,23 @@ def write_report_csv(
     path = f"{root}/{report}.csv"
     writer_input = df
     if instance is not None:
-        writer_input = df.withColumn("instance", ref(instance))
+        folder = "instance"
+        while folder in {c.lower() for c in df.columns}:
+            folder = f"_{folder}"
+        writer_input = df.withColumn(folder, ref(instance))
         if rebalance:
-            writer_input = writer_input.hint("rebalance", "instance")
+            writer_input = writer_input.hint("rebalance", folder)
     writer = (
         writer_input.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("maxRecordsPerFile", ROWS_PER_FILE)
     )
     if instance is not None:
-        writer = writer.partitionBy("instance")
+        writer = writer.partitionBy(folder)
     writer.csv(path)
     return path
 

@@ -11,6 +11,7 @@ import csv
 import io
 import sys
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -27,18 +28,35 @@ _BATCH = 4096
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _members(blob: bytes) -> Iterator[tuple[str, list[str], list[str]]]:
-    """(member, header, fields) of every record of the CSV members."""
+def _members(blob: bytes) -> Iterator[tuple[str | None, list[str] | None, list[str] | None, str | None]]:
+    """(member, header, fields, fault) of every record of the CSV members.
+
+    What cannot be read ends its member with one row that names the fault; a
+    record with more fields than its header is a fault of its own.
+    """
     csv.field_size_limit(2**31 - 1)  # whole texts, also beyond the default 128 KiB
-    with zipfile.ZipFile(io.BytesIO(blob)) as archive:
+    try:
+        archive = zipfile.ZipFile(io.BytesIO(blob))
+    except zipfile.BadZipFile:
+        yield None, None, None, "broken zip"
+        return
+    with archive:
         for info in archive.infolist():
             if not info.filename.endswith(".csv"):
                 continue
-            with archive.open(info) as raw:
-                records = csv.reader(io.TextIOWrapper(raw, encoding="utf-8", newline=""))
-                header = next(records, None)
-                for fields in records if header is not None else ():
-                    yield info.filename, header, fields
+            try:
+                with archive.open(info) as raw:
+                    records = csv.reader(io.TextIOWrapper(raw, encoding="utf-8", newline=""))
+                    header = next(records, None)
+                    for fields in records if header is not None else ():
+                        fault = "record longer than its header" if len(fields) > len(header) else None
+                        yield info.filename, header, fields, fault
+            except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError):
+                yield info.filename, None, None, "broken zip member"
+            except UnicodeDecodeError:
+                yield info.filename, None, None, "text is not UTF-8"
+            except csv.Error:
+                yield info.filename, None, None, "broken CSV"
 
 
 def _unzip(id_fields: list[tuple[str, pa.DataType]]):
@@ -49,13 +67,15 @@ def _unzip(id_fields: list[tuple[str, pa.DataType]]):
                 ("member", pa.string()),
                 ("header", pa.list_(pa.string())),
                 ("fields", pa.list_(pa.string())),
+                ("fault", pa.string()),
             ]
         )
         for batch in batches:
             for row in range(batch.num_rows):
                 ids = [batch.column(name)[row].as_py() for name, _ in id_fields]
+                blob, fault = batch.column("_zip")[row].as_py(), batch.column("_fault")[row].as_py()
                 rows = []
-                for record in _members(batch.column("_zip")[row].as_py()):
+                for record in _members(blob) if fault is None else [(None, None, None, fault)]:
                     rows.append((*ids, *record))
                     if len(rows) == _BATCH:
                         yield _batch(rows, schema)
@@ -77,40 +97,57 @@ def envelope_zip(xml: Column) -> Column:
     return F.when(F.length(F.trim(data)) > 0, F.try_to_binary(data, F.lit("base64")))
 
 
-def broken_envelopes(payloads: DataFrame, xml: str) -> DataFrame:
-    """Payloads that decoding passes over though they are no empty answers.
-
-    Their XML cannot be read, or their ``Data`` is no base64.
-    """
-    parsed = elements(F.col(xml), "Data")
-    return payloads.filter(
-        is_broken(parsed)
-        | ((F.length(F.trim(parsed["Data"])) > 0) & envelope_zip(F.col(xml)).isNull())
+def envelope_fault(xml: Column) -> Column:
+    """Why an envelope cannot be opened, or NULL. An empty answer is no fault."""
+    parsed = elements(xml, "Data")
+    data = F.trim(parsed["Data"])
+    return F.when(is_broken(parsed), "broken XML").when(
+        (F.length(data) > 0) & F.try_to_binary(parsed["Data"], F.lit("base64")).isNull(), "broken base64"
     )
 
 
-def decode_envelopes(payloads: DataFrame, xml: str, ids: Sequence[str]) -> DataFrame:
-    """(ids..., member, header, fields): one row per CSV record of each payload.
+def broken_envelopes(payloads: DataFrame, xml: str) -> DataFrame:
+    """Payloads whose XML cannot be read or whose ``Data`` is no base64."""
+    return payloads.filter(envelope_fault(F.col(xml)).isNotNull())
+
+
+def decode_with_faults(payloads: DataFrame, xml: str, ids: Sequence[str]) -> DataFrame:
+    """(ids..., member, header, fields, fault): one row per CSV record of each payload, and one per fault.
 
     ``ids`` are text columns that say where a payload came from. Payloads
-    without data have no records; ``broken_envelopes`` tells the unreadable
-    ones. Spread the payload table over enough partitions first if its files
+    without data have no rows. A record with more fields than its header is
+    whole, and marked by its fault. Spread the payload table over enough partitions first if its files
     are few.
     """
     zipped = payloads.select(
-        *[F.col(c).cast("string").alias(c) for c in ids], envelope_zip(F.col(xml)).alias("_zip")
-    ).filter(F.col("_zip").isNotNull())
+        *[F.col(c).cast("string").alias(c) for c in ids],
+        envelope_zip(F.col(xml)).alias("_zip"),
+        envelope_fault(F.col(xml)).alias("_fault"),
+    ).filter(F.col("_zip").isNotNull() | F.col("_fault").isNotNull())
+    text, texts = T.StringType(), T.ArrayType(T.StringType())
     schema = T.StructType(
-        [T.StructField(c, T.StringType()) for c in ids]
+        [T.StructField(c, text) for c in ids]
         + [
-            T.StructField("member", T.StringType()),
-            T.StructField("header", T.ArrayType(T.StringType())),
-            T.StructField("fields", T.ArrayType(T.StringType())),
+            T.StructField("member", text),
+            T.StructField("header", texts),
+            T.StructField("fields", texts),
+            T.StructField("fault", text),
         ]
     )
     return zipped.mapInArrow(_unzip([(c, pa.string()) for c in ids]), schema)
 
 
+def envelope_errors(payloads: DataFrame, xml: str, ids: Sequence[str]) -> DataFrame:
+    """(ids..., member, fault, faults): what of the payloads cannot be read whole, and how often."""
+    faults = decode_with_faults(payloads, xml, ids).filter(F.col("fault").isNotNull())
+    return faults.groupBy(*ids, "member", "fault").agg(F.count("*").alias("faults"))
+
+
+def decode_envelopes(payloads: DataFrame, xml: str, ids: Sequence[str]) -> DataFrame:
+    """(ids..., member, header, fields): one row per record that is read whole; ``envelope_errors`` has the rest."""
+    return decode_with_faults(payloads, xml, ids).filter(F.col("fault").isNull()).drop("fault")
+
+
 def _places(cell: str) -> Column:
     """Positions at which the header has this cell."""
     return F.array_compact(F.transform("_header", lambda h, p: F.when(h == cell, p)))

@@ -50,27 +50,44 @@ def load_and_publish(t: Tables) -> DataFrame:
 
 @query(
     "spool_envelopes",
-    """SELECT CAST(floor(o_orderkey / 200) AS VARCHAR) AS customer_account,
-  'I' || CAST(floor(o_orderkey / 200) AS BIGINT) % 3 AS instance_key,
-  CAST(o_orderkey AS VARCHAR) AS claim_id, o_orderpriority AS status
-FROM (SELECT * REPLACE (CAST(o_orderkey AS BIGINT) AS o_orderkey) FROM orders)
-WHERE CAST(floor(o_orderkey / 200) AS BIGINT) % 2 = 0""".replace(
-        "CAST(floor(o_orderkey / 200) AS VARCHAR)",
-        "CAST(CAST(floor(o_orderkey / 200) AS BIGINT) AS VARCHAR)",
-    ),
+    """WITH o AS (SELECT CAST(o_orderkey AS BIGINT) AS k, o_orderkey // 200 AS a, o_orderpriority FROM orders)
+SELECT CAST(a AS VARCHAR) AS customer_account, i AS instance_key, CAST(k AS VARCHAR) AS claim_id,
+  o_orderpriority AS status
+FROM o, (SELECT unnest(['I0', 'I1', 'I2', 'J']) AS i) WHERE a % 2 = 0 AND (i = 'I' || a % 3 OR i = 'J')""",
 )
 def spool_envelopes(t: Tables) -> DataFrame:
-    """Of two runs per account only the active one is decoded and spooled.
+    """Of two runs per account and instance only the active one is decoded and spooled.
 
-    Odd accounts have no active run and therefore no rows.
+    Every account has payloads in two instances. Odd accounts have no active
+    run and therefore no rows. Every other payload has its columns turned round.
     """
-    chunk = F.floor(F.col("o_orderkey") / 200)
+    return _spooled(t, faults=False)[0]
+
+
+@query(
+    "envelope_errors",
+    """WITH a AS (SELECT DISTINCT o_orderkey // 200 AS a FROM orders WHERE (o_orderkey // 200) % 2 = 0)
+SELECT CAST(a AS VARCHAR) AS customer_account, 'I' || a % 3 AS instance_key, 'Open Claims' AS report_name,
+  CASE a % 10 WHEN 8 THEN 'report.csv' END AS member,
+  CASE a % 10 WHEN 2 THEN 'broken XML' WHEN 4 THEN 'broken base64' WHEN 6 THEN 'broken zip'
+    ELSE 'record longer than its header' END AS fault
+FROM a WHERE a % 10 <> 0""",
+)
+def spool_with_faults(t: Tables) -> DataFrame:
+    """Unreadable payloads and records too long for their header are quarantined, each with its reason."""
+    return _spooled(t, faults=True)[1]
+
+
+def _spooled(t: Tables, faults: bool) -> tuple[DataFrame, DataFrame | None]:
+    chunk, key = F.floor(F.col("o_orderkey") / 200), F.col("o_orderkey").cast("string")
     records = (
         t.orders.select(
             chunk.alias("account"),
-            F.array(F.lit("Claim ID"), F.lit("Status")).alias("header"),
+            F.when(chunk % 4 == 2, F.array(F.lit("Status"), F.lit("Claim ID")))
+            .otherwise(F.array(F.lit("Claim ID"), F.lit("Status")))
+            .alias("header"),
             F.struct(
-                F.array(F.col("o_orderkey").cast("string"), "o_orderpriority").alias("cells")
+                F.when(chunk % 4 == 2, F.array("o_orderpriority", key)).otherwise(F.array(key, "o_orderpriority")).alias("cells")
             ).alias("record"),
         )
         .groupBy("account", "header")
@@ -80,13 +97,26 @@ def spool_envelopes(t: Tables) -> DataFrame:
     instance = F.concat(F.lit("I"), (F.col("account").cast("bigint") % 3).cast("string"))
     runs = F.explode(F.array(F.lit("old"), F.lit("new")))
     landed = run_folder(t.spark, "payloads")
-    envelopes(records).select(
+    if faults:
+        long = F.array_append("records", F.struct(F.array(*[F.lit("x")] * 3).alias("cells")))
+        records = records.withColumn("records", F.when(F.col("account") % 10 == 8, long).otherwise(F.col("records")))
+    delivered = envelopes(records).select(
         F.col("account").alias("customer_account"),
-        instance.alias("instance_key"),
+        F.explode(F.array(instance, F.lit("J"))).alias("instance_key"),
         F.lit("Open Claims").alias("report_name"),
-        runs.alias("identifier"),
         "xml",
-    ).write.parquet(landed)
+    )
+    if faults:
+        kind, whole = F.col("customer_account") % 10, F.col("instance_key") == "J"
+        broken = (
+            F.when(whole | ~F.col("xml").contains("<Data>"), F.col("xml"))
+            .when(kind == 2, F.expr("left(xml, length(xml) - 9)"))
+            .when(kind == 4, F.lit("<Result><Data>***</Data></Result>"))
+            .when(kind == 6, F.lit("<Result><Data>bm8gemlw</Data></Result>"))
+            .otherwise(F.col("xml"))
+        )
+        delivered = delivered.withColumn("xml", broken).filter(~whole)
+    delivered.select("*", runs.alias("identifier")).write.parquet(landed)
     payloads = t.spark.read.parquet(landed)
     ledger = payloads.select(
         "customer_account",
@@ -101,8 +131,10 @@ def spool_envelopes(t: Tables) -> DataFrame:
         .alias("status"),
     ).distinct()
     chosen = chosen_payloads(payloads, ledger)
-    paths = spool_reports(chosen, run_folder(t.spark, "spool"))
-    return scan_report_csv(t.spark, paths["Open Claims"], recursive=True)
+    kept = run_folder(t.spark, "quarantine") if faults else None
+    paths = spool_reports(chosen, run_folder(t.spark, "spool"), quarantine=kept)
+    spooled = scan_report_csv(t.spark, paths["Open Claims"], recursive=True)
+    return spooled, t.spark.read.parquet(kept) if faults else None
 
 
 # ---- flat files ---------------------------------------------------------
