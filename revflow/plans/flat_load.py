@@ -57,12 +57,16 @@ def load_flat_reports(
     layouts: Mapping[str, T.StructType] = REPORT_LAYOUTS,
     keys: Mapping[str, list[str]] = REPORT_KEYS,
     prefix: str = "",
+    keep_absent: bool = False,
 ) -> DataFrame:
     """Replace the report tables by the files of a folder; returns the audit.
 
-    Text longer than declared or a repeated key refuses the whole load.
+    Text longer than declared or a repeated key refuses the whole load. Tables whose
+    file is absent are emptied, unless ``keep_absent`` leaves them as they are.
     """
     frames, audit = flat_report_tables(spark, folder, layouts)
+    if not keep_absent:
+        frames |= {t: spark.createDataFrame([], layouts[t]) for t in layouts if t not in frames}
     full_refresh(
         spark,
         {prefix + t: df for t, df in frames.items()},

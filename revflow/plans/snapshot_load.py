@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from revflow.operators.quality import declared_lengths
-from revflow.sinks.tables import append_unique, create_if_absent, row_counts
+from revflow.sinks.tables import checked_rows, create_if_absent, insert, row_counts
 from revflow.sources.snapshots import SnapshotTable, scan_snapshot, snapshot_files
 
 
@@ -34,15 +34,17 @@ def load_snapshot(
 ) -> DataFrame:
     """Append a snapshot to its tables, creating absent ones; returns row counts.
 
-    Each table is parsed once, into a staging folder. A key that is there
-    already, or text longer than declared, refuses the table's load.
+    Every table is parsed once, into a staging folder, and checked there. A key
+    that is there already, or text longer than declared, refuses the whole
+    snapshot: no table gets rows before all have passed.
     """
-    loaded = []
+    passed = {}
     for name, df in snapshot_tables(spark, folder, catalogue).items():
         table, key = prefix + name.lower(), catalogue[name].key
         create_if_absent(spark, table, df, store)
         lengths = declared_lengths(catalogue[name].schema)
         rules = {"max_length": lengths} if lengths else {}
-        append_unique(spark, table, df, [key] if key else [], staging=store, **rules)
-        loaded.append(table)
-    return row_counts(spark, loaded)
+        passed[table] = checked_rows(spark, table, df, [key] if key else [], staging=store, **rules)
+    for table, df in passed.items():
+        insert(spark, table, df)
+    return row_counts(spark, list(passed))

@@ -11,14 +11,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from revflow.operators.quality import enforce, quality_gate, require_schema
 from revflow.operators.shape import ref
 
 
-def _columns_ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+def _columns_ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
 
 
 def _location(root: str, table: str, load: str) -> str:
@@ -28,7 +28,7 @@ def _location(root: str, table: str, load: str) -> str:
 def create_if_absent(spark: SparkSession, table: str, df: DataFrame, root: str) -> None:
     """Create an empty table with the frame's columns unless it exists."""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({_columns_ddl(df)}) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS {table} ({_columns_ddl(df.schema)}) USING parquet "
         f"LOCATION '{_location(root, table, 'empty-' + uuid.uuid4().hex[:8])}'"
     )
 
@@ -60,8 +60,16 @@ def full_refresh(
     ``keys`` names primary keys, ``rules`` further arguments of the quality
     gate per table. Both are checked on the staged data, so that a frame is
     computed once and a check reads only its columns. Tables that are not in
-    ``frames`` are not touched.
+    ``frames`` are not touched. A partition column comes last, in the table too.
+    If pointing the entries fails midway, those already moved are pointed back.
     """
+    if partition_by is not None:
+        frames = {
+            table: df.select(*[ref(c) for c in df.columns if c != partition_by], ref(partition_by))
+            if partition_by in df.columns
+            else df
+            for table, df in frames.items()
+        }
     if check_schema:
         require_schema(spark, frames)
     load = f"load-{uuid.uuid4().hex[:12]}"
@@ -76,24 +84,44 @@ def full_refresh(
             gate |= {"key": key, "not_null": [*key, *gate.get("not_null", [])]}
         if gate:
             enforce(quality_gate(spark.read.parquet(staged[table]), **gate))
-    for table, df in frames.items():
-        _point(spark, table, df, staged[table], partition_by if partition_by in df.columns else None)
+    before = {table: _place(spark, table) for table in frames}
+    moved = []
+    try:
+        for table, df in frames.items():
+            moved.append(table)
+            _point(spark, table, df.schema, staged[table], partition_by if partition_by in df.columns else None)
+    except Exception:
+        for table in moved:
+            if before[table] is None:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+            else:
+                _point(spark, table, *before[table])
+        raise
     return rows
 
 
+def _place(spark: SparkSession, table: str) -> tuple[T.StructType, str, str | None] | None:
+    """Schema, folder and partition column of a stored table; None without one."""
+    if not spark.catalog.tableExists(table):
+        return None
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    return spark.table(table).schema, described["Location"], parts[0] if parts else None
+
+
 def _point(
-    spark: SparkSession, table: str, df: DataFrame, path: str, partition_by: str | None
+    spark: SparkSession, table: str, schema: T.StructType, path: str, partition_by: str | None
 ) -> None:
     same = spark.catalog.tableExists(table) and [
         (f.name, f.dataType) for f in spark.table(table).schema
-    ] == [(f.name, f.dataType) for f in df.schema]
+    ] == [(f.name, f.dataType) for f in schema]
     if same and partition_by is None:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         parts = f"PARTITIONED BY (`{partition_by}`)" if partition_by else ""
         spark.sql(
-            f"CREATE TABLE {table} ({_columns_ddl(df)}) USING parquet {parts} LOCATION '{path}'"
+            f"CREATE TABLE {table} ({_columns_ddl(schema)}) USING parquet {parts} LOCATION '{path}'"
         )
         if partition_by:
             spark.sql(f"MSCK REPAIR TABLE {table}")
@@ -115,6 +143,13 @@ def append_unique(
     is computed once, into that folder, and the checks read only their
     columns there. ``rules`` are further arguments of the quality gate.
     """
+    insert(spark, table, checked_rows(spark, table, df, key, staging, **rules))
+
+
+def checked_rows(
+    spark: SparkSession, table: str, df: DataFrame, key: Sequence[str], staging: str | None = None, **rules
+) -> DataFrame:
+    """The rows to append, staged if there is a folder for it; raises if the table must not take them."""
     if staging is not None:
         path = f"{staging}/append-{uuid.uuid4().hex[:12]}"
         _write(df, path)
@@ -130,6 +165,10 @@ def append_unique(
             F.lit("unique").alias("rule"), F.lit(",".join(key)).alias("column_name"), "violations"
         )
         enforce(counted)
+    return df
+
+
+def insert(spark: SparkSession, table: str, df: DataFrame) -> None:
     df.select(*[ref(c) for c in spark.table(table).columns]).write.insertInto(table)
 
 

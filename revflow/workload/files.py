@@ -72,22 +72,24 @@ def report_csv(t: Tables) -> DataFrame:
 @query(
     "sink_csv_roundtrip",
     """SELECT CAST(o_custkey AS VARCHAR) AS customer_account, r_name AS instance_key,
-  CAST(o_orderkey AS VARCHAR) AS claim_id, o_orderpriority AS claim_status,
-  CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS stage
+  CAST(o_orderkey AS VARCHAR) AS claim_id, '  ' || o_orderpriority || ' ' AS claim_status,
+  CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS stage, 'own ' || o_orderstatus AS instance
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey""",
 )
 def csv_per_instance(t: Tables) -> DataFrame:
-    """A report written with a folder per instance holds every row once."""
+    """A report written with a folder per instance holds every row once, with outer blanks and its own ``instance``."""
     report = t.orders.join(accounts(t), F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_custkey").cast("string").alias("customer_account"),
         F.col("r_name").alias("instance_key"),
         F.col("o_orderkey").cast("string").alias("claim_id"),
-        F.col("o_orderpriority").alias("claim_status"),
+        F.concat(F.lit("  "), "o_orderpriority", F.lit(" ")).alias("claim_status"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("stage"),
+        F.concat(F.lit("own "), "o_orderstatus").alias("instance"),
     )
     path = write_report_csv(report, run_folder(t.spark, "csv"), "claims")
-    return scan_report_csv(t.spark, path, recursive=True)
+    reader = t.spark.read.schema(report.schema).option("header", True).option("escape", '"')
+    return reader.option("recursiveFileLookup", True).csv(path)
 
 
 @query(

@@ -17,7 +17,7 @@ from revflow.operators.ledger import (
     active_reports,
 )
 from revflow.session import run_folder
-from revflow.streaming.ledger_stream import start_ledger_stream, stream_ledger
+from revflow.streaming.ledger_stream import compact_runs, start_ledger_stream, stream_ledger
 from revflow.workload.carrier import accounts
 from revflow.workload.registry import Tables, query
 
@@ -85,12 +85,18 @@ _BOTH_SQL = "(SELECT * FROM runs UNION ALL SELECT * FROM new_runs)"
 
 @query(
     "ledger_upsert",
-    f"""WITH {RUNS_SQL}, {_NEW_SQL}, {ledger_sql(_BOTH_SQL)} SELECT * FROM ledger""",
+    f"""WITH {RUNS_SQL}, {_NEW_SQL}, {ledger_sql(_BOTH_SQL)}
+SELECT * REPLACE (CASE report_name WHEN 'error' THEN NULL WHEN 'signup' THEN 1 ELSE status END AS status)
+FROM ledger""",
 )
 def ledger_upsert(t: Tables) -> DataFrame:
-    """A stored ledger after further runs equals the ledger of all runs."""
+    """A stored ledger after further runs equals the ledger of all runs.
+
+    Reports without new runs keep what was set by hand: no status at all, or several active rows.
+    """
     stored = run_folder(t.spark, "ledger")
-    report_ledger(runs(t)).write.parquet(stored)
+    by_hand = F.when(F.col("report_name") == "signup", 1).when(F.col("report_name") != "error", F.col("status"))
+    report_ledger(runs(t)).withColumn("status", by_hand).write.parquet(stored)
     return upsert_ledger(t.spark.read.parquet(stored), _new_runs(t))
 
 
@@ -126,37 +132,39 @@ def matrix_of_instance(t: Tables) -> DataFrame:
 
 
 def _registry(t: Tables) -> DataFrame:
-    """Every customer is configured for every report."""
+    """Every customer is configured for every report in two instances; runs exist in one of them."""
     names = F.explode(F.array(*[F.lit(r) for r in REPORTS]))
     return t.customer.select(
         F.col("c_custkey").cast("string").alias("customer_account"), names.alias("report_name")
-    )
+    ).select("*", F.explode(F.array(F.lit("I0"), F.lit("I1"))).alias("instance_key"))
 
 
 _REGISTRY_SQL = """
-registry AS (SELECT CAST(c_custkey AS VARCHAR) AS customer_account,
-  unnest(['click', 'error', 'purchase', 'signup', 'view']) AS report_name FROM customer)"""
+registry AS (SELECT customer_account, report_name, unnest(['I0', 'I1']) AS instance_key FROM
+  (SELECT CAST(c_custkey AS VARCHAR) AS customer_account,
+    unnest(['click', 'error', 'purchase', 'signup', 'view']) AS report_name FROM customer))"""
 
 
 @query(
     "registry_coverage",
-    f"""WITH {RUNS_SQL}, {ledger_sql("runs")}, {_ACTIVE_SQL}, {_REGISTRY_SQL}
-SELECT customer_account, report_name, identifier, identifier IS NOT NULL AS covered
-FROM registry LEFT JOIN active USING (customer_account, report_name)""",
+    f"""WITH {RUNS_SQL}, {ledger_sql("runs")}, {_REGISTRY_SQL}
+SELECT customer_account, report_name, instance_key, identifier, identifier IS NOT NULL AS covered
+FROM registry LEFT JOIN (SELECT * FROM ledger WHERE status = 1) USING (customer_account, report_name, instance_key)""",
 )
 def coverage(t: Tables) -> DataFrame:
-    return registry_coverage(_registry(t), active_reports(report_ledger(runs(t))))
+    """A run in one instance does not cover the other."""
+    return registry_coverage(_registry(t), active_reports(report_ledger(runs(t)), per_instance=True))
 
 
 @query(
     "registry_gaps",
     f"""WITH {RUNS_SQL}, {_REGISTRY_SQL}
-SELECT customer_account, report_name FROM registry
-WHERE (customer_account, report_name) NOT IN
-  (SELECT (customer_account, report_name) FROM runs)""",
+SELECT customer_account, report_name, instance_key FROM registry
+WHERE (customer_account, report_name, instance_key) NOT IN
+  (SELECT (customer_account, report_name, instance_key) FROM runs)""",
 )
 def gaps(t: Tables) -> DataFrame:
-    return registry_gaps(_registry(t), active_reports(report_ledger(runs(t))))
+    return registry_gaps(_registry(t), active_reports(report_ledger(runs(t)), per_instance=True))
 
 
 @query("report_names", "SELECT DISTINCT event_type AS report_name FROM events")
@@ -259,7 +267,7 @@ seen AS (SELECT * FROM runs WHERE sequence % 8 NOT IN (0, 1, 2, 3, 4)
     f"WITH {RUNS_SQL}, {_NEW_SQL}, {_ACCEPTED_SQL}, {ledger_sql('seen')} SELECT * FROM ledger",
 )
 def streamed(t: Tables) -> DataFrame:
-    """Two landings taken in one after the other by a stream that resumes."""
+    """Two landings taken in one after the other by a stream that resumes, then all by a new one over the same store."""
     root = run_folder(t.spark, "stream")
     landing, store, checkpoint = (f"{root}/{d}" for d in ("landing", "store", "checkpoint"))
     waves = (
@@ -269,4 +277,6 @@ def streamed(t: Tables) -> DataFrame:
     for wave in waves:
         wave.write.mode("append").json(landing)
         start_ledger_stream(t.spark, landing, store, checkpoint).awaitTermination()
-    return stream_ledger(t.spark, store)
+    start_ledger_stream(t.spark, landing, store, f"{checkpoint}-2").awaitTermination()
+    compact_runs(t.spark, store, f"{root}/compacted")
+    return stream_ledger(t.spark, f"{root}/compacted")
