@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revflow.llm.components import components
-from revflow.llm.tables import small_side, stored
+from revflow.llm.tables import frugal, small_side, stored
 from revflow.llm.words import find_words, mix, slices, windows
 
 CHUNKS, WIDTH = 10, 6
@@ -214,6 +214,7 @@ def near_duplicates(
     Documents are linked when the Jaccard similarity of their sets of k-word
     shingles is at least ``percent`` / 100; the smallest id of a component stays.
     """
+    frugal(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketches = stored(
         rows.mapInArrow(_sketches(k), "doc_id long, n_shingles long, low long, high long, signature array<short>"), "sketches"

@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from revflow.session import run_folder
 
 
+def frugal(spark: SparkSession) -> None:
+    """Arrow batches of at most 8 MB, unless the session says otherwise: a worker holds a few batches at once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(8 << 20))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
