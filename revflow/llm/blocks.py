@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from revflow.llm.tables import buckets
+from revflow.llm.tables import buckets, frugal
 from revflow.session import run_folder
 
 BLOCK_BYTES = 4 << 20
@@ -113,6 +113,7 @@ class Blocks:
 
     def __init__(self, docs: DataFrame, limit: int = BLOCK_BYTES):
         self.spark: SparkSession = docs.sparkSession
+        frugal(self.spark)
         self.ranges = buckets(self.spark)
         self.name = f"llm_blocks_{uuid.uuid4().hex[:12]}"
         self.answers: list[tuple[int, DataFrame]] = []

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revflow.llm.tables import buckets, small_side, stored
+from revflow.llm.tables import buckets, frugal, small_side, stored
 from revflow.llm.words import _BYTE, _SPACE, mix, slices, span, sums
 
 _P = 0x9E3779B97F4A7C15
@@ -199,6 +199,7 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     Texts are equal when identical without white space. The longest original
     text stays, then the smallest id.
     """
+    frugal(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     norm = normalised(F.col("text"))
     repeated = stored(repeated_fingerprints(rows).select("fp"), "fingerprints")

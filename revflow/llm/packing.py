@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revflow.llm.encoding import encoder
+from revflow.llm.tables import frugal
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -91,6 +92,7 @@ def pack(
     """
     if longest < 1 or longest & (longest - 1) or longest > 1 << 20:
         raise ValueError("longest must be a power of two up to 2**20")
+    frugal(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = SCHEMA if ids else SCHEMA.removesuffix(", ids array<int>")
     return rows.mapInArrow(_packer(lambda: encoder(vocabulary), longest, end, ids), schema)

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revflow.llm.lookup import Lookup
+from revflow.llm.tables import frugal
 from revflow.llm.words import mix, slices, span, sums
 
 _MARK = 0x2581  # stands for a space inside pieces
@@ -303,7 +304,7 @@ def _counter(path: str, budget: int, store: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         for batch in batches:
-            for piece, offsets, data in slices(batch, limit=4 << 20):
+            for piece, offsets, data in slices(batch, limit=1 << 20):
                 counts, first = prefix_counts(model, offsets, data)
                 n = np.diff(first)
                 total = np.zeros(len(n), np.int64)
@@ -331,6 +332,7 @@ def count_tokens(
     ``model`` is the path of a sentence-piece model on every machine;
     ``fit_points`` is the length of the longest prefix with at most ``budget`` tokens.
     """
+    frugal(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, n_bytes long, n_points long, n_tokens long, fit_points long" + ", counts binary" * store
     return rows.mapInArrow(_counter(model, budget, store), schema)

@@ -22,6 +22,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _P = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _Q = 0xD6E8FEB86659FD93
+_STEP = 1 << 18
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -29,8 +30,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n at least; grown as needed."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, 1 << 16)
-        size = 1 << (size - 1).bit_length()
+        size = -(-n // (1 << 16)) << 16
         up = np.full(size, base, np.uint64)
         down = np.full(size, pow(base, -1, 2**64), np.uint64)
         up[0] = down[0] = 1
@@ -113,12 +113,18 @@ def find_words(offsets: np.ndarray, data: np.ndarray, lower: bool) -> Words:
         breaks = offsets[1:] - 1
         after[breaks[breaks >= 0]] = False
     end = np.flatnonzero(inside & ~after) + 1
-    prefix = sums((_LOWER if lower else _BYTE)[data], _P)
-    hashes = mix(span(prefix, start, end, _P) + (end - start).astype(np.uint64))
+    hashes = np.empty(len(start), np.uint64)
+    table = _LOWER if lower else _BYTE
+    cuts = np.unique(np.append(np.searchsorted(start, np.arange(0, len(data), _STEP)), len(start)))
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):  # a few bytes at a time bound the memory
+        low = start[a]
+        prefix = sums(table[data[low : end[b - 1]]], _P)
+        hashes[a:b] = span(prefix, start[a:b] - low, end[a:b] - low, _P)
+    hashes = mix(hashes + (end - start).astype(np.uint64))
     return Words(data, start, end, hashes, np.searchsorted(start, offsets))
 
 
-def slices(batch: pa.RecordBatch, text: str = "text", limit: int = 1 << 21) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def slices(batch: pa.RecordBatch, text: str = "text", limit: int = 1 << 19) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Pieces of a batch with about ``limit`` bytes of text (or one longer document), with its buffers."""
     if not batch.num_rows:
         return
