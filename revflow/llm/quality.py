@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revflow.llm.logistic import sigmoid
+from revflow.llm.tables import frugal
 from revflow.llm.words import find_words, slices
 
 _KINDS = np.full(256, 6, np.uint8)  # other ASCII signs
@@ -38,6 +39,7 @@ _KINDS[[9, 11, 12, 13, 32]], _KINDS[10] = 3, 4
 _KINDS[np.frombuffer(b".,;:'\"-?()", np.uint8)] = 5
 _KINDS[128:] = 7
 STATISTICS = 16
+_BATCH, _LEAST_STEPS = 64, 1000
 
 
 def statistics(offsets: np.ndarray, data: np.ndarray, words, sizes: np.ndarray) -> np.ndarray:
@@ -129,8 +131,9 @@ def learn(
     n = np.diff(first)
     x = 1 / np.sqrt(np.maximum(n, 1))
     rate, decay = 0.1, 1e-4
+    epochs = max(epochs, -(-_LEAST_STEPS * _BATCH // max(1, len(y))))  # few documents are seen more often
     for _ in range(epochs):
-        for batch in np.array_split(rng.permutation(len(y)), max(1, len(y) // 64)):
+        for batch in np.array_split(rng.permutation(len(y)), max(1, len(y) // _BATCH)):
             cells = np.concatenate([places[first[d] : first[d + 1]] for d in batch]) if len(batch) else places[:0]
             bounds = np.append(0, np.cumsum(n[batch]))
             error = (sigmoid(m.margin(cells, bounds, stats[batch])) - y[batch]) / len(batch)
@@ -186,6 +189,7 @@ def fit(
     size: str | None = "n_chars",
 ) -> Machine:
     """Learn from ``labels`` (doc_id, label 0/1) of ``docs``."""
+    frugal(docs.sparkSession)
     known = labels.filter("label IN (0, 1) AND doc_id IS NOT NULL")
     spread = F.xxhash64(F.col("doc_id"), F.lit(4))
     parts = [known.filter(F.col("label") == v).orderBy(spread, "doc_id").limit(per_class) for v in (0, 1)]
