@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from revflow.llm.logistic import fit_logistic, sigmoid
 from revflow.llm.lookup import Lookup
+from revflow.llm.tables import frugal
 from revflow.llm.words import _P, Words, find_words, mix, slices, span, sums
 
 _OPEN, _CLOSE = 1, 2  # bytes that stand for the edges of a word
@@ -182,7 +183,7 @@ class Classifier:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece, offsets, data in slices(batch):
+        for piece, offsets, data in slices(batch, limit=1 << 21):
             words = find_words(offsets, data, lower=True)
             group = piece.column("group").to_numpy()[words.doc()]
             key, one, number = np.unique(words.hash, return_index=True, return_inverse=True)
@@ -196,7 +197,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _described(halves: list[Evidence], top: int):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, offsets, data in slices(batch):
+            for piece, offsets, data in slices(batch, limit=1 << 21):
                 group = piece.column("group").to_numpy()
                 x = np.stack([features(m, offsets, data, top) for m in halves])
                 other = 1 - group % 2  # the half that has not seen the document
@@ -208,8 +209,9 @@ def _described(halves: list[Evidence], top: int):
     return describe
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, top: int = 5) -> Classifier:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, top: int = 5) -> Classifier:
     """Learn from ``labels`` (doc_id, label 0/1) of ``docs`` (doc_id, text)."""
+    frugal(docs.sparkSession)
     known = labels.filter("label IN (0, 1) AND doc_id IS NOT NULL")
     spread = F.xxhash64(F.col("doc_id"), F.lit(8))
     sample = None
@@ -246,12 +248,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, top: int = 5)
 def score_toxicity(docs: DataFrame, classifier: Classifier, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and score (0 to 1, higher: more likely toxic) of every row."""
     spark = docs.sparkSession
+    frugal(spark)
     shared = spark.sparkContext.broadcast(classifier)  # bounded by the learned sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            for piece, offsets, data in slices(batch):
+            for piece, offsets, data in slices(batch, limit=1 << 21):
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(own.score(offsets, data))], ["doc_id", "score"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
