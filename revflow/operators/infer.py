@@ -84,6 +84,36 @@ def infer_structure(
     """
     fields = list(df.schema)
     text = [i for i, f in enumerate(fields) if isinstance(f.dataType, T.StringType)]
+    return _decided(_column_masks(df, text), fields, text, pinned, skip_date_names, blank_double)
+
+
+def infer_structure_by(
+    df: DataFrame,
+    by: str,
+    pinned: Sequence[str] = (),
+    skip_date_names: bool = False,
+    blank_double: bool = False,
+) -> DataFrame:
+    """(by, position, column_name, data_type, all_missing) of the other columns, all text, for each value of ``by``."""
+    rest = df.drop(by)
+    fields, text = list(rest.schema), list(range(len(rest.columns)))
+    values = F.array(*[ref(f.name) for f in fields])
+    cells = df.select(by, F.posexplode(values).alias("position", "value"))
+    masks = cells.select(by, "position", _class_of(F.col("value")).alias("mask"))
+    masks = masks.groupBy(by, "position").agg(F.bit_or("mask").alias("mask"))
+    return _decided(masks, fields, text, pinned, skip_date_names, blank_double, by)
+
+
+def _decided(
+    masks: DataFrame,
+    fields: list[T.StructField],
+    text: list[int],
+    pinned: Sequence[str],
+    skip_date_names: bool,
+    blank_double: bool,
+    *keep: str,
+) -> DataFrame:
+    """Type of every column from its mask."""
     position, mask = F.col("position"), F.col("mask")
 
     def of(values: list) -> Column:
@@ -104,7 +134,8 @@ def infer_structure(
         .when(seen == DATE, "date")
         .otherwise("text")
     )
-    return _column_masks(df, text).select(
+    return masks.select(
+        *keep,
         "position",
         of([f.name for f in fields]).alias("column_name"),
         F.coalesce(of(fixed).cast("string"), inferred).alias("data_type"),
@@ -119,7 +150,7 @@ def structure(df: DataFrame) -> list[tuple[str, str]]:
     return [(f.name, TYPE_NAMES.get(f.dataType, "text")) for f in df.schema]
 
 
-def _typed(c: Column, kind: str) -> Column:
+def typed_column(c: Column, kind: str) -> Column:
     filled = F.nullif(c, F.lit(""))
     if kind == "bigint":
         return filled.try_cast("bigint")
@@ -153,7 +184,7 @@ def promote(
         if f.name in empty:
             return F.lit("").alias(f.name)
         if isinstance(f.dataType, T.StringType) and f.name in types:
-            return _typed(ref(f.name), types[f.name]).alias(f.name)
+            return typed_column(ref(f.name), types[f.name]).alias(f.name)
         return ref(f.name)
 
     return df.select(*[column(f) for f in df.schema])

@@ -174,6 +174,13 @@ def union_accounts(frames: Sequence[DataFrame], by_position: bool = False) -> Da
     return reduce(DataFrame.unionAll, [frames[0], *map(fit, frames[1:])])
 
 
+def common_type_name(a: str, b: str) -> str:
+    """The type in which two inferred types meet."""
+    if a == b:
+        return a
+    return "double precision" if {a, b} == {"bigint", "double precision"} else "text"
+
+
 def _common(a: T.DataType, b: T.DataType) -> T.DataType:
     if a == b:
         return a

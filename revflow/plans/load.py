@@ -1,37 +1,101 @@
-"""The report load: files below a root become typed, checked, published tables."""
+"""The report load: files below a root become typed, checked, published tables.
+
+Whatever the number of files, the load runs one job that looks at all headers
+and quotes, one that infers the types of all reports, and one write per
+table. Files of one table with one header are read by one scan.
+"""
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from revflow.functions.names import column_names, distinct_names, snake_name
-from revflow.operators.infer import promote
-from revflow.operators.shape import LAYOUTS, conform_report, union_conform
+from revflow.operators.infer import infer_structure_by, typed_column
+from revflow.operators.shape import LAYOUTS, common_type_name, conform_report, ref
 from revflow.plans.publish import register_marts
 from revflow.sinks.tables import full_refresh
-from revflow.sources.reports import csv_header, discover_reports, scan_report_csv
+from revflow.sources.reports import csv_header, delivered_files, scan_report_csv
+
+_PATH = "_report_path"
+
+
+class Loaded(NamedTuple):
+    """What a load has done: the views it published and the rows of each table."""
+
+    views: list[str]
+    rows: dict[str, int]
+
+
+def _cells(spark: SparkSession, line: str, path: str) -> tuple[str, ...]:
+    """Header cells of a file; a header with a line break in it is read as a record."""
+    if line.count('"') % 2:
+        return tuple(csv_header(spark, path))
+    return tuple(next(csv.reader([line]), ()))
+
+
+def _layout_frames(spark: SparkSession, root: str) -> dict[str, list[DataFrame]]:
+    """Text frames per table, one per header (and way of reading), each row with its report's path."""
+    groups: dict[tuple, list[str]] = {}
+    for row in delivered_files(spark, root).orderBy("table_name", "report_path", "file_path").collect():
+        path = unquote(row.file_path)
+        key = (row.table_name, _cells(spark, row.header_line, path), row.open_quotes)
+        groups.setdefault(key, []).append(path)
+    frames: dict[str, list[DataFrame]] = {}
+    for (table, header, multi_line), paths in groups.items():
+        df = scan_report_csv(spark, paths, distinct_names(header), multi_line=multi_line, path_column=_PATH)
+        if table in LAYOUTS:
+            df = conform_report(df, table)
+        names = [c for c in df.columns if c != _PATH]
+        df = df.select(*[ref(c).alias(n) for c, n in zip(names, column_names(names))], _PATH)
+        if "instance_key" in df.columns:  # stays text and comes second
+            rest = [c for c in df.columns if c != "instance_key"]
+            df = df.select(rest[0], "instance_key", *rest[1:])
+        frames.setdefault(table, []).append(df)
+    return frames
 
 
-def typed_report(
-    spark: SparkSession, path: str, table: str, pinned: Sequence[str] = (), **options
+def _conformed(
+    frames: list[DataFrame], found: dict[str, dict[str, tuple[str, bool]]]
 ) -> DataFrame:
-    """One delivered report: conformed, named, typed, empty columns blanked.
+    """One table from its frames. ``found`` has (type, all missing) per report and column.
 
-    ``instance_key`` stays text and comes second, whatever its values.
+    The report whose path comes first gives the columns: what others lack is an
+    empty string there, what only they have is dropped. A column has the type on which all
+    reports agree. As text it shows what was delivered, and an empty string for
+    reports in which it has no value at all.
     """
-    header = csv_header(spark, path, recursive=True)
-    names = distinct_names(header)
-    df = scan_report_csv(spark, path, names=names, recursive=True)
-    if table in LAYOUTS:
-        df = conform_report(df, table)
-    df = df.toDF(*column_names(df.columns))
-    df = promote(df, pinned=(*pinned, "instance_key"), blank_missing=True, **options)
-    if "instance_key" in df.columns:
-        rest = [c for c in df.columns if c != "instance_key"]
-        df = df.select(*rest[:1], "instance_key", *rest[1:])
-    return df
+    first = min(found)
+    names = [c for c in found[first]]
+    kinds = {
+        name: reduce(common_type_name, [report[name][0] if name in report else "text" for report in found.values()])
+        for name in names
+    }
+    blank = {
+        name: sorted(path for path, report in found.items() if name not in report or report[name][1]) for name in names
+    }
+    parts = []
+    for df in frames:
+        columns = []
+        for name, kind in kinds.items():
+            if name not in df.columns:
+                value = F.lit("")
+            elif kind != "text":
+                value = typed_column(ref(name), kind)
+            elif len(blank[name]) == len(found):
+                value = F.lit("")
+            elif blank[name]:
+                value = F.when(F.col(_PATH).isin(blank[name]), "").otherwise(ref(name))
+            else:
+                value = ref(name)
+            columns.append(value.alias(name))
+        parts.append(df.select(*columns))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def report_tables(
@@ -39,15 +103,32 @@ def report_tables(
 ) -> dict[str, DataFrame]:
     """All report files below a root, one frame per table.
 
-    Reports of one table from several instances are conformed to the first
-    one in the order of their paths. The driver only sees the list of reports.
+    The driver sees the list of files and one row per report and column.
     """
-    found = discover_reports(spark, root).orderBy("table_name", "report_path").collect()
-    parts: dict[str, list[DataFrame]] = {}
-    for row in found:
-        df = typed_report(spark, row.report_path, row.table_name, pinned, **options)
-        parts.setdefault(row.table_name, []).append(df)
-    return {t: union_conform(p) if len(p) > 1 else p[0] for t, p in parts.items()}
+    frames = _layout_frames(spark, root)
+    masks = [
+        infer_structure_by(df, _PATH, pinned=(*pinned, "instance_key"), **options).select(F.lit(table).alias("table_name"), "*")
+        for table, parts in frames.items()
+        for df in parts
+    ]
+    found: dict[str, dict[str, dict[str, tuple[str, bool]]]] = {t: {} for t in frames}
+    if masks:
+        rows = reduce(DataFrame.unionAll, masks).orderBy("table_name", _PATH, "position").collect()
+        for r in rows:
+            report = found[r.table_name].setdefault(r[_PATH], {})
+            kind, missing = r.data_type, bool(r.all_missing)
+            if r.column_name in report:  # files of one report may differ in how they are read
+                kind = common_type_name(report[r.column_name][0], kind) if not missing else report[r.column_name][0]
+                missing = missing and report[r.column_name][1]
+            report[r.column_name] = (kind, missing)
+    out = {}
+    for table, parts in frames.items():
+        if found[table]:
+            out[table] = _conformed(parts, found[table])
+        else:  # headers only
+            names = [c for c in parts[0].columns if c != _PATH]
+            out[table] = parts[0].select(*[F.lit("").alias(c) for c in names])
+    return out
 
 
 def load_reports(
@@ -57,15 +138,17 @@ def load_reports(
     database: str | None = None,
     pinned: Sequence[str] = (),
     as_of: Column | None = None,
+    partition_by: str | None = None,
     **options,
-) -> list[str]:
-    """Read, type, conform, check, refresh and publish. Returns the views.
+) -> Loaded:
+    """Read, type, conform, check, refresh and publish.
 
-    Either all tables are replaced or none.
+    Either all tables are replaced or none. ``partition_by`` names a column,
+    such as the instance, by which tables that have it are stored.
     """
     prefix = f"{snake_name(database)}." if database else ""
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {snake_name(database)}")
     frames = report_tables(spark, root, pinned, **options)
-    full_refresh(spark, {prefix + t: df for t, df in frames.items()}, store)
-    return register_marts(spark, as_of, prefix)
+    rows = full_refresh(spark, {prefix + t: df for t, df in frames.items()}, store, partition_by=partition_by)
+    return Loaded(register_marts(spark, as_of, prefix), rows)

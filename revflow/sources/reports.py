@@ -54,12 +54,14 @@ def scan_report_csv(
     na_words: bool = True,
     multi_line: bool | None = None,
     recursive: bool = False,
+    path_column: str | None = None,
 ) -> DataFrame:
     """Header CSV as text columns; types are decided later, over all rows.
 
     Names default to the normalised header with repeats told apart. Whether
     fields hold line breaks is looked up when ``multi_line`` is not given:
-    only then is a file read by one task.
+    only then is a file read by one task. ``path_column`` adds the path of
+    the report each row comes from, as the last column.
     """
     if names is None:
         names = column_names(csv_header(spark, paths, recursive))
@@ -67,9 +69,11 @@ def scan_report_csv(
         multi_line = has_line_breaks(spark, paths, recursive)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     df = _csv_reader(spark, multi_line, recursive).schema(schema).csv(paths)
-    if not na_words:
+    origin = [folder_of(F.col("_metadata.file_path")).alias(path_column)] if path_column else []
+    if not na_words and not origin:
         return df
-    return df.select(*[na_to_null(F.col(f"`{n}`")).alias(n) for n in names])
+    value = na_to_null if na_words else lambda c: c
+    return df.select(*[value(F.col(f"`{n}`")).alias(n) for n in names], *origin)
 
 
 def collapse_repeats(df: DataFrame, header: Sequence[str]) -> DataFrame:
@@ -121,6 +125,34 @@ def discover_reports(spark: SparkSession, root: str, pattern: str = "*.csv") ->
     )
 
 
+def delivered_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
+    """(table_name, report_path, file_path, header_line, open_quotes) of each file with lines below a root.
+
+    One pass over all lines finds the first line of each file and whether some
+    quoted field of it runs over a line end, so one odd quote does not
+    keep other files from being split.
+    """
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern)
+        .text(root)
+        .select(F.col("_metadata.file_path").alias("file_path"), place.alias("place"), "value", (quotes % 2 == 1).alias("odd"))
+    )
+    return (
+        lines.groupBy("file_path")
+        .agg(F.min_by("value", "place").alias("header_line"), F.bool_or("odd").alias("open_quotes"))
+        .select(
+            table_of(F.col("file_path")).alias("table_name"),
+            folder_of(F.col("file_path")).alias("report_path"),
+            "file_path",
+            "header_line",
+            "open_quotes",
+        )
+    )
+
+
 def scan_lines_with_table(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
     """All lines below a root with the table and the path they belong to."""
     return (

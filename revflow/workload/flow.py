@@ -45,6 +45,42 @@ def load_and_publish(t: Tables) -> DataFrame:
     return t.spark.table("v_charges_on_hold")
 
 
+@query(
+    "load_as_delivered",
+    """SELECT r_name AS instance_key, CAST(o_orderkey AS BIGINT) AS charge_id,
+  CASE WHEN r_name = 'ASIA' THEN 'R' || o_orderkey ELSE (o_orderkey + 10000000) || '.50' END AS reference,
+  CASE WHEN r_name = 'EUROPE' THEN '' ELSE strftime(o_orderdate, '%m/%d/%Y') END AS billed_on,
+  CAST(o_orderkey + CASE WHEN r_name = 'AFRICA' THEN 0.25 ELSE 0 END AS DOUBLE) AS units
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey""",
+)
+def load_as_delivered(t: Tables) -> DataFrame:
+    """Reports of five tenants in many files, which differ in the types of a column and in its presence.
+
+    Text is what was delivered where numbers meet text, and a tenant without any value makes the column text.
+    """
+    root = run_folder(t.spark, "delivered")
+    placed = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(
+        t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    key, tenant = F.col("o_orderkey").cast("string"), F.col("r_name")
+    rows = placed.select(
+        key.alias("Charge ID"),
+        tenant.alias("instance_key"),
+        F.when(tenant == "ASIA", F.concat(F.lit("R"), key))
+        .otherwise(F.concat((F.col("o_orderkey") + 10000000).cast("string"), F.lit(".50")))
+        .alias("Reference"),
+        F.when(tenant != "EUROPE", F.date_format("o_orderdate", "MM/dd/yyyy")).alias("Billed On"),
+        F.when(tenant == "AFRICA", F.concat(key, F.lit(".25"))).otherwise(key).alias("Units"),
+    )
+    for name in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"):
+        write_report_csv(rows.filter(tenant == name), f"{root}/{name}", "Charge Sheet", rebalance=False)
+    database = f"delivered_{root[-12:]}"
+    load_reports(t.spark, root, run_folder(t.spark, "store"), database=database, partition_by="instance_key")
+    load_reports(t.spark, root, run_folder(t.spark, "store"), database=database, partition_by="instance_key")
+    return t.spark.table(f"{database}.charge_sheet").select("instance_key", "charge_id", "reference", "billed_on", "units")
+
+
 # ---- envelopes to spooled reports ---------------------------------------
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from revflow.operators.shape import blank_null_columns, union_conform
 from revflow.plans import marts
 from revflow.workload.carrier import (
     AR_AGING_SQL,
@@ -144,3 +145,30 @@ def mart_charges_on_hold(t: Tables) -> DataFrame:
 @query("mart_v_charges_on_hold", _hold_sql(""))
 def mart_v_charges_on_hold(t: Tables) -> DataFrame:
     return marts.charges_on_hold(charges_on_hold_report(t, facility=False))
+
+
+@query(
+    "gross_billing_text_dates",
+    f"""WITH {CHARGES_SQL}, {GROSS_BILLING_SQL}, d AS (
+  SELECT charge_id, instance_key, charge_entered_date AS entered, claim_first_billed_date AS billed,
+    CAST(charge_id AS BIGINT) % 4 AS kind FROM gross_billing)
+SELECT CAST(charge_id AS VARCHAR) AS charge_id, CASE WHEN ok THEN 'Billed' ELSE 'Not Billed' END AS billed_or_not_billed,
+  CASE WHEN ok THEN CAST(billed - entered AS INTEGER) END AS charge_lag
+FROM (SELECT *, instance_key <> 'ASIA' AND kind <> 1 AND billed IS NOT NULL AS ok FROM d)""",
+)
+def gross_billing_text_dates(t: Tables) -> DataFrame:
+    """Billed is what has a date that can be read: not blanks, not a year alone, not a tenant without any."""
+    report = gross_billing_report(t)
+    billed = F.date_format("claim_first_billed_date", "MM/dd/yyyy")
+    unread = F.when(F.col("charge_claim_id") % 2 == 0, "2024").otherwise(" ")
+    text = F.when(F.col("charge_id") % 4 == 1, unread).otherwise(billed)
+    parts = [
+        report.filter("instance_key <> 'ASIA'").withColumn("claim_first_billed_date", text),
+        blank_null_columns(
+            report.filter("instance_key = 'ASIA'").withColumn("claim_first_billed_date", F.lit(None).cast("string"))
+        ),
+    ]
+    united = union_conform(parts)
+    return marts.gross_billing(united, as_of=F.lit(AS_OF).cast("date")).select(
+        "charge_id", "billed_or_not_billed", "charge_lag"
+    )

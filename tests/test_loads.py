@@ -190,8 +190,9 @@ def test_load_reports(spark, tmp_path):
     assert {r[6] for r in held.collect()} == {""}
     assert dict(tables["gross"].dtypes) == {"customer_account": "bigint", "paid_date": "date"}
     assert date(2024, 1, 5) in {r.paid_date for r in tables["gross"].collect()}
-    views = load_reports(spark, str(tmp_path / "in"), str(tmp_path / "store"), database="Load Test")
-    assert views == ["chage_on_hold", "v_charges_on_hold"]
+    loaded = load_reports(spark, str(tmp_path / "in"), str(tmp_path / "store"), database="Load Test")
+    assert loaded.views == ["chage_on_hold", "v_charges_on_hold"]
+    assert loaded.rows == {"load_test.charges_on_hold": 3, "load_test.gross": 2}
     assert sorted(rows(spark.table("v_charges_on_hold"))) == [
         ("P", "Held", "90853", Decimal("1001.50"), "i1"),
         ("Q", "Held", "H0015", None, "i2"),
