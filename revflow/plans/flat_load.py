@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from revflow.operators.quality import declared_lengths, load_audit
 from revflow.plans.report_layouts import REPORT_KEYS, REPORT_LAYOUTS
@@ -59,15 +59,22 @@ def load_flat_reports(
     prefix: str = "",
     keep_absent: bool = False,
 ) -> DataFrame:
-    """Replace the report tables by the files of a folder; returns the audit.
+    """Replace the report tables by the files of a folder; returns the audit, counted while they are written.
 
     Text longer than declared or a repeated key refuses the whole load. Tables whose
     file is absent are emptied, unless ``keep_absent`` leaves them as they are.
     """
-    frames, audit = flat_report_tables(spark, folder, layouts)
+    found = {table: _lines(spark, f"{folder}/{table}.dat") for table in layouts}
+    repairs = {table: Observation() for table, df in found.items() if df is not None}
+    frames = {
+        table: repair_ragged(found[table], layouts[table].fieldNames())
+        .observe(seen, F.count_if("_adjusted").alias("adjusted"))
+        .select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in layouts[table]])
+        for table, seen in repairs.items()
+    }
     if not keep_absent:
         frames |= {t: spark.createDataFrame([], layouts[t]) for t in layouts if t not in frames}
-    full_refresh(
+    rows = full_refresh(
         spark,
         {prefix + t: df for t, df in frames.items()},
         store,
@@ -78,4 +85,11 @@ def load_flat_reports(
             if (lengths := declared_lengths(df.schema))
         },
     )
-    return audit
+    status = {t: "failed" if t not in repairs else "loaded" if rows[prefix + t] else "empty" for t in layouts}
+    counted = [
+        (t, status[t], rows.get(prefix + t, 0) if t in repairs else 0, repairs[t].get["adjusted"] if t in repairs else 0)
+        for t in layouts
+    ]
+    return spark.createDataFrame(
+        counted, "table_name string, status string, rows_loaded bigint, rows_adjusted bigint"
+    )

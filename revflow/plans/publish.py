@@ -59,15 +59,18 @@ def statements(script: str) -> list[str]:
     return [part.strip() for part in script.split(";") if has_code(part)]
 
 
-def run_sql_scripts(spark: SparkSession, folder: str, pattern: str = "*.sql") -> list[str]:
+def run_sql_scripts(
+    spark: SparkSession, folder: str, pattern: str = "*.sql", recursive: bool = False
+) -> list[str]:
     """Run all matching files of a folder in the order of their names.
 
-    The first failing statement ends the run. Returns the file names.
+    With ``recursive`` also those of folders below it, in the order of their
+    paths. The first failing statement ends the run. Returns the file names.
     """
     scripts = (
-        spark.read.text(folder, wholetext=True, pathGlobFilter=pattern)
-        .select(F.col("_metadata.file_name").alias("name"), "value")
-        .orderBy("name")
+        spark.read.text(folder, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=recursive)
+        .select(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_path").alias("path"), "value")
+        .orderBy("path" if recursive else "name")
         .collect()
     )
     for script in scripts:

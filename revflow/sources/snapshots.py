@@ -86,10 +86,19 @@ def with_timestamps(
     return SnapshotTable(table.name, T.StructType(fields), table.key)
 
 
-def read_catalogue(spark: SparkSession, path: str) -> dict[str, SnapshotTable]:
-    """Catalogue from the scripts at a path, on any file system Spark can read."""
-    scripts = spark.read.text(path, wholetext=True, pathGlobFilter="*.sql").collect()
-    return ddl_catalogue("\n".join(script["value"] for script in scripts))
+def read_catalogue(
+    spark: SparkSession, path: str, pattern: str = "*.sql", recursive: bool = False
+) -> dict[str, SnapshotTable]:
+    """Catalogue from the scripts at a path, on any file system Spark can read.
+
+    A table of a full snapshot whose script declares another key than is known is refused.
+    """
+    read = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=recursive)
+    tables = ddl_catalogue("\n".join(script["value"] for script in read.select("value").collect()))
+    for name, table in tables.items():
+        if (table.key or "") != SNAPSHOT_KEYS.get(name, table.key or ""):
+            raise ValueError(f"{name} declares the key {table.key}, not {SNAPSHOT_KEYS[name] or 'none'}")
+    return tables
 
 
 def snapshot_files(spark: SparkSession, root: str) -> DataFrame:
@@ -140,15 +149,19 @@ def scan_snapshot(
     table: SnapshotTable,
     with_lineage: bool = False,
     mode: str = "FAILFAST",
+    check_header: bool = True,
 ) -> DataFrame:
     """One snapshot table, typed, from its data paths. A value that does not fit its type ends the
     scan, as a bulk load would; ``mode="PERMISSIVE"`` makes it NULL instead.
-    Lines may end in LF or CRLF; an empty field is NULL.
+    Lines may end in LF or CRLF; an empty field is NULL. A header that does not
+    name the table's columns in their order ends the scan too; without
+    ``check_header`` columns are taken by position, as a bulk load takes them.
     """
     df = (
         spark.read.schema(table.schema)
         .option("sep", "\t")
         .option("header", True)
+        .option("enforceSchema", not check_header)
         .option("quote", "")
         .option("nullValue", "")
         .option("dateFormat", SNAPSHOT_DATE)

@@ -9,10 +9,10 @@ from revflow.operators.quality import audit_totals, load_audit, profile_source
 from revflow.session import run_folder
 from revflow.sinks.files import (
     pipe_lines,
-    sorted_line,
     write_pipe_csv,
     write_pipe_dat,
     write_report_csv,
+    write_sorted_lines,
 )
 from revflow.sources.envelopes import decode_envelopes, records_by_name
 from revflow.sources.reports import (
@@ -24,7 +24,7 @@ from revflow.sources.reports import (
     scan_pipe_dat,
     scan_report_csv,
 )
-from revflow.sources.snapshots import ddl_catalogue, scan_snapshot, time_label
+from revflow.sources.snapshots import ddl_catalogue, read_catalogue, scan_snapshot, time_label
 from revflow.workload.carrier import accounts, d152, dec
 from revflow.workload.landing import csv_line, envelopes, write_files_with_header
 from revflow.workload.registry import Tables, query
@@ -252,7 +252,9 @@ def sorted_lines(t: Tables) -> DataFrame:
         F.when(F.col("s_nationkey") % 3 != 0, F.col("s_nationkey")).alias("s_nationkey"),
         dec("s_acctbal").alias("s_acctbal"),
     )
-    return df.select(sorted_line(df).alias("value"))
+    path = run_folder(t.spark, "sorted")
+    write_sorted_lines(df, path)
+    return t.spark.read.text(path)
 
 
 def _ragged(t: Tables) -> DataFrame:
@@ -411,6 +413,44 @@ def snapshot_lineage(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "snapshot_catalogue_many",
+    """SELECT upper(replace(n_name, ' ', '_')) AS table_name, k AS position, 'C' || k AS column_name,
+  CASE k % 5 WHEN 0 THEN 'decimal(10,0)' WHEN 1 THEN 'decimal(12,2)' WHEN 2 THEN 'timestamp_ntz'
+    WHEN 3 THEN 'string' ELSE 'date' END AS data_type,
+  CASE WHEN k % 5 = 3 THEN k + 10 END AS max_length, k = 0 AND n_regionkey <> 3 AS is_key
+FROM nation, (SELECT unnest(range(0, 40)) AS k) WHERE k <= n_nationkey + 5""",
+)
+def snapshot_catalogue_many(t: Tables) -> DataFrame:
+    """Scripts of a table per nation, in a file per region, read as the registry of their columns."""
+    k = F.col("k")
+    kind = (
+        F.when(k % 5 == 0, "NUMBER(10)")
+        .when(k % 5 == 1, "NUMBER(12,2)")
+        .when(k % 5 == 2, "TIMESTAMP")
+        .when(k % 5 == 3, F.concat(F.lit("VARCHAR2("), (k + 10).cast("string"), F.lit(")")))
+        .otherwise("DATE")
+    )
+    key = F.when((k == 0) & (F.col("n_regionkey") != 3), " PRIMARY KEY").otherwise("")
+    columns = t.nation.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n_nationkey") + 5))).select(
+        "n_regionkey", "n_name", k.alias("k"), F.concat(F.lit("C"), k.cast("string"), F.lit(" "), kind, key).alias("line")
+    )
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "line"))), lambda x: x["line"]), ",\n")
+    tables = columns.groupBy("n_regionkey", "n_name").agg(body.alias("body"))  # at most 40 columns
+    name = F.upper(F.replace("n_name", F.lit(" "), F.lit("_")))
+    script = F.concat(F.lit("CREATE TABLE "), name, F.lit(" (\n"), "body", F.lit(");\n"))
+    path = run_folder(t.spark, "ddl")
+    tables.select("n_regionkey", script.alias("value")).write.partitionBy("n_regionkey").text(path)
+    catalogue = read_catalogue(t.spark, path, pattern="*.txt", recursive=True)
+    rows = [
+        (table.name, i, f.name, f.dataType.simpleString(), f.metadata.get("max_length"), f.name == table.key)
+        for table in catalogue.values()
+        for i, f in enumerate(table.schema)
+    ]
+    schema = "table_name string, position bigint, column_name string, data_type string, max_length bigint, is_key boolean"
+    return t.spark.createDataFrame(rows, schema)
+
+
 # ---- envelopes ----------------------------------------------------------
 
 _PER_ENVELOPE = 200

@@ -317,6 +317,5 @@ def published_scripts(t: Tables) -> DataFrame:
     for name, text in scripts.items():
         script = t.spark.range(1).select(F.lit(text).alias("value"))
         script.coalesce(1).write.option("lineSep", "\n").text(f"{folder}/{name}")
-    for name in scripts:
-        run_sql_scripts(t.spark, f"{folder}/{name}", pattern="*.txt")
+    run_sql_scripts(t.spark, folder, pattern="*.txt", recursive=True)
     return t.spark.table("published_counts")

@@ -91,6 +91,28 @@ def conform(t: Tables) -> DataFrame:
     return conform_report(df, "write_off_trend")
 
 
+@query(
+    "conform_payment_trend",
+    """SELECT CAST(c_custkey AS VARCHAR) AS customer_account, 'A' AS instance_key, c_mktsegment AS "Practice Name",
+  CAST(o_orderkey AS VARCHAR) AS "Claim ID", 'total' AS "Payment Total Applied", o_orderstatus AS "Payment Received",
+  o_orderpriority AS "Left Over"
+FROM orders JOIN customer ON o_custkey = c_custkey""",
+)
+def conform_payment_trend(t: Tables) -> DataFrame:
+    """The patient's applied amount under its old name goes; what the layout does not list stays behind."""
+    df = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("o_orderpriority").alias("Left Over"),
+        F.lit("patient").alias("Payment Applied Amount"),
+        F.lit("total").alias("Payment Total Applied"),
+        F.col("o_orderstatus").alias("Payment Received"),
+        F.col("o_orderkey").cast("string").alias("Claim ID"),
+        F.col("c_mktsegment").alias("Practice Name"),
+        F.lit("A").alias("instance_key"),
+        F.col("c_custkey").cast("string").alias("customer_account"),
+    )
+    return conform_report(df, "payment_trend")
+
+
 @query(
     "conform_user_time_spread",
     """SELECT CAST(user_id AS VARCHAR) AS customer_account, 'A' AS instance_key,

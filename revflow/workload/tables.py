@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from revflow.operators.quality import duplicate_keys, quality_gate, registry_errors
 from revflow.session import run_folder
-from revflow.sinks.tables import append_unique, create_if_absent, full_refresh, new_rows, row_counts
+from revflow.sinks.tables import (
+    append_unique,
+    create_if_absent,
+    drop_tables,
+    full_refresh,
+    new_rows,
+    row_counts,
+)
 from revflow.workload.carrier import d152, dec
 from revflow.workload.registry import Tables, query
 
@@ -17,7 +24,7 @@ from revflow.workload.registry import Tables, query
     "quality_gate",
     f"""SELECT 'not_null' AS rule, 'shipped' AS column_name, count(*) FILTER (l_partkey % 23 = 0)
   AS violations FROM lineitem
-UNION ALL SELECT 'not_null', 'l_orderkey', 0 FROM region WHERE r_regionkey = 0
+UNION ALL SELECT 'not_null', 'l_orderkey', count(*) FILTER (l_orderkey IS NULL) FROM lineitem
 UNION ALL SELECT 'max_length', 'part', count(*) FILTER (length(CAST(l_partkey AS VARCHAR)) > 2)
   FROM lineitem
 UNION ALL SELECT 'precision', 'price', count(*) FILTER (l_partkey % 29 = 0 OR
@@ -43,6 +50,24 @@ def gate(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "drop_tables",
+    "SELECT r_name AS table_name, r_regionkey % 2 = 0 AS there FROM region",
+)
+def dropped(t: Tables) -> DataFrame:
+    """Of a table per region, those with odd keys are dropped; dropping twice, or what never was, does nothing."""
+    mark = uuid.uuid4().hex[:8]
+    root = run_folder(t.spark, "store")
+    regions = t.region.select("r_regionkey", "r_name").collect()
+    names = {r.r_name: f"drop_{mark}_{r.r_regionkey}" for r in regions}
+    for r in regions:
+        create_if_absent(t.spark, names[r.r_name], t.nation.filter(F.col("n_regionkey") == r.r_regionkey), root)
+    odd = [names[r.r_name] for r in regions if r.r_regionkey % 2]
+    drop_tables(t.spark, [*odd, *odd, f"drop_{mark}_never"])
+    there = [(name, t.spark.catalog.tableExists(table)) for name, table in names.items()]
+    return t.spark.createDataFrame(there, "table_name string, there boolean")
+
+
 @query(
     "duplicate_keys",
     """SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem
