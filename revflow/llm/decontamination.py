@@ -131,15 +131,23 @@ def contaminated(
     texts = keyed.join(some, same, "left_semi").dropDuplicates(["key_id", "key_text"])
     same = texts["key_id"].eqNullSafe(met["met_id"]) & (texts["key_text"] == met["met_text"])
     found = texts.join(met, same).select("met_id", "met_text", "items", words_of(F.col("text")).alias("words"))
-    looked = found.withColumn("d_runs", _runs(F.col("words"), k)).select(
-        "met_id", "met_text", _occurrences(F.col("words"), F.col("d_runs"), F.col("items"), words).alias("seen")
+    looked = found.select(
+        "met_id",
+        "met_text",
+        _let(
+            F.struct(F.col("words").alias("words"), _runs(F.col("words"), k).alias("runs"), F.col("items").alias("items")),
+            lambda d: _occurrences(d["words"], d["runs"], d["items"], words),
+        ).alias("seen"),
     )
-    spots = looked.withColumn("seen", F.filter("seen", lambda x: F.size(x["spots"]) > 0)).select(
+    # stored, so that no filter on the result repeats the search
+    seen = stored(looked.withColumn("seen", F.filter("seen", lambda x: F.size(x["spots"]) > 0)), "seen")
+    places = F.array_sort(F.array_distinct(F.flatten(F.col("seen.spots"))))
+    spots = seen.select(
         "met_id",
         "met_text",
         F.array_sort(F.array_distinct(F.col("seen.item_id"))).alias("items"),
-        F.size(F.array_distinct(F.flatten(F.col("seen.spots")))).cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.col("seen.spots")))).alias("spots"),
+        F.size(places).cast("long").alias("n_hit"),
+        places.alias("spots"),
     )
     same = marked["key_id"].eqNullSafe(spots["met_id"]) & (marked["key_text"] == spots["met_text"])
     return marked.join(spots, same, "left").select(
