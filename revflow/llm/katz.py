@@ -111,54 +111,71 @@ class _View:
         self.model = model
         self._sorted: dict[int, tuple] = {}
         self._asked: dict[int, np.ndarray] = {}
+        self._counts: dict[int, np.ndarray] = {}
 
     def grams(self, order: int, ends: np.ndarray) -> np.ndarray:
         """Hashes of the n-grams that end at the given tokens."""
         return mix(span(self.prefix, ends - order + 1, ends + 1, _Q) + np.uint64(order))
 
-    def distinct(self, order: int, ends: np.ndarray):
-        """Distinct n-grams that end at ``ends``: keys in order, training counts, and each end's number."""
+    def distinct(self, order: int, answers: dict):
+        """Distinct candidates of an order: keys in order, training counts, and the number of each candidate."""
         if order not in self._sorted:
-            keys, number = np.unique(self.grams(order, ends), return_inverse=True)
-            self._sorted[order] = keys, np.bincount(number, self.train[ends], len(keys)).astype(np.uint32), number
+            at = self.candidates(order, answers)
+            keys, number = np.unique(self.grams(order, at), return_inverse=True)
+            self._sorted[order] = keys, np.bincount(number, self.train[at], len(keys)).astype(np.uint32), number
         return self._sorted[order]
 
     def candidates(self, order: int, answers: dict) -> np.ndarray:
         """Tokens at which an n-gram may be kept: both n-grams of the lower order inside it are."""
-        if order in self._asked:
-            return self._asked[order]
-        if order == 1:
-            out = np.arange(len(self.tokens))
-        else:
-            good = self.counts(order - 1, answers)[0] >= self.model.least
-            out = np.flatnonzero(good[1:] & good[:-1] & (self.depth[1:] >= order - 1)) + 1
-        self._asked[order] = out
+        if order not in self._asked:
+            if order == 1:
+                out = np.arange(len(self.tokens))
+            else:
+                good = self.counts(order - 1, answers) >= self.model.least
+                out = np.flatnonzero(good[1:] & good[:-1] & (self.depth[1:] >= order - 1)) + 1
+            self._asked[order] = out
+        return self._asked[order]
+
+    def _answered(self, order: int, answers: dict) -> np.ndarray:
+        keys = self.distinct(order, answers)[0]
+        if not len(keys):
+            return np.empty(0, np.int64)
+        return np.concatenate([a[0] for a in gather(answers[_count_step(order)], keys, self.model.ranges)]).astype(np.int64)
+
+    def counts(self, order: int, answers: dict) -> np.ndarray:
+        """Training count of the n-gram that ends at each token; 0 if it was no candidate."""
+        if order not in self._counts:
+            out = np.zeros(len(self.tokens), np.int64)
+            got = self._answered(order, answers)
+            out[self.candidates(order, answers)] = (got >> 1)[self.distinct(order, answers)[2]]
+            self._counts[order] = out
+        return self._counts[order]
+
+    def spoken(self, order: int, answers: dict) -> np.ndarray:
+        """Whether this block speaks for the n-gram that ends at each token; true at one end of each such n-gram."""
+        at, (keys, _, number) = self.candidates(order, answers), self.distinct(order, answers)
+        first = np.empty(len(keys), np.int64)
+        first[number[::-1]] = np.arange(len(number))[::-1]
+        out = np.zeros(len(self.tokens), bool)
+        out[at[first]] = (self._answered(order, answers) & 1).astype(bool)
         return out
 
-    def counts(self, order: int, answers: dict) -> tuple[np.ndarray, np.ndarray]:
-        """Training count of the n-gram that ends at each token (0 if it was no candidate), and whether this block speaks for it."""
-        at = self.candidates(order, answers)
-        keys, _, number = self.distinct(order, at)
-        out, speaks = np.zeros(len(self.tokens), np.int64), np.zeros(len(self.tokens), bool)
-        if len(keys):
-            got = np.concatenate([a[0] for a in gather(answers[_count_step(order)], keys, self.model.ranges)]).astype(np.int64)
-            out[at] = (got >> 1)[number]
-            # one end per n-gram
-            one = np.zeros(len(at), bool)
-            one[np.unique(number, return_index=True)[1]] = True
-            speaks[at] = ((got & 1).astype(bool))[number] & one
-        return out, speaks
-
     def contexts(self, order: int, answers: dict):
         """Tokens whose context may have kept n-grams, the distinct contexts in order, and each token's context."""
-        good = self.counts(order - 1, answers)[0] >= self.model.least
+        good = self.counts(order - 1, answers) >= self.model.least
         at = np.flatnonzero(good[:-1] & (self.depth[1:] >= order - 1)) + 1
-        return at, *np.unique(self.grams(order - 1, at - 1), return_inverse=True)
+        # contexts are candidates of the lower order, whose numbers follow the order of their keys
+        keys, _, number = self.distinct(order - 1, answers)
+        place = np.empty(len(self.tokens), np.int64)
+        place[self.candidates(order - 1, answers)] = number
+        used = np.zeros(len(keys), bool)
+        used[place[at - 1]] = True
+        return at, keys[used], (np.cumsum(used) - 1)[place[at - 1]]
 
     def probabilities(self, order: int, answers: dict) -> np.ndarray:
         """P(token | up to order - 1 tokens before it), evaluated from the lower orders up."""
         m = self.model
-        count = self.counts(1, answers)[0]
+        count = self.counts(1, answers)
         p = np.where(count > 0, m.discounts[1].of(count) * count / m.scale, m.unknown) if m.tokens else np.ones(len(count))
         for n in range(2, order + 1):
             p = self.backed_off(n, p, answers)
@@ -173,9 +190,9 @@ class _View:
         weight = np.concatenate([a[0] for a in gather(answers[_weight_step(n)], keys, m.ranges)])[number]
         out = lower.copy()
         out[at] *= np.abs(weight)
-        count = self.counts(n, answers)[0][at]
+        count = self.counts(n, answers)[at]
         kept = count >= m.least
-        share = m.discounts[n].of(count) * count / (self.counts(n - 1, answers)[0][at - 1] + (weight < 0))
+        share = m.discounts[n].of(count) * count / (self.counts(n - 1, answers)[at - 1] + (weight < 0))
         out[at[kept]] = share[kept]
         return out
 
@@ -187,7 +204,7 @@ def _count_question(order: int, model: Model):
     def question(docs: pa.RecordBatch, answers: dict) -> dict[int, bytes]:
         view = _View(docs, model)
         at = view.candidates(order, answers)
-        keys, counts, _ = view.distinct(order, at)
+        keys, counts, _ = view.distinct(order, answers)
         out = {place: (keys[a:b], counts[a:b]) for place, a, b in cut(keys, model.ranges)}
         # occurrences in training that cannot be kept are n-grams that occur once
         others = int(((view.depth >= order - 1) & view.train).sum() - view.train[at].sum())
@@ -232,9 +249,9 @@ def _weight_question(order: int, model: Model):
         if not len(at):
             return {}
         lower = view.probabilities(order - 1, answers)[at]
-        count, speaks = (x[at] for x in view.counts(order, answers))
+        count, speaks = view.counts(order, answers)[at], view.spoken(order, answers)[at]
         own = np.zeros(len(keys), np.int64)
-        own[number] = view.counts(order - 1, answers)[0][at - 1]
+        own[number] = view.counts(order - 1, answers)[at - 1]
         mine = speaks & (count >= model.least)
         above = np.bincount(number[mine], (model.discounts[order].of(count) * count)[mine], len(keys))
         below = np.bincount(number[mine], lower[mine], len(keys))
@@ -271,7 +288,7 @@ def _weight_answer(bodies: list[bytes]):
 def _score(model: Model):
     def use(block: int, docs: pa.RecordBatch, answers: dict) -> Iterator[pa.RecordBatch]:
         view = _View(docs, model)
-        count = view.counts(1, answers)[0]
+        count = view.counts(1, answers)
         base = np.log10((count + 1) / (model.tokens + model.types + 1))
         p = np.log10(view.probabilities(model.order, answers))
         starts = view.first[:-1]
