@@ -31,7 +31,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), longest=1024, end=0, ids=False).drop("bucket")
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), longest=1024, end=0, ids=False)
 
 
 @_query
