@@ -98,28 +98,19 @@ class Pieces:
     def neighbours(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether b may follow a."""
         key = a.astype(np.int64) * (self.other + 1) + b
-        slot = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+        slot = self._slot(key)
         out = self.fine[slot]
         new = np.flatnonzero(self.seen[slot] != key)
         if len(new):
             fresh, back = np.unique(key[new], return_inverse=True)
             answer = self._decide((fresh // (self.other + 1)).astype(np.int32), (fresh % (self.other + 1)).astype(np.int32))
             out[new] = answer[back]
-            self.seen[slot[new]] = key[new]
-            self.fine[slot[new]] = self._at(slot[new], key[new], out[new])
+            slot = self._slot(fresh)
+            self.seen[slot], self.fine[slot] = fresh, answer  # of keys on one slot the last stays, in both
         return out
 
-    def _at(self, slot, key, value):
-        """Values for slots that several keys share: that of the key which stayed."""
-        mine = self.seen[slot] == key
-        kept = self.fine[slot]
-        kept[mine] = value[mine]
-        where = np.zeros(len(self.seen), bool) if len(slot) > 1 << 16 else None
-        if where is None:
-            stays = dict(zip(slot[mine].tolist(), value[mine].tolist(), strict=True))
-            return np.array([stays[s] for s in slot.tolist()], bool)
-        where[slot[mine]] = value[mine]
-        return where[slot]
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
 
     def _decide(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Undo merges on either side of the boundary, latest first, and look for one across it that came before."""
