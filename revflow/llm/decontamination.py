@@ -104,20 +104,17 @@ def contaminated(
         "items",
     )
     short = [r[0] for r in bench.filter(F.size("words") < words).select(F.size("words")).distinct().collect()]
-    prints = stored(bench.select("item", F.explode("kept").alias("print")), "item-prints")
-    # fingerprints of documents; runs as long as a short item (there are fewer than ``words`` lengths) are all kept
+    prints = stored(bench.select("item", (F.size("words") < words).alias("short"), F.explode("kept").alias("print")), "item-prints")
     worded = rows.select(*key, words_of(F.col("text")).alias("words"))
     kept = _kept(_runs(F.col("words"), k), width)
-    if short:
-        kept = F.array_distinct(F.concat(kept, *[_runs(F.col("words"), n) for n in sorted(short)]))
     marked = stored(worded.select("key_id", "key_text", F.size("words").cast("long").alias("n_words"), kept.alias("prints")), "prints")
-    hits = stored(
-        marked.select("key_id", "key_text", F.explode("prints").alias("print"))
-        .join(small_side(prints, 16), "print")
-        .select("key_id", "key_text", "item")
-        .distinct(),
-        "hits",
-    )
+    of_long = small_side(prints.filter("NOT short"), 16)
+    found = marked.select("key_id", "key_text", F.explode("prints").alias("print")).join(of_long, "print")
+    if short:  # these have no window to choose from, so all runs of their lengths (fewer than ``words``) are looked up
+        runs = F.array_distinct(F.concat(*[_runs(F.col("words"), n) for n in sorted(short)]))
+        of_short = small_side(prints.filter("short"), 16)
+        found = found.unionByName(worded.select("key_id", "key_text", F.explode(runs).alias("print")).join(of_short, "print"))
+    hits = stored(found.select("key_id", "key_text", "item").distinct(), "hits")
     met = (
         hits.join(small_side(bench, 2048), "item")
         .groupBy(F.col("key_id").alias("met_id"), F.col("key_text").alias("met_text"))
