@@ -24,15 +24,22 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-@lru_cache(maxsize=4)
-def encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
-    """Texts to ids, without special tokens added; special strings inside texts become their ids."""
-    import tiktoken
+@lru_cache(maxsize=1)
+def _library(path: str):
+    """The file's own library; loaded only if some text needs it."""
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(path)
     slow.no_truncation()
     slow.no_padding()
+    return slow
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
+    """Texts to ids, without special tokens added; special strings inside texts become their ids."""
+    import tiktoken
+
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     byte_of = _byte_of()
@@ -40,15 +47,12 @@ def encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
     vocabulary = {bytes(byte_of[c] for c in k): v for k, v in spec["model"]["vocab"].items() if k not in special}
     fast = tiktoken.Encoding("derived", pat_str=_PATTERN, mergeable_ranks=vocabulary, special_tokens=special)
 
-    def by_library(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in slow.encode_batch(texts, add_special_tokens=False)]
-
     allowed = set(special)
 
     def by_ranks(text: str) -> list[int]:
         try:
             return fast.encode(text, allowed_special=allowed, disallowed_special=())
         except ValueError:  # a run of blanks too long for its matcher
-            return by_library([text])[0]
+            return _library(path).encode(text, add_special_tokens=False).ids
 
     return lambda texts: [by_ranks(t) for t in texts]
