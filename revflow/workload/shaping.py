@@ -209,16 +209,24 @@ def promoted(t: Tables) -> DataFrame:
 
 @query(
     "schema_strict_check",
-    """SELECT * FROM (VALUES
-  ('swapped', 'name_mismatch', 0, 'total', 'total double precision', 'claim_id bigint'),
-  ('swapped', 'name_mismatch', 1, 'claim_id', 'claim_id bigint', 'total double precision'),
-  ('retyped', 'type_mismatch', 2, 'billed_date', 'text', 'date'),
-  ('longer', 'column_count', NULL, NULL, '4', '3'),
-  ('longer', 'missing_column', NULL, 'status', 'text', NULL),
-  ('other', 'missing_column', NULL, 'gone', 'date', NULL),
-  ('other', 'extra_column', NULL, 'billed_date', NULL, 'date'),
-  ('other', 'name_mismatch', 2, 'gone', 'gone date', 'billed_date date'))
-AS d(table_name, kind, position, column_name, expected, actual)""",
+    f"""WITH found AS (SELECT row_number() OVER (ORDER BY position) - 1 AS p, column_name AS name, data_type AS kind
+  FROM ({_INFER_SQL}) WHERE column_name IN ('claim_id', 'total', 'billed_date')),
+wanted AS (SELECT * FROM (VALUES ('same', 0, 'claim_id', 'bigint'), ('same', 1, 'total', 'double precision'),
+  ('same', 2, 'billed_date', 'date'), ('swapped', 0, 'total', 'double precision'), ('swapped', 1, 'claim_id', 'bigint'),
+  ('swapped', 2, 'billed_date', 'date'), ('retyped', 0, 'claim_id', 'bigint'), ('retyped', 1, 'total', 'double precision'),
+  ('retyped', 2, 'billed_date', 'text'), ('longer', 0, 'claim_id', 'bigint'), ('longer', 1, 'total', 'double precision'),
+  ('longer', 2, 'billed_date', 'date'), ('longer', 3, 'status', 'text'), ('other', 0, 'claim_id', 'bigint'),
+  ('other', 1, 'total', 'double precision'), ('other', 2, 'gone', 'date')) AS w(t, p, name, kind))
+SELECT t AS table_name, 'column_count' AS kind, NULL AS position, NULL AS column_name,
+  CAST(count(*) AS VARCHAR) AS expected, CAST((SELECT count(*) FROM found) AS VARCHAR) AS actual
+FROM wanted GROUP BY t HAVING count(*) <> (SELECT count(*) FROM found)
+UNION ALL SELECT t, 'missing_column', NULL, name, kind, NULL FROM wanted WHERE name NOT IN (SELECT name FROM found)
+UNION ALL SELECT t, 'extra_column', NULL, f.name, NULL, f.kind FROM (SELECT DISTINCT t FROM wanted), found f
+  WHERE (t, f.name) NOT IN (SELECT (t, name) FROM wanted)
+UNION ALL SELECT t, CASE WHEN w.name <> f.name THEN 'name_mismatch' ELSE 'type_mismatch' END, CAST(p AS INTEGER), w.name,
+  CASE WHEN w.name <> f.name THEN w.name || ' ' || w.kind ELSE w.kind END,
+  CASE WHEN w.name <> f.name THEN f.name || ' ' || f.kind ELSE f.kind END
+FROM wanted w JOIN found f USING (p) WHERE (w.name, w.kind) <> (f.name, f.kind)""",
 )
 def strict_check(t: Tables) -> DataFrame:
     """Types found in whole text columns against stored layouts that differ from them."""
