@@ -100,6 +100,28 @@ def full_refresh(
     return rows
 
 
+def superseded_folders(spark: SparkSession, root: str, tables: Sequence[str]) -> DataFrame:
+    """(table_name, folder, files, bytes) of earlier loads below ``root`` that no entry of the tables points to.
+
+    Loads leave these for readers that have begun; a clean-up may remove them
+    once such readers have ended. Only the file listing is used.
+    """
+    current = [place[1].rstrip("/") for t in tables if (place := _place(spark, t)) is not None]
+    folder = F.regexp_extract("path", r"^(.*/load-[0-9a-f]{12})/", 1)
+    found = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load([_location(root, t, "") for t in tables])
+        .select(folder.alias("folder"), "length")
+    )
+    return (
+        found.filter((F.col("folder") != "") & ~F.col("folder").isin(current))
+        .groupBy("folder")
+        .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+        .select(F.regexp_extract("folder", r"([^/]+)/[^/]+$", 1).alias("table_name"), "folder", "files", "bytes")
+    )
+
+
 def _place(spark: SparkSession, table: str) -> tuple[T.StructType, str, str | None] | None:
     """Schema, folder and partition column of a stored table; None without one."""
     if not spark.catalog.tableExists(table):

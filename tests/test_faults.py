@@ -13,7 +13,7 @@ from revflow.plans.report_layouts import REPORT_LAYOUTS
 from revflow.plans.snapshot_load import load_snapshot
 from revflow.sinks import tables as stored_tables
 from revflow.sinks.files import write_report_csv
-from revflow.sinks.tables import full_refresh
+from revflow.sinks.tables import full_refresh, superseded_folders
 from revflow.sources.envelopes import decode_with_faults, envelope_errors
 from revflow.sources.reports import delivered_files, scan_report_csv
 from revflow.sources.snapshots import ddl_catalogue, read_catalogue, scan_snapshot
@@ -140,6 +140,16 @@ def test_entries_are_restored_when_pointing_fails(spark, tmp_path, monkeypatch):
     assert rows(spark.table("back_x")) == rows(spark.table("back_y")) == [(1,)]
 
 
+def test_superseded_folders_are_told(spark, tmp_path):
+    df = spark.createDataFrame([(1,)], "k bigint")
+    for n in range(3):
+        full_refresh(spark, {"old_x": df.selectExpr(f"k + {n} AS k"), "old_y": df}, str(tmp_path))
+    left = superseded_folders(spark, str(tmp_path), ["old_x", "old_y"]).collect()
+    assert sorted(r.table_name for r in left) == ["old_x", "old_x", "old_y", "old_y"]
+    assert {spark.read.parquet(r.folder).first().k for r in left if r.table_name == "old_x"} == {1, 2}
+    assert rows(spark.table("old_x")) == [(3,)]
+
+
 def test_refused_snapshot_leaves_no_rows(spark, tmp_path):
     put(tmp_path / "A_20250101_000000" / "ONE.DAT", f"{HEADER}\n{LINE}\n")
     put(tmp_path / "A_20250101_000000" / "TWO.DAT", "CODE\nx\n")
