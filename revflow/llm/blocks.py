@@ -27,6 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from revflow.llm.tables import buckets, frugal
+from revflow.llm.words import release
 from revflow.session import run_folder
 
 BLOCK_BYTES = 4 << 20
@@ -144,6 +145,7 @@ class Blocks:
                 for step, place, body in zip(*(got.column(c).to_pylist() for c in ("step", "place", "body")), strict=True):
                     answers.setdefault(step, {})[place] = body
             out = list(use(row.column("block")[0].as_py(), open_block(row), answers))
+            release()
             return pa.Table.from_batches(out).cast(names) if out else names.empty_table()
 
         def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,6 +190,7 @@ class Blocks:
             table = table.take(pa.array(order))
             bodies = table.column("body").to_pylist()
             answers, figures, part = answer(bodies)
+            release()
             n = len(answers)
             place = table.column("place")[0].as_py()
             return pa.table(

@@ -8,6 +8,8 @@ window in constant time. NULL texts count as empty.
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -124,6 +126,24 @@ def find_words(offsets: np.ndarray, data: np.ndarray, lower: bool) -> Words:
     return Words(data, start, end, hashes, np.searchsorted(start, offsets))
 
 
+def release() -> None:
+    """Give freed memory back to the system, which a reused worker would keep for good."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def _libc():
+    try:
+        libc = ctypes.CDLL(ctypes.util.find_library("c"))
+        return libc if hasattr(libc, "malloc_trim") else None
+    except OSError:
+        return None
+
+
+_LIBC = _libc()
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", limit: int = 1 << 19) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Pieces of a batch with about ``limit`` bytes of text (or one longer document), with its buffers."""
     if not batch.num_rows:
@@ -136,3 +156,4 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = 1 << 19) -> I
         own = offsets[at : to + 1]
         yield batch.slice(at, to - at), own - own[0], data[own[0] : own[-1]]
         at = to
+    release()
