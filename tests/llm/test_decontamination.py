@@ -1,7 +1,7 @@
 import random
 import re
 
-from conftest import frame
+from documents import frame
 from revflow.llm import decontamination
 
 

@@ -4,7 +4,7 @@ import re
 import numpy as np
 from hypothesis import given, settings, strategies as st
 
-from conftest import frame
+from documents import frame
 from revflow.llm import exact_dedup
 
 

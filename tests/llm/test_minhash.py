@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 
-from conftest import frame
+from documents import frame
 from revflow.llm import minhash
 from revflow.llm.components import components
 

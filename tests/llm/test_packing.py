@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from conftest import frame
+from documents import frame
 from revflow.llm import packing
 from revflow.llm.encoding import encoder
 from revflow.llm.tables import vocabulary

@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from conftest import frame
+from documents import frame
 from revflow.llm.tables import vocabulary
 from test_decontamination import brute as brute_hits
 from test_minhash import brute as brute_near

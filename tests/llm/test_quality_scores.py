@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from conftest import frame
+from documents import frame
 from revflow.llm import quality
 from revflow.llm.logistic import sigmoid
 from revflow.llm.queries import QUERIES

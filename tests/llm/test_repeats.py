@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from conftest import frame
+from documents import frame
 from revflow.llm import repeats
 
 

@@ -2,7 +2,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from conftest import frame
+from documents import frame
 from revflow.llm import secrets
 from revflow.llm.queries import QUERIES
 

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 
-from conftest import frame
+from documents import frame
 from revflow.llm import token_counts
 from revflow.llm.tables import vocabulary
 from revflow.llm.words import string_buffers

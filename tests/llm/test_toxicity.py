@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from conftest import frame
+from documents import frame
 from revflow.llm import toxicity
 from revflow.llm.queries import QUERIES
 from revflow.llm.words import string_buffers
