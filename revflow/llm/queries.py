@@ -175,6 +175,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scored(found, forest).select(
         "doc_id",
         "place",
+        "run",
         F.char_length("value").cast("long").alias("length"),
         held_out.alias("held_out"),
         "label",

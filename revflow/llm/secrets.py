@@ -1,6 +1,7 @@
 """Secret scan with a random forest that removes false findings, in DataFrame operations only.
 
-Candidates are unbroken runs of letters, digits and ``+/_-``. Each is described by
+Candidates are all unbroken runs of 16 or more letters, digits and ``+/_-``, also several
+in one word (addresses, minified JSON, lists, texts without blanks). Each is described by
 its length, how often its kinds of characters change, how much of it a dictionary
 covers, where it stands (path and place in the text), and the words beside it. The
 dictionary holds the letter triples of the words that recur in the corpus, at
@@ -42,7 +43,12 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = "source") -> DataFrame:
-    """One row per candidate: doc_id, path, place (number of its word), n_words, value, head (the word up to it), before, after."""
+    """One row per candidate: doc_id, path, place (number of its word), run (its number in that word), n_words, value, head, before, after.
+
+    The first run of a word has the word up to it as head and the two words before it as before; a later run
+    has the text since the run before it, and that run with its own head. After the last run
+    comes the next word, after another one the text up to the end of the next run.
+    """
     route = F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), route.alias("path"), F.split(F.coalesce(F.col(text), F.lit("")), r"\s+").alias("words")
@@ -57,22 +63,30 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
         lambda i: F.struct(
             i.cast("long").alias("place"),
             F.get("words", i).alias("word"),
-            F.array_join(F.slice("words", F.greatest(i - 1, F.lit(1)), F.least(i, F.lit(2))), " ").alias("before"),
-            F.coalesce(F.get("words", i + 1), F.lit("")).alias("after"),
+            F.array_join(F.slice("words", F.greatest(i - 1, F.lit(1)), F.least(i, F.lit(2))), " ").alias("two_before"),
+            F.coalesce(F.get("words", i + 1), F.lit("")).alias("next_word"),
         ),
     )
     each = rows.select("doc_id", "path", F.size("words").alias("n_words"), F.explode(found).alias("c")).select(
         "doc_id", "path", "n_words", "c.*"
     )
-    return each.select(
-        "doc_id",
-        "path",
-        "place",
-        "n_words",
-        F.regexp_extract("word", _RUN, 0).alias("value"),
-        F.regexp_extract("word", rf"^(.*?){_RUN}", 1).alias("head"),
-        "before",
-        "after",
+    cut = each.select(
+        "*", F.regexp_extract_all("word", F.lit(_RUN), F.lit(0)).alias("runs"), F.split("word", _RUN).alias("heads")
+    )
+    joint = lambda k: F.concat(F.get("heads", k), F.get("runs", k))
+    # each run has its own stretch of the word, so that a word of many runs is not copied for each
+    runs = F.transform(
+        "runs",
+        lambda value, k: F.struct(
+            k.cast("long").alias("run"),
+            value.alias("value"),
+            F.get("heads", k).alias("head"),
+            F.when(k == 0, F.col("two_before")).otherwise(joint(k - 1)).alias("before"),
+            F.when(k == F.size("runs") - 1, F.col("next_word")).otherwise(joint(k + 1)).alias("after"),
+        ),
+    )
+    return cut.select("doc_id", "path", "place", "n_words", F.explode(runs).alias("c")).select(
+        "doc_id", "path", "place", "c.run", "n_words", "c.value", "c.head", "c.before", "c.after"
     )
 
 
