@@ -101,3 +101,17 @@ def test_held_out_text_is_likelier_than_under_single_words(spark):
 
     rows = QUERIES["op1_katz"](spark, "/root/testdata/sf0.001").filter("held_out").collect()
     assert rows and sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
+def test_query_is_a_model_of_all_triples(spark):
+    """The registered query keeps every pair and triple of the training documents, those that occur once included."""
+    from revflow.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", (crc_of_id(7) != 2).alias("t")).collect()
+    wanted = brute([r["text"] for r in docs], [r["t"] for r in docs], 3, 1)[0]
+    got = {r["doc_id"]: r for r in QUERIES["op1_katz"](spark, folder).collect()}
+    for r, (n, known, total, base, score) in zip(docs, wanted, strict=True):
+        g = got[r["doc_id"]]
+        assert (g["n_tokens"], g["n_known"], g["train_tokens"]) == (n, known, total)
+        assert g["base_score"] == pytest.approx(base, rel=1e-9) and g["score"] == pytest.approx(score, rel=1e-9)
