@@ -153,19 +153,22 @@ def _places(cell: str) -> Column:
     return F.array_compact(F.transform("_header", lambda h, p: F.when(h == cell, p)))
 
 
-def records_by_name(decoded: DataFrame, header: Sequence[str], keep: Sequence[str]) -> DataFrame:
+def records_by_name(
+    decoded: DataFrame, header: Sequence[str], keep: Sequence[str], names: Sequence[str] | None = None
+) -> DataFrame:
     """Decoded records under the cells of ``header``, whatever each member's order.
 
     A repeated cell takes the member's cell of the same name and rank. Values
     are trimmed, blanks are NULL; short records and absent names give NULL.
-    Members that have this very header are read by position.
+    Members that have this very header are read by position. ``names`` are the columns'
+    names, by default the cells with a number for repeats.
     """
     aligned = decoded.withColumn("_header", F.transform("header", trim_all)).withColumn(
         "_same", F.col("_header") == F.array(*[F.lit(h) for h in header])
     )
     seen: dict[str, int] = {}
     fields = []
-    for i, (cell, name) in enumerate(zip(header, distinct_names(header))):
+    for i, (cell, name) in enumerate(zip(header, names or distinct_names(header))):
         rank = seen.get(cell, 0)
         seen[cell] = rank + 1
         if rank == 0:

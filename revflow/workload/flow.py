@@ -95,9 +95,12 @@ def spool_envelopes(t: Tables) -> DataFrame:
     """Of two runs per account and instance only the active one is decoded and spooled.
 
     Every account has payloads in two instances. Odd accounts have no active
-    run and therefore no rows. Every other payload has its columns turned round.
+    run and therefore no rows. Every other payload has its columns turned round, and
+    some accounts, not the lowest, tell the status in a column that only they have.
     """
-    return _spooled(t, faults=False)[0]
+    spooled = _spooled(t, faults=False)[0]
+    status = F.coalesce(F.nullif("status", F.lit("")), "later_status").alias("status")
+    return spooled.select("customer_account", "instance_key", "claim_id", status)
 
 
 @query(
@@ -111,19 +114,24 @@ FROM a WHERE a % 10 <> 0""",
 )
 def spool_with_faults(t: Tables) -> DataFrame:
     """Unreadable payloads and records too long for their header are quarantined, each with its reason."""
-    return _spooled(t, faults=True)[1]
+    return _spooled(t, faults=True)[1].select("customer_account", "instance_key", "report_name", "member", "fault")
 
 
 def _spooled(t: Tables, faults: bool) -> tuple[DataFrame, DataFrame | None]:
     chunk, key = F.floor(F.col("o_orderkey") / 200), F.col("o_orderkey").cast("string")
+    extra = F.lit(False) if faults else chunk % 8 == 4
     records = (
         t.orders.select(
             chunk.alias("account"),
-            F.when(chunk % 4 == 2, F.array(F.lit("Status"), F.lit("Claim ID")))
+            F.when(extra, F.array(F.lit("Claim ID"), F.lit("Status"), F.lit("Later Status")))
+            .when(chunk % 4 == 2, F.array(F.lit("Status"), F.lit("Claim ID")))
             .otherwise(F.array(F.lit("Claim ID"), F.lit("Status")))
             .alias("header"),
             F.struct(
-                F.when(chunk % 4 == 2, F.array("o_orderpriority", key)).otherwise(F.array(key, "o_orderpriority")).alias("cells")
+                F.when(extra, F.array(key, F.lit(""), "o_orderpriority"))
+                .when(chunk % 4 == 2, F.array("o_orderpriority", key))
+                .otherwise(F.array(key, "o_orderpriority"))
+                .alias("cells")
             ).alias("record"),
         )
         .groupBy("account", "header")

@@ -60,6 +60,27 @@ def test_header_is_that_of_the_lowest_account_and_the_rest_is_told(spark):
     assert rows(delivered_headers(decoded)) == [("open", ["A", "B"], ["C"])]
 
 
+def test_cells_that_only_others_deliver_are_spooled(spark, tmp_path):
+    others = [
+        ("2", "i1", "open", "x3", envelope(a_csv="C,a,A,A,,customer_account\n5,6,7,8,9,10\n")),
+        ("3", "i1", "open", "x4", envelope(a_csv="A,B\n1,2,3\n")),
+    ]
+    kept = str(tmp_path / "q")
+    paths = spool_reports(payloads(spark, *others), str(tmp_path / "a"), quarantine=kept)
+    written = spark.read.option("header", True).csv(paths["open"], recursiveFileLookup=True)
+    assert written.columns == ["customer_account", "instance_key", "A", "B", "unnamed", "A.1", "C", "a.2", "customer_account.1"]
+    assert sorted(rows(written)) == [
+        ("1", "i1", "1", "2", None, None, None, None, None),
+        ("1", "i2", "3", "4", None, None, "5", None, None),
+        ("2", "i1", "7", None, "9", "8", "5", "6", "10"),
+    ]
+    assert rows(spark.read.parquet(kept).select("customer_account", "header", "fields")) == [("3", ["A", "B"], ["1", "2", "3"])]
+    paths = spool_reports(payloads(spark, others[0]), str(tmp_path / "b"), by_position=True)
+    written = spark.read.option("header", True).csv(paths["open"], recursiveFileLookup=True)
+    assert written.columns[2:] == ["A", "B", "A.1", "A.2", "unnamed", "customer_account.1"]
+    assert sorted(rows(written))[2][2:] == ("5", "6", "7", "8", "9", "10")
+
+
 def test_runs_are_chosen_per_instance(spark):
     found = payloads(spark)
     ledger = found.select("customer_account", "instance_key", "report_name", "identifier").withColumns(
