@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from revflow.llm.logistic import fit_logistic, sigmoid
 from revflow.llm.lookup import Lookup
 from revflow.llm.tables import frugal
-from revflow.llm.words import _P, Words, find_words, mix, slices, span, sums
+from revflow.llm.words import _P, Words, find_words, mix, release, slices, span, sums
 
 _OPEN, _CLOSE = 1, 2  # bytes that stand for the edges of a word
 _ORDER = 6
@@ -209,7 +209,7 @@ def _described(halves: list[Evidence], top: int):
     return describe
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, top: int = 5) -> Classifier:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, top: int = 5) -> Classifier:
     """Learn from ``labels`` (doc_id, label 0/1) of ``docs`` (doc_id, text)."""
     frugal(docs.sparkSession)
     known = labels.filter("label IN (0, 1) AND doc_id IS NOT NULL")
@@ -229,10 +229,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, top: int = 5)
         share = 0.5 if share is None else min(max(share, 1e-6), 1 - 1e-6)
         return Classifier(None, np.array([0.0, 0.0, 0.0, np.log(share / (1 - share))]), top)
     names = words.column("word").to_pylist()
+    del words
 
     def learned(toxic: np.ndarray, ordinary: np.ndarray) -> Evidence:
         seen = np.flatnonzero(toxic + ordinary > 0)
-        return kneser_ney([names[i] for i in seen], np.stack([toxic[seen], ordinary[seen]], axis=1))
+        evidence = kneser_ney([names[i] for i in seen], np.stack([toxic[seen], ordinary[seen]], axis=1))
+        release()  # the driver's memory grows from run to run otherwise
+        return evidence
 
     order = sorted(range(len(names)), key=names.__getitem__)  # the same sums whatever the order of rows
     names, counts = [names[i] for i in order], counts[order]

@@ -95,3 +95,12 @@ def test_edge_cases(spark, odd_rows):
     assert {r["score"] for r in toxicity.score_toxicity(docs, none).collect()} == {0.5}
     one = toxicity.fit(docs.select("doc_id", "text"), labels.filter("label = 1"))
     assert {round(r["score"], 5) for r in toxicity.score_toxicity(docs, one).collect()} == {1.0}
+
+
+def test_learns_from_more_documents_than_the_lowered_bound(spark, monkeypatch):
+    """Of 1600 labelled documents of each class, all are learned from."""
+    seen, learn = [], toxicity.kneser_ney
+    monkeypatch.setattr(toxicity, "kneser_ney", lambda names, counts: seen.append(names) or learn(names, counts))
+    docs = spark.range(3200).selectExpr("id AS doc_id", "concat('w', lpad(id, 4, '0')) AS text")
+    toxicity.fit(docs, docs.selectExpr("doc_id", "CAST(doc_id % 2 AS int) AS label"))
+    assert len(seen[-1]) == 3200
