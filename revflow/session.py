@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -43,3 +46,25 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, so that runs never meet."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, which need not have it installed; once per application.
+
+    Spark itself hands the archive out from the driver, so no folder has to be shared for it.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_revflow_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as archive:
+        for folder, _, files in sorted(os.walk(package)):
+            for name in sorted(f for f in files if f.endswith(".py")):
+                path = os.path.join(folder, name)
+                archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+    place = os.path.join(tempfile.mkdtemp(prefix="revflow-ship-"), "revflow-package.zip")
+    with open(place, "wb") as f:
+        f.write(content.getvalue())
+    context.addPyFile(place)
+    context._revflow_shipped = True
