@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revflow.llm import decontamination, exact_dedup, katz, minhash, packing, quality, repeats, secrets, token_counts, toxicity
+from revflow.llm import decontamination, exact_dedup, katz, minhash, packing, quality, ranked_search, repeats, secrets, token_counts, toxicity
 from revflow.llm.tables import crc_of_id, stored, table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +182,30 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@_query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+ORACLE["op11_ranked_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents
+), q AS (
+  SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), sums AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(ts)) AS BIGINT) AS l FROM d WHERE len(ts) > 0
+), m AS (SELECT r, doc_id, 100 - 50 + ((50 * len(ts) * sums.n) // sums.l) AS m FROM d, sums WHERE len(ts) > 0
+), p AS (SELECT r, t, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) GROUP BY r, t
+), w AS (SELECT t, CAST(floor(1000 * ln((2.0::DOUBLE * sums.n + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM p, sums GROUP BY t, sums.n
+), s AS (
+  SELECT qt.q, p.r, CAST(sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 20 * m.m))) AS BIGINT) AS score
+  FROM (SELECT DISTINCT q, unnest(ts) AS t FROM q) qt JOIN p USING (t) JOIN w USING (t) JOIN m ON m.r = p.r GROUP BY qt.q, p.r
+), ranked AS (
+  SELECT q.item_id, CAST(row_number() OVER (PARTITION BY s.q ORDER BY s.score DESC, m.doc_id ASC NULLS LAST) AS INT) AS rank, m.doc_id, s.score
+  FROM s JOIN m USING (r) JOIN q ON q.q = s.q WHERE s.score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""

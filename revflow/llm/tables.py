@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revflow.session import run_folder
+from revflow.session import run_folder, ship
 
 
 def frugal(spark: SparkSession) -> None:
-    """Arrow batches of at most 8 MB, unless the session says otherwise: a worker holds a few batches at once."""
+    """Arrow batches of at most 8 MB, unless the session says otherwise: a worker holds a few batches at once.
+
+    Also sends the package to the workers, whose functions come from it.
+    """
+    ship(spark)
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key, None) is None:
         spark.conf.set(key, str(8 << 20))

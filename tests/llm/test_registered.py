@@ -19,11 +19,13 @@ COLUMNS = {
     "op8_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op9_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
     "op10_minhash": ["doc_id", "n_shingles", "component_id", "kept"],
+    "op11_ranked_search": ["item_id", "rank", "doc_id", "score"],
 }
 TYPES = {
     "doc_id": "bigint", "held_out": "boolean", "score": "double", "base_score": "double", "predicted": "int", "over_limit": "boolean",
     "kept": "boolean", "contaminated": "boolean", "kept_sha256": "string", "items_sha256": "string", "text_sha256": "string",
 }
+OWN = {"op11_ranked_search": {"rank": "int", "score": "bigint"}}
 
 
 def test_all_operators_are_registered():
@@ -40,7 +42,8 @@ def test_query_agrees_with_sql(spark, name):
 def test_columns(spark, name):
     kinds = dict(QUERIES[name](spark, FOLDER).dtypes)
     assert list(kinds)[: len(COLUMNS[name])] == COLUMNS[name]
-    assert {c: kinds[c] for c in COLUMNS[name]} == {c: TYPES.get(c, "bigint") for c in COLUMNS[name]}
+    types = TYPES | OWN.get(name, {})
+    assert {c: kinds[c] for c in COLUMNS[name]} == {c: types.get(c, "bigint") for c in COLUMNS[name]}
 
 
 @pytest.mark.parametrize("name, modulus, held", [("op1_katz", 7, 2), ("op4_quality", 5, 0), ("op8_toxicity", 3, 1)])
