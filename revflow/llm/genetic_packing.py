@@ -246,7 +246,8 @@ def _solved(rest: DataFrame, regions: int, size: int, islands: int, epochs: int)
             if going.isEmpty():
                 break
             open_ = state.join(going, "region").select("region", "island", "shape", "people")
-            arriving = state.join(going, "region").select("region", ((F.col("island") + 1) % islands).cast("int").alias("island"), "best")
+            moved = ((F.col("island") + 1) % islands).cast("int").alias("island")
+            arriving = stored(state.join(going, "region").select("region", moved, "best"), "elites")
     return stored(reduce(DataFrame.unionAll, done), "packed-regions")
 
 

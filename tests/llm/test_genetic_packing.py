@@ -118,6 +118,30 @@ def test_evolution_improves_on_best_fit():
     assert sizes[-1] < packing.Grouping(bin_of, lengths).rank() and sizes == sorted(sizes, reverse=True)
 
 
+def test_islands_exchange_elites(spark):
+    """Regions that do not reach the bound go on for all epochs; what comes out is no worse than best-fit decreasing."""
+    from revflow.llm.blocks import unpack
+
+    rng = np.random.default_rng(8)
+    a = rng.integers(380, 490, 60)
+    b = rng.integers(251, 1000 - a - 250)
+    lengths = np.concatenate([a, b, 1000 - a - b])
+    rest = spark.createDataFrame([(i, int(n)) for i, n in enumerate(lengths)], "seat long, length long")
+    rows = packing._solved(rest, 2, 1000, 3, 3).collect()
+    assert sorted(r["region"] for r in rows) == [0, 1]
+    seats = []
+    for r in rows:
+        (seat, length), (bin_of,) = unpack(r["shape"]), unpack(r["best"])
+        seats += seat.tolist()
+        assert length.tolist() == lengths[seat].tolist() and np.bincount(bin_of, length).max() <= 1000
+        fit = np.empty(len(length), np.int64)
+        packing.best_fit(length, packing.longest_first(length, np.arange(len(length))), fit, [], 1000)
+        assert packing.Grouping(bin_of, length).rank() <= packing.Grouping(fit, length).rank()
+    assert sorted(seats) == list(range(len(lengths)))
+    first = {r["region"]: bytes(r["best"]) for r in rows}
+    assert {r["region"]: bytes(r["best"]) for r in packing._solved(rest, 2, 1000, 3, 3).collect()} == first
+
+
 def test_crossover_injects_whole_bins():
     lengths = np.array([5, 5, 4, 6, 3, 3, 4, 9])
     a = packing.Grouping(np.array([0, 0, 1, 1, 2, 2, 2, 3]), lengths)
