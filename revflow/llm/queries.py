@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revflow.llm import decontamination, exact_dedup, genetic_packing, katz, minhash, packing, quality, ranked_search, repeats, secrets, token_counts, toxicity
+from revflow.llm import (
+    alignment,
+    decontamination,
+    exact_dedup,
+    genetic_packing,
+    katz,
+    minhash,
+    packing,
+    quality,
+    ranked_search,
+    repeats,
+    secrets,
+    token_counts,
+    toxicity,
+)
 from revflow.llm.tables import crc_of_id, stored, table, vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -215,3 +229,10 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 def op13_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return genetic_packing.pack(docs, vocabulary("word_bpe_49k.json"), longest=4096, end=1).drop("ids")
+
+
+@_query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = alignment.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    return alignment.document_scores(found)

@@ -11,7 +11,9 @@ normalises or splits in another way. That both agree on every other character is
 from __future__ import annotations
 
 import json
+import sys
 import unicodedata
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -19,10 +21,10 @@ import numpy as np
 
 from revflow.llm.encoding import _byte_of
 
-_TABLE = 1 << 19  # words kept
-_LONGEST = 64  # longer words are not kept
-# blocks whose characters no edition of Unicode since 10 has changed
-_SETTLED = r"\x00-՗‐-⁞₠-₿←-⇿─-╿　-〾ぁ-ゖ゠-ヾ一-鿕가-힣\U0001f300-\U0001f64f"
+_TABLE = 1 << 18  # strings kept
+_LONGEST = 64  # longer ones are not kept
+# blocks whose characters no edition of Unicode since 10 has changed, without the controls that only Python takes for blanks
+_SETTLED = r"\x00-\x1b\x20-՗‐-⁞₠-₿←-⇿─-╿　-〾ぁ-ゖ゠-ヾ一-鿕가-힣\U0001f300-\U0001f64f"
 
 # How the file says that it normalises and splits.
 _NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -43,7 +45,23 @@ def _expected(spec: dict) -> str | None:
         and not model.get("dropout")
         and not spec.get("post_processor")
     )
-    return split["pattern"].get("Regex") if plain else None
+    return split["pattern"].get("Regex") if plain and array("I").itemsize == 4 and sys.byteorder == "little" else None
+
+
+class _Table(dict):
+    """Results of a function of short strings; emptied when it is full."""
+
+    def __init__(self, of: Callable[[str], bytes]):
+        super().__init__()
+        self.of = of
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.of(key)
+        if len(key) <= _LONGEST:
+            if len(self) >= _TABLE:
+                self.clear()
+            self[key] = ids
+        return ids
 
 
 @lru_cache(maxsize=2)
@@ -71,16 +89,14 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
     character = {b: c for c, b in _byte_of().items()}
     model = library.model
 
-    class Table(dict):
-        def __missing__(self, word: str) -> bytes:
-            ids = np.array([t.id for t in model.tokenize("".join(map(character.__getitem__, word.encode())))], "<u4").tobytes()
-            if len(word) <= _LONGEST:
-                if len(self) >= _TABLE:
-                    self.clear()
-                self[word] = ids
-            return ids
+    def of_word(word: str) -> bytes:
+        # the printable characters of ASCII stand for themselves
+        own = word if word.isascii() and word.isprintable() else "".join(map(character.__getitem__, word.encode()))
+        return array("I", [t.id for t in model.tokenize(own)]).tobytes()
 
-    table = Table()
+    known = _Table(of_word)
+    # a run without blanks is made of whole words, and most runs return
+    runs = _Table(lambda run: b"".join(map(known.__getitem__, words(run))))
 
     def encode(text: str) -> bytes:
         if not text.isascii():
@@ -88,8 +104,8 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
                 return whole(text)
             # every capital sigma alone, where Python looks at its neighbours
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        elif special and unsettled(text):
+        elif unsettled(text):
             return whole(text)
-        return b"".join(map(table.__getitem__, words(text.lower())))
+        return b"".join(map(runs.__getitem__, text.lower().split()))
 
     return encode

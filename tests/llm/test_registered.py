@@ -19,12 +19,13 @@ COLUMNS = {
     "op8_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op9_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
     "op10_minhash": ["doc_id", "n_shingles", "component_id", "kept"],
+    "op12_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     "op13_genetic_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
     "op11_ranked_search": ["item_id", "rank", "doc_id", "score"],
 }
 TYPES = {
     "doc_id": "bigint", "held_out": "boolean", "score": "double", "base_score": "double", "predicted": "int", "over_limit": "boolean",
-    "kept": "boolean", "contaminated": "boolean", "kept_sha256": "string", "items_sha256": "string", "text_sha256": "string",
+    "kept": "boolean", "contaminated": "boolean", "kept_sha256": "string", "items_sha256": "string", "text_sha256": "string", "groups_sha256": "string",
 }
 OWN = {"op11_ranked_search": {"rank": "int", "score": "bigint"}, "op13_genetic_packing": {"piece": "int"}}
 
