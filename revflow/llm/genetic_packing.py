@@ -69,7 +69,7 @@ def _cutter(encode_with: Callable[[], Callable[[str], bytes]], longest: int, end
                             column.append(value)
                         seat += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names)
-        release()
+            release()
 
     return run
 

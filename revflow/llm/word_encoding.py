@@ -21,7 +21,6 @@ import numpy as np
 
 from revflow.llm.encoding import _byte_of
 
-_TABLE = 1 << 18  # strings kept
 _LONGEST = 64  # longer ones are not kept
 # blocks whose characters no edition of Unicode since 10 has changed, without the controls that only Python takes for blanks
 _SETTLED = r"\x00-\x1b\x20-՗‐-⁞₠-₿←-⇿─-╿　-〾ぁ-ゖ゠-ヾ一-鿕가-힣\U0001f300-\U0001f64f"
@@ -51,14 +50,14 @@ def _expected(spec: dict) -> str | None:
 class _Table(dict):
     """Results of a function of short strings; emptied when it is full."""
 
-    def __init__(self, of: Callable[[str], bytes]):
+    def __init__(self, of: Callable[[str], bytes], most: int):
         super().__init__()
-        self.of = of
+        self.of, self.most = of, most
 
     def __missing__(self, key: str) -> bytes:
         ids = self.of(key)
         if len(key) <= _LONGEST:
-            if len(self) >= _TABLE:
+            if len(self) >= self.most:
                 self.clear()
             self[key] = ids
         return ids
@@ -94,9 +93,13 @@ def word_encoder(path: str) -> Callable[[str], bytes]:
         own = word if word.isascii() and word.isprintable() else "".join(map(character.__getitem__, word.encode()))
         return array("I", [t.id for t in model.tokenize(own)]).tobytes()
 
-    known = _Table(of_word)
-    # a run without blanks is made of whole words, and most runs return
-    runs = _Table(lambda run: b"".join(map(known.__getitem__, words(run))))
+    known = _Table(of_word, 1 << 16)
+
+    def of_run(run: str) -> bytes:
+        # letters alone are one word, which needs no second table
+        return of_word(run) if run.isalpha() else b"".join(map(known.__getitem__, words(run)))
+
+    runs = _Table(of_run, 1 << 18)  # a run without blanks is made of whole words, and most runs return
 
     def encode(text: str) -> bytes:
         if not text.isascii():
