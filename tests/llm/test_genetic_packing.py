@@ -165,3 +165,22 @@ def test_ids_agree_with_the_library_on_every_character():
 def test_ids_of_odd_texts(odd_rows):
     texts = [t or "" for _, t in odd_rows] + ["ΑΣ ΣΑΣ", "<|startoftext|>Hi<|endoftext|>", "ȩ́ İI", "x" * 5000, "it's WE'LL '' s"]
     assert [np.frombuffer(word_encoder(PATH)(t), "<u4").tolist() for t in texts] == library()(texts)
+
+
+def test_new_words_by_ranks(tmp_path):
+    """The rank table gives what the library gives; a file with a token that its merges do not make of itself is left to the library."""
+    import json
+
+    from revflow.llm.word_encoding import _ranked
+
+    spec, tokenizer = json.load(open(PATH)), Tokenizer.from_file(PATH)
+    fast, rng = _ranked(spec, "</w>"), random.Random(4)
+    tokens = [t.removesuffix("</w>") for t in spec["model"]["vocab"] if t.isascii() and t.removesuffix("</w>").isalpha() and t.islower()]
+    words = ["".join(rng.choices(tokens, k=rng.randint(1, 3))) for _ in range(60_000)]
+    words += ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzéüñß日", k=rng.randint(1, 14))) for _ in range(60_000)]
+    wanted = tokenizer.encode_batch(words, add_special_tokens=False)
+    assert all(np.frombuffer(fast(w), "<u4").tolist() == e.ids for w, e in zip(words, wanted, strict=True))
+    # "abc" is to come from (a, bc), but (a, b) is joined first
+    letters = {c: i for i, c in enumerate([*"abc", *(x + "</w>" for x in "abc"), "ab", "bc", "abc"])}
+    small = {"vocab": letters, "merges": [["a", "b"], ["b", "c"], ["a", "bc"]]}
+    assert _ranked(dict(spec, model=dict(spec["model"], **small)), "</w>") is None
