@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from revflow.operators.quality import declared_lengths
 from revflow.sinks.tables import checked_rows, create_if_absent, insert, row_counts
+from revflow.sinks.versions import Version, append_all
 from revflow.sources.snapshots import SnapshotTable, scan_snapshot, snapshot_files
 
 
@@ -48,3 +49,17 @@ def load_snapshot(
     for table, df in passed.items():
         insert(spark, table, df)
     return row_counts(spark, list(passed))
+
+
+def append_snapshot(
+    spark: SparkSession, folder: str, catalogue: Mapping[str, SnapshotTable], store: str
+) -> Version:
+    """Append a snapshot to the tables of a versioned store: all of them by one commit, or none.
+
+    The rules are those of ``load_snapshot``.
+    """
+    frames = {name.lower(): df for name, df in snapshot_tables(spark, folder, catalogue).items()}
+    tables = {name.lower(): table for name, table in catalogue.items()}
+    keys = {t: [tables[t].key] for t in frames if tables[t].key}
+    lengths = {t: declared_lengths(tables[t].schema) for t in frames}
+    return append_all(spark, store, frames, keys, {t: {"max_length": n} for t, n in lengths.items() if n})

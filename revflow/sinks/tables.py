@@ -33,7 +33,7 @@ def create_if_absent(spark: SparkSession, table: str, df: DataFrame, root: str)
     )
 
 
-def _write(df: DataFrame, path: str, partition_by: str | None = None) -> int:
+def write_counted(df: DataFrame, path: str, partition_by: str | None = None) -> int:
     """Write and return the number of rows, counted on their way."""
     seen = Observation()
     writer = df
@@ -77,7 +77,7 @@ def full_refresh(
     for table, df in frames.items():
         part = partition_by if partition_by in df.columns else None
         staged[table] = _location(root, table, load)
-        rows[table] = _write(df, staged[table], part)
+        rows[table] = write_counted(df, staged[table], part)
         gate = dict((rules or {}).get(table, {}))
         key = (keys or {}).get(table)
         if key:
@@ -174,7 +174,7 @@ def checked_rows(
     """The rows to append, staged if there is a folder for it; raises if the table must not take them."""
     if staging is not None:
         path = f"{staging}/append-{uuid.uuid4().hex[:12]}"
-        _write(df, path)
+        write_counted(df, path)
         df = spark.read.schema(df.schema).parquet(path)
     if key:
         rules |= {"key": key, "not_null": [*key, *rules.get("not_null", [])]}

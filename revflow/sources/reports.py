@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from revflow.functions.names import column_names, last_positions, snake_column
 from revflow.functions.text import blank_to_null, na_to_null, trim_all
+from revflow.sources.csv_records import FAULT, FILE, refusing, scan_with_faults
 
 
 def has_line_breaks(spark: SparkSession, paths: str | list[str], recursive: bool = False) -> bool:
@@ -22,17 +23,6 @@ def has_line_breaks(spark: SparkSession, paths: str | list[str], recursive: bool
     return not lines.filter(quotes % 2 == 1).isEmpty()
 
 
-def _csv_reader(spark: SparkSession, multi_line: bool, recursive: bool):
-    return (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("recursiveFileLookup", recursive)
-        .option("enforceSchema", True)
-        .option("nullValue", "")
-    )
-
-
 def csv_header(spark: SparkSession, paths: str | list[str], recursive: bool = False) -> list[str]:
     """Header cells as delivered, repeats and blanks included. Reads one record."""
     first = (
@@ -55,24 +45,31 @@ def scan_report_csv(
     multi_line: bool | None = None,
     recursive: bool = False,
     path_column: str | None = None,
+    long_records: str = "refuse",
 ) -> DataFrame:
     """Header CSV as text columns; types are decided later, over all rows.
 
     Names default to the normalised header with repeats told apart. Whether
-    fields hold line breaks is looked up when ``multi_line`` is not given:
-    only then is a file read by one task. ``path_column`` adds the path of
-    the report each row comes from, as the last column.
+    fields hold line breaks is looked up when ``multi_line`` is not given; files
+    with such fields are split as others are. A record with more fields
+    than the header, or with a quote that is never closed, ends the scan;
+    ``long_records="cut"`` drops what has no column instead, and ``scan_with_faults`` keeps
+    such records apart. Records with fewer fields end in NULLs.
+    ``path_column`` adds the path of the report each row comes from, as the last column.
     """
     if names is None:
         names = column_names(csv_header(spark, paths, recursive))
     if multi_line is None:
         multi_line = has_line_breaks(spark, paths, recursive)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = _csv_reader(spark, multi_line, recursive).schema(schema).csv(paths)
-    origin = [folder_of(F.col("_metadata.file_path")).alias(path_column)] if path_column else []
-    if not na_words and not origin:
-        return df
+    found = scan_with_faults(spark, paths, names, multi_line, recursive)
+    return report_rows(refusing(found, keep_path=True) if long_records == "refuse" else found, na_words, path_column)
+
+
+def report_rows(df: DataFrame, na_words: bool = True, path_column: str | None = None) -> DataFrame:
+    """The delivered columns of scanned records, NULL for the words that mean it, and the report's path if it is asked for."""
     value = na_to_null if na_words else lambda c: c
+    names = [c for c in df.columns if c not in (FILE, FAULT)]
+    origin = [folder_of(F.col(FILE)).alias(path_column)] if path_column else []
     return df.select(*[value(F.col(f"`{n}`")).alias(n) for n in names], *origin)
 
 

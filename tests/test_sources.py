@@ -63,7 +63,9 @@ def test_csv_without_breaks_is_split(spark, tmp_path):
 
 def test_short_and_long_csv_rows(spark, tmp_path):
     path = put(tmp_path / "x.csv", "a,b\n1\n1,2,3\n")
-    assert rows(scan_report_csv(spark, path)) == [("1", None), ("1", "2")]
+    assert rows(scan_report_csv(spark, path, long_records="cut")) == [("1", None), ("1", "2")]
+    with pytest.raises(Exception, match="record longer than its header in .*x.csv: 1,2,3"):
+        rows(scan_report_csv(spark, path))
 
 
 def test_collapse_repeats(spark, tmp_path):
