@@ -60,14 +60,14 @@ def _cells(spark: SparkSession, line: str, path: str) -> tuple[str, ...]:
 
 
 def _layout_frames(
-    spark: SparkSession, root: str, quarantine: str | None = None
+    spark: SparkSession, root: str, quarantine: str | None = None, pattern: str = "*.csv"
 ) -> tuple[dict[str, list[DataFrame]], int]:
     """Text frames per table, one per header (and way of reading), each row with its report's path.
 
     With a ``quarantine`` folder, records that do not fit their header are written there and counted.
     """
     groups: dict[tuple, list[str]] = {}
-    for row in delivered_files(spark, root).orderBy("table_name", "report_path", "file_path").collect():
+    for row in delivered_files(spark, root, pattern).orderBy("table_name", "report_path", "file_path").collect():
         path = unquote(row.file_path)
         key = (row.table_name, _cells(spark, row.header_line, path), row.open_quotes)
         groups.setdefault(key, []).append(path)
@@ -173,15 +173,16 @@ def read_reports(
     pinned: Sequence[str] = (),
     quarantine: str | None = None,
     further: str = "drop",
+    pattern: str = "*.csv",
     **options,
 ) -> Reports:
     """All report files below a root, one frame per table.
 
     Records longer than their header, or whose quote is never closed, end the job that meets them, or go to the
     ``quarantine`` folder. ``further`` says what becomes of columns that only later reports have: "drop", "keep" or
-    "refuse"; they are told in any case. The driver sees the list of files and one row per report and column.
+    "refuse"; they are told in any case. ``pattern`` is that of the file names. The driver sees the list of files and one row per report and column.
     """
-    frames, aside = _layout_frames(spark, root, quarantine)
+    frames, aside = _layout_frames(spark, root, quarantine, pattern)
     masks = [
         infer_structure_by(df, _PATH, pinned=(*pinned, "instance_key"), **options).select(F.lit(table).alias("table_name"), "*")
         for table, parts in frames.items()

@@ -7,6 +7,7 @@ from revflow.workload import (  # noqa: F401  (each module registers its queries
     mart_queries,
     scalars,
     shaping,
+    stores,
     tables,
 )
 from revflow.workload.registry import ORACLE, QUERIES
