@@ -1,19 +1,22 @@
 """Toxicity by class-conditional Kneser-Ney models of the letters of words.
 
 Two models, one of toxic and one of ordinary texts, give each word a
-log-likelihood letter by letter, from up to five letters (bytes) before it,
-word edges included. The counts of the full contexts belong to a class; what an
-expression has not shown in its class backs off to continuation counts that both
-classes share, so a rare expression costs both models alike and only its class's
-own counts tell them apart. The difference of the two log-likelihoods, divided by
-the text's length, is a document's evidence; the same difference of its most toxic
-words, each counted once, lets a short passage count in a long text. A logistic curve
-over these turns them into a score; it is fitted on documents that the models have not seen
-(two halves of the sample judge each other).
+log-likelihood letter by letter, from up to eleven letters (bytes) before it, so
+from the whole word so far of nearly all words, word edges included. The counts of the full contexts belong
+to a class; what an expression has shown less than ``least`` times, or not in its class, backs off to
+continuation counts that both classes share, so a rare expression costs both models alike.
+
+A word's evidence is the difference of its two log-likelihoods. How ordinary words fare depends on the language,
+so a document's own median is what the evidence of its words is measured from. What a document says is the
+sum of the evidence beyond that median, per byte of the whole text, once beyond one and once beyond two nats; the plain
+difference per byte; its best word and the mean of its ``top`` best distinct words, since a short passage counts in a
+long text; and the length. A logistic curve over these turns them into a score; it is fitted on
+documents that the models have not seen (two halves of the sample judge each other).
+As toxic texts are rarer in the sample than the question supposes, the constant is moved by three quarters of the logarithm of the classes' ratio.
 
 Learning uses at most ``per_class`` labelled documents of each class, those with
-the smallest hashes of their ids; their distinct words are what reaches the
-driver. Scoring covers all documents and whole texts.
+the smallest hashes of their ids. Words are counted by Spark, and each model is made by one task from the distinct words of that
+sample; only its finished table reaches the driver. Scoring covers all documents and whole texts.
 
 Edge cases: texts without words (empty or NULL) have no evidence on either side.
 Without labelled documents of both classes every score is the share of toxic
@@ -33,38 +36,55 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revflow.llm.blocks import pack, unpack
 from revflow.llm.logistic import fit_logistic, sigmoid
 from revflow.llm.lookup import Lookup
-from revflow.llm.tables import frugal
+from revflow.llm.tables import frugal, stored
 from revflow.llm.words import _P, Words, find_words, mix, release, slices, span, sums
 
 _OPEN, _CLOSE = 1, 2  # bytes that stand for the edges of a word
-_ORDER = 6
+_ORDER = 12
+_LEAST = 3
 _DISCOUNT = 0.75
+_FEATURES = 6
 
 
-@dataclass
 class Evidence:
     """Log-likelihood differences of letters in their contexts, and of unseen letters by context."""
 
-    letters: Lookup
-    letter_values: np.ndarray
-    contexts: Lookup
-    context_values: np.ndarray
+    def __init__(self, letters: np.ndarray, letter_values: np.ndarray, contexts: np.ndarray, context_values: np.ndarray):
+        self.tables = (letters, letter_values.astype(np.float32), contexts, context_values.astype(np.float32))
+        self._found: tuple[Lookup, Lookup] | None = None
+
+    def __reduce__(self):
+        return Evidence, self.tables  # the tables that are probed are made where they are used
+
+    @property
+    def _lookups(self) -> tuple[Lookup, Lookup]:
+        if self._found is None:
+            self._found = tuple(Lookup(keys, np.arange(len(keys), dtype=np.int32)) for keys in self.tables[::2])
+        return self._found
 
     def of_words(self, flat: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Difference of each word; words are bytes with their edges, cut at ``first``."""
         ends, starts = _full_grams(first)
         prefix = sums(flat.astype(np.uint64) + np.uint64(1), _P)
         gram = _keys(prefix, starts, ends + 1)
-        found = self.letters.get(gram)
-        out = np.where(found >= 0, self.letter_values[found], 0.0)
-        rest = np.flatnonzero(found < 0)
-        context = self.contexts.get(_keys(prefix, starts[rest], ends[rest]))
-        out[rest] = np.where(context >= 0, self.context_values[context], 0.0)
+        letters, contexts = self._lookups
+        out = _picked(self.tables[1], letters.get(gram))
+        rest = np.flatnonzero(np.isnan(out))
+        context = _picked(self.tables[3], contexts.get(_keys(prefix, starts[rest], ends[rest])))
+        out[rest] = np.nan_to_num(context)
         return np.add.reduceat(out, np.append(0, np.cumsum(np.diff(first) - 1))[:-1]) if len(first) > 1 else np.empty(0)
 
 
+def _picked(values: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Values of the places that were found, NaN for others."""
+    out = np.full(len(which), np.nan)
+    out[which >= 0] = values[which[which >= 0]]
+    return out
+
+
 def _keys(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return ((mix(span(prefix, start, end, _P) + (end - start).astype(np.uint64)) >> np.uint64(1))).astype(np.int64)
 
@@ -89,33 +109,33 @@ def with_edges(words: Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return flat, first
 
 
-def kneser_ney(words: list[bytes], counts: np.ndarray) -> Evidence:
-    """Fit the two models to distinct words; ``counts`` has a row for each word: toxic, ordinary."""
+def kneser_ney(words: list[bytes], counts: np.ndarray, least: int = _LEAST) -> Evidence:
+    """Fit the two models to distinct words; ``counts`` has a row for each word: toxic, ordinary.
+
+    The classes' own counts are those of grams that occur ``least`` times in both together.
+    """
     size = np.array([len(w) + 2 for w in words], np.int64)
     first = np.append(0, np.cumsum(size))
     flat = np.frombuffer(b"".join(bytes([_OPEN]) + w + bytes([_CLOSE]) for w in words), np.uint8)
     prefix = sums(flat.astype(np.uint64) + np.uint64(1), _P)
     ends, starts = _full_grams(first)
-    word = np.repeat(np.arange(len(words)), size - 1)
     gram, one, number = np.unique(_keys(prefix, starts, ends + 1), return_index=True, return_inverse=True)
+    number = number.astype(np.int32)
     ends, starts = ends[one], starts[one]  # a sample of each distinct gram
-    context, of = np.unique(_keys(prefix, starts, ends), return_inverse=True)
     shared = _shared(prefix, starts, ends)
+    n = [np.bincount(number, np.repeat(counts[:, label], size - 1), len(gram)) for label in range(2)]
+    often = np.flatnonzero(n[0] + n[1] >= least)
+    gram, ends, starts, shared = gram[often], ends[often], starts[often], shared[often]
+    context, of = np.unique(_keys(prefix, starts, ends), return_inverse=True)
     values, unseen = [], []
-    for label in range(2):
-        n = np.bincount(number, counts[word, label], len(gram))
-        total, types = np.bincount(of, n, len(context)), np.bincount(of, n > 0, len(context))
+    for own in (x[often] for x in n):
+        total, types = np.bincount(of, own, len(context)), np.bincount(of, own > 0, len(context))
         with np.errstate(divide="ignore", invalid="ignore"):
             rest = np.where(total > 0, _DISCOUNT * types / total, 1.0)
-            own = np.where(n > 0, (n - _DISCOUNT) / total[of], 0.0)
-        values.append(np.log(own + rest[of] * shared))
+            kept = np.where(own > 0, (own - _DISCOUNT) / total[of], 0.0)
+        values.append(np.log(kept + rest[of] * shared))
         unseen.append(np.log(rest))
-    return Evidence(
-        Lookup(gram, np.arange(len(gram), dtype=np.int32)),
-        values[0] - values[1],
-        Lookup(context, np.arange(len(context), dtype=np.int32)),
-        unseen[0] - unseen[1],
-    )
+    return Evidence(gram, values[0] - values[1], context, unseen[0] - unseen[1])
 
 
 def _shared(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -144,9 +164,9 @@ def _shared(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
 
 
 def features(models: Evidence, offsets: np.ndarray, data: np.ndarray, top: int) -> np.ndarray:
-    """Per document: the difference per byte of the whole text, of its best word, and the mean of its ``top`` best words."""
+    """Per document what its words say: see the module's docstring."""
     words = find_words(offsets, data, lower=True)
-    out = np.zeros((words.docs, 3))
+    out = np.zeros((words.docs, _FEATURES))
     if not len(words.hash):
         return out
     _, one, number = np.unique(words.hash, return_index=True, return_inverse=True)
@@ -154,17 +174,23 @@ def features(models: Evidence, offsets: np.ndarray, data: np.ndarray, top: int)
     value, doc = values[number], words.doc()
     full = np.flatnonzero(np.diff(words.first) > 0)
     at = words.first[:-1][full]
-    weight = (words.end - words.start + 1).astype(float)
-    out[full, 0] = np.add.reduceat(value, at) / np.add.reduceat(weight, at)
+    weight = np.add.reduceat((words.end - words.start + 1).astype(float), at)
+    out[full, 0] = np.add.reduceat(value, at) / weight
     # distinct words of each document, best first; a missing word counts zero
     pair = np.unique(doc * len(one) + number)
-    doc, value = pair // len(one), values[pair % len(one)]
-    order = np.lexsort((-value, doc))
-    doc, value = doc[order], value[order]
-    rank = np.arange(len(doc)) - np.searchsorted(doc, doc)
-    best = rank < top
-    out[:, 1] = np.bincount(doc[rank == 0], value[rank == 0], words.docs)
-    out[:, 2] = np.bincount(doc[best], np.maximum(value[best], 0), words.docs) / top
+    own, best = pair // len(one), values[pair % len(one)]
+    order = np.lexsort((-best, own))
+    own, best = own[order], best[order]
+    begin = np.searchsorted(own, np.arange(words.docs + 1))
+    rank = np.arange(len(own)) - begin[own]
+    out[:, 1] = np.bincount(own[rank == 0], best[rank == 0], words.docs)
+    out[:, 2] = np.bincount(own[rank < top], np.maximum(best[rank < top], 0), words.docs) / top
+    median = np.zeros(words.docs)
+    median[full] = best[(begin[:-1] + np.diff(begin) // 2)[full]]
+    for column, nats in ((3, 1), (4, 2)):
+        beyond = np.maximum(value - median[doc] - nats, 0)
+        out[full, column] = np.sqrt(np.add.reduceat(beyond, at) / weight)
+    out[full, 5] = np.log(np.diff(words.first)[full])
     return out
 
 
@@ -173,6 +199,7 @@ class Classifier:
     models: Evidence | None
     weights: np.ndarray  # of the features and one
     top: int
+    words: int = 0  # distinct words that were learned from
 
     def score(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
         if self.models is None:
@@ -181,6 +208,9 @@ class Classifier:
         return sigmoid(x @ self.weights[:-1] + self.weights[-1])
 
 
+_NOTHING = Evidence(*[np.empty(0, t) for t in (np.int64, float, np.int64, float)])
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece, offsets, data in slices(batch, limit=1 << 21):
@@ -194,16 +224,28 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["word", "g0", "g1", "g2", "g3"])
 
 
-def _described(halves: list[Evidence], top: int):
+def _learner(group: pa.Table) -> pa.Table:
+    """The distinct words of one model, with their counts, to its table."""
+    names, counts = group.column("word").to_pylist(), np.stack([group.column(c).to_numpy() for c in ("toxic", "ordinary")], axis=1)
+    made = kneser_ney(names, counts.astype(float))
+    release()
+    bodies = [pack(*made.tables[i : i + 2]) for i in (0, 2)]
+    return pa.table(
+        {"model": pa.array([group.column("model")[0].as_py()], pa.int32()), "letters": pa.array([bodies[0]], pa.binary()),
+         "contexts": pa.array([bodies[1]], pa.binary()), "words": pa.array([len(names)], pa.int64())}
+    )
+
+
+def _described(halves, top: int):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, offsets, data in slices(batch, limit=1 << 21):
                 group = piece.column("group").to_numpy()
-                x = np.stack([features(m, offsets, data, top) for m in halves])
+                x = np.stack([features(m, offsets, data, top) for m in halves.value])
                 other = 1 - group % 2  # the half that has not seen the document
                 x = x[other, np.arange(len(group))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(group), *(pa.array(x[:, i]) for i in range(3))], ["group", "whole", "best", "top"]
+                    [pa.array(group), *(pa.array(x[:, i]) for i in range(_FEATURES))], ["group", *(f"x{i}" for i in range(_FEATURES))]
                 )
 
     return describe
@@ -222,30 +264,37 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, top: int = 5)
     sample = sample.select("doc_id", (2 * F.col("label") + half).cast("int").alias("group"))
     texts = docs.join(F.broadcast(sample), "doc_id").select("text", "group")  # at most 2 * per_class ids
     counted = texts.mapInArrow(_counted, "word binary, g0 long, g1 long, g2 long, g3 long")
-    words = counted.groupBy("word").agg(*[F.sum(f"g{i}").alias(f"g{i}") for i in range(4)]).toArrow()
-    counts = np.stack([words.column(f"g{i}").to_numpy() for i in range(4)], axis=1).astype(float)
-    if not len(counts) or not (counts[:, 2:].sum() and counts[:, :2].sum()):
+    words = stored(counted.groupBy("word").agg(*[F.sum(f"g{i}").alias(f"g{i}") for i in range(4)]), "toxicity-words")
+    ordinary, toxic = words.agg(F.sum(F.expr("g0 + g1")), F.sum(F.expr("g2 + g3"))).first()
+    if not (ordinary and toxic):
         share = known.select(F.avg("label")).first()[0]
         share = 0.5 if share is None else min(max(share, 1e-6), 1 - 1e-6)
-        return Classifier(None, np.array([0.0, 0.0, 0.0, np.log(share / (1 - share))]), top)
-    names = words.column("word").to_pylist()
-    del words
-
-    def learned(toxic: np.ndarray, ordinary: np.ndarray) -> Evidence:
-        seen = np.flatnonzero(toxic + ordinary > 0)
-        evidence = kneser_ney([names[i] for i in seen], np.stack([toxic[seen], ordinary[seen]], axis=1))
-        release()  # the driver's memory grows from run to run otherwise
-        return evidence
-
-    order = sorted(range(len(names)), key=names.__getitem__)  # the same sums whatever the order of rows
-    names, counts = [names[i] for i in order], counts[order]
-    halves = [learned(counts[:, 2 + h], counts[:, h]) for h in range(2)]
-    judged = texts.mapInArrow(_described(halves, top), "group int, whole double, best double, top double").toArrow()
-    x = np.stack([judged.column(c).to_numpy() for c in ("whole", "best", "top")], axis=1)
+        return Classifier(None, np.array([0.0] * _FEATURES + [np.log(share / (1 - share))]), top)
+    # models 0 and 1 of the halves, 2 of both
+    chosen = F.explode(
+        F.array(*[F.struct(F.lit(m).alias("model"), F.expr(t).alias("toxic"), F.expr(o).alias("ordinary"))
+                  for m, t, o in ((0, "g2", "g0"), (1, "g3", "g1"), (2, "g2 + g3", "g0 + g1"))])
+    )
+    of_models = words.select("word", chosen.alias("m")).select("word", "m.*").filter("toxic + ordinary > 0")
+    learned = of_models.groupBy("model").applyInArrow(_learner, "model int, letters binary, contexts binary, words long")
+    learned = stored(learned, "toxicity-models")
+    spark = docs.sparkSession
+
+    def model(number: int) -> tuple[Evidence, int]:
+        row = learned.filter(F.col("model") == number).first()
+        return (Evidence(*unpack(row["letters"]), *unpack(row["contexts"])), row["words"]) if row else (_NOTHING, 0)
+
+    halves = spark.sparkContext.broadcast([model(h)[0] for h in range(2)])  # bounded by the learned sample
+    names = [f"x{i}" for i in range(_FEATURES)]
+    judged = texts.mapInArrow(_described(halves, top), "group int, " + ", ".join(f"{x} double" for x in names)).toArrow()
+    halves.destroy()
+    x = np.stack([judged.column(c).to_numpy() for c in names], axis=1)
     y = judged.column("group").to_numpy() >= 2
     order = np.lexsort((*x.T, y))
     weights = fit_logistic(x[order], y[order])
-    return Classifier(learned(counts[:, 2] + counts[:, 3], counts[:, 0] + counts[:, 1]), weights, top)
+    weights[-1] += 0.75 * np.log(max(1, (~y).sum()) / max(1, y.sum()))
+    made, size = model(2)
+    return Classifier(made, weights, top, size)
 
 
 def score_toxicity(docs: DataFrame, classifier: Classifier, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
