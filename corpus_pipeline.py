@@ -1,8 +1,11 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage works on all that the one before kept, as written to Parquet and read
-again; all but the last return the columns of ``documents``. Rows with a NULL id are
-never dropped as copies of others, since nothing could refer to them.
+again; all but the last return the columns of ``documents``, whatever further ones there are and
+whatever they are called. Rows with a NULL id are never dropped as copies of others, since nothing could refer to
+them. NULL and empty texts pass all stages but the first, if it rejects them, and the second, which keeps
+one of them. Very long texts are read whole. Of rows equal in id and text the second stage keeps all or none; different texts
+under one id are different documents. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,9 +34,20 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by sets of five-word shingles with a similarity of at least 0.8."""
-    gone = minhash.near_duplicates(docs, k=5, percent=80).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(small_side(stored(gone, "near-copies"), 16), "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group linked by sets of five-word shingles with a similarity of at least 0.8: the one with the smallest id.
+
+    A document is known by its id and its text, so different texts under one id are judged each on its own.
+    """
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    named = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("text"), key.alias("doc_id"))
+    found = stored(minhash.near_duplicates(named, k=5, percent=80).select("doc_id", "component_id", "kept"), "near-copies")
+    linked = found.filter("NOT kept").select("component_id").distinct()
+    members = found.join(linked, "component_id").join(named.select("id", "doc_id").distinct(), "doc_id").distinct()
+    smallest = members.groupBy("component_id").agg(F.min(F.struct("id", "doc_id")).alias("m"))
+    stays = smallest.select(F.col("m.doc_id").alias("doc_id"))
+    gone = members.select(F.col("doc_id")).distinct().join(stays, "doc_id", "left_anti").select(F.col("doc_id").alias("gone"))
+    gone = small_side(stored(gone, "near-copies"), 16)
+    return docs.join(gone, key == gone["gone"], "left_anti")
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
