@@ -247,7 +247,7 @@ def score_quality(
 def keep_good(docs: DataFrame, machine: Machine, least: float, text: str = "text", size: str | None = "n_chars") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose score is at least ``least``."""
     helper = "size"
-    while helper in docs.columns:
+    while helper in {c.lower() for c in docs.columns}:  # names are compared as Spark compares them
         helper += "_"
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 

@@ -97,3 +97,22 @@ def test_tiny_tables(spark, tmp_path, size):
     for table in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{FOLDER}/{table}.parquet").limit(size).write.parquet(f"{tmp_path}/{table}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).filter("start = 0").count() <= size
+
+
+def test_different_texts_under_one_id_are_different_documents(spark):
+    """A near copy goes; another text under its id stays, and neither links the other's group."""
+    words = [f"w{i}" for i in range(60)]
+    a, b, c = " ".join(words), " ".join(f"x{i}" for i in range(60)), " ".join(f"y{i}" for i in range(60))
+    rows = [(1, a), (2, a + " tail"), (2, b), (3, b + " end"), (4, c), (4, a + " more"), (None, a)]
+    docs = frame(spark, rows, "doc_id long, text string, gone long, id long, key long, component_id long, kept boolean")
+    out = stage("near_dedup")(spark, docs, FOLDER)
+    assert out.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted([(1, a), (2, b), (4, c), (None, a)], key=str)
+
+
+def test_quality_stage_with_a_clashing_name(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    clash = docs.withColumnRenamed("source", "SIZE")
+    out = stage("quality")(spark, clash, FOLDER)
+    assert out.columns == clash.columns
+    assert out.count() == stage("quality")(spark, docs, FOLDER).count()
