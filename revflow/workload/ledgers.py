@@ -18,6 +18,7 @@ from revflow.operators.ledger import (
 )
 from revflow.session import run_folder
 from revflow.streaming.ledger_stream import compact_runs, start_ledger_stream, stream_ledger
+from revflow.streaming.report_stream import ledger_of, start_report_stream, told_rows, waiting_retries
 from revflow.workload.carrier import accounts
 from revflow.workload.registry import Tables, query
 
@@ -280,3 +281,40 @@ def streamed(t: Tables) -> DataFrame:
     start_ledger_stream(t.spark, landing, store, f"{checkpoint}-2").awaitTermination()
     compact_runs(t.spark, store, f"{root}/compacted")
     return stream_ledger(t.spark, f"{root}/compacted")
+
+
+def _two_waves(t: Tables) -> str:
+    """A stream over two landings, the later responses first; it stops in between and resumes."""
+    root = run_folder(t.spark, "stream")
+    landing, store, checkpoint = (f"{root}/{d}" for d in ("landing", "store", "checkpoint"))
+    told = responses(runs(t), F.col("sequence") % 8)
+    stamped = told.withColumn("received", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("sequence")))
+    late = F.col("sequence") % 3 != 0
+    for wave in (stamped.filter(late), stamped.filter(~late)):
+        wave.write.mode("append").json(landing)
+        start_report_stream(t.spark, landing, store, checkpoint).awaitTermination()
+    return store
+
+
+@query(
+    "report_stream",
+    f"WITH {RUNS_SQL}, seen AS (SELECT * FROM runs WHERE sequence % 8 NOT IN (0, 1, 2, 3, 4)), {ledger_sql('seen')} SELECT * FROM ledger",
+)
+def report_stream(t: Tables) -> DataFrame:
+    """The ledger from states per group, landed out of order, after a restart: that of all responses."""
+    return ledger_of(told_rows(t.spark, _two_waves(t)))
+
+
+@query(
+    "retries_waiting",
+    f"""WITH {RUNS_SQL}, firsts AS (SELECT customer_account, report_name, instance_key, identifier, min(sequence) AS first
+  FROM runs WHERE sequence % 8 NOT IN (0, 1, 2, 3, 4) GROUP BY ALL),
+last AS (SELECT customer_account, report_name, instance_key, arg_max(identifier, sequence) AS identifier, max(sequence) AS sequence
+  FROM runs GROUP BY ALL)
+SELECT customer_account, report_name, instance_key, sequence, strftime(make_timestamp((1700000060 + sequence) * 1000000), '%Y-%m-%d %H:%M:%S') AS due_at
+FROM last LEFT JOIN firsts USING (customer_account, report_name, instance_key, identifier)
+WHERE sequence % 8 = 1 OR (sequence % 8 NOT IN (0, 1, 2, 3, 4) AND first < sequence)""",
+)
+def retries_waiting(t: Tables) -> DataFrame:
+    """Groups whose last response is of a run that goes on or is known: to be tried again a minute after it."""
+    return waiting_retries(told_rows(t.spark, _two_waves(t)))
