@@ -38,10 +38,40 @@ def level_of_care_join(
     return df.join(right, df[code].cast("string") == right["_code"], "left").drop("_code")
 
 
-def payer_code_join(df: DataFrame, crosswalk: DataFrame, name: str) -> DataFrame:
-    """Add ``payer_code`` by exact payer name; a name listed twice repeats rows.
+def payer_code_join(df: DataFrame, crosswalk: DataFrame, name: str, repeated: str = "repeat") -> DataFrame:
+    """Add ``payer_code`` by exact payer name.
 
-    The crosswalk grows with the payers, so nothing forces a broadcast.
+    A name that the crosswalk lists twice repeats rows; with ``repeated="refuse"`` a row of such a
+    name ends the job instead, naming it. The crosswalk grows with the payers, so nothing forces a broadcast.
     """
     right = crosswalk.select(F.col("payer_name").cast("string").alias("_payer"), "payer_code")
+    if repeated == "refuse":
+        right = right.groupBy("_payer").agg(F.first("payer_code").alias("payer_code"), F.count("*").alias("_times"))
+        told = F.concat(F.lit("the crosswalk lists "), F.col("_payer"), F.lit(" "), F.col("_times").cast("string"), F.lit(" times"))
+        joined = df.join(right, df[name] == right["_payer"], "left")
+        single = F.when(F.col("_times") > 1, F.raise_error(told).cast("boolean")).otherwise(F.lit(True))
+        return joined.filter(single).drop("_payer", "_times")
     return df.join(right, df[name] == right["_payer"], "left").drop("_payer")
+
+
+def lookup_faults(df: DataFrame, column: str, lookup: DataFrame, key: str) -> DataFrame:
+    """(value, fault, rows, matches, rows_added) of the values that a lookup does not give exactly one row for.
+
+    ``fault`` is "unmatched" or "repeated". Both sides are counted per value before they meet, in one job,
+    so that neither hot values nor the rows they multiply are moved.
+    """
+    left = df.groupBy(F.col(column).cast("string").alias("value")).agg(F.count("*").alias("rows"))
+    right = lookup.groupBy(F.col(key).cast("string").alias("_key")).agg(F.count("*").alias("_n"))
+    matches = F.coalesce("_n", F.lit(0))
+    return (
+        left.join(right, F.col("value") == F.col("_key"), "left")
+        .select("value", "rows", matches.alias("matches"))
+        .filter("matches <> 1")
+        .select(
+            "value",
+            F.when(F.col("matches") == 0, "unmatched").otherwise("repeated").alias("fault"),
+            "rows",
+            "matches",
+            (F.col("rows") * F.greatest(F.col("matches") - 1, F.lit(0))).alias("rows_added"),
+        )
+    )

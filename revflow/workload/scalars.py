@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from revflow import functions as fn
 from revflow.functions.names import snake_column
-from revflow.operators.crosswalk import level_of_care_join, payer_code_join
+from revflow.operators.crosswalk import level_of_care_join, lookup_faults, payer_code_join
 from revflow.workload.carrier import (
     LOC_SQL,
     PAYERS_SQL,
+    charges,
     code_of,
     code_sql,
     d152,
@@ -196,6 +197,23 @@ def payer_crosswalk_join(t: Tables) -> DataFrame:
     return payer_code_join(named, payers(t), "payer")
 
 
+@query(
+    "crosswalk_faults",
+    """WITH x AS (SELECT n_name AS payer_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 4 = 0),
+c AS (SELECT payer_name, count(*) AS n FROM x GROUP BY 1),
+l AS (SELECT n_name AS value, count(*) AS rows FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1)
+SELECT value, CASE WHEN coalesce(n, 0) = 0 THEN 'unmatched' ELSE 'repeated' END AS fault, rows, coalesce(n, 0) AS matches,
+  CAST(rows * greatest(coalesce(n, 0) - 1, 0) AS BIGINT) AS rows_added
+FROM l LEFT JOIN c ON value = payer_name WHERE coalesce(n, 0) <> 1""",
+)
+def crosswalk_faults(t: Tables) -> DataFrame:
+    """Payers that a crosswalk lists several times, with the charges they multiply, and those it lacks."""
+    listed = t.supplier.filter("s_suppkey % 4 = 0").join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    crosswalk = listed.select(F.col("n_name").alias("payer_name"), F.col("s_suppkey").alias("payer_code"))
+    return lookup_faults(charges(t).select(F.col("n_name").alias("payer")), "payer", crosswalk, "payer_name")
+
+
 @query(
     "loc_crosswalk_join",
     f"""SELECT l_orderkey, l_linenumber, l_partkey, code, level_of_care

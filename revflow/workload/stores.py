@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, functions as F
 
+from revflow.operators.history import row_history, snapshot_changes
 from revflow.operators.quality import RuleViolation
 from revflow.plans.load import load_reports
 from revflow.plans.snapshot_load import append_snapshot
@@ -12,7 +13,7 @@ from revflow.session import run_folder
 from revflow.sinks.versions import Version, history, open_version, refresh_all, table_of_version
 from revflow.sources.csv_records import faults_of, scan_with_faults
 from revflow.sources.reports import scan_report_csv
-from revflow.sources.snapshots import ddl_catalogue
+from revflow.sources.snapshots import ddl_catalogue, scan_snapshot
 from revflow.workload.carrier import d152, dec
 from revflow.workload.landing import write_files_with_header
 from revflow.workload.registry import Tables, query
@@ -116,6 +117,48 @@ def versioned_snapshots(t: Tables) -> DataFrame:
     return history(t.spark, store).join(out, ["version", "table_name"])
 
 
+_EXTRACTS = ("2025-04-16 14:15:25", "2025-05-16 14:15:25", "2025-06-16 14:15:25")
+
+
+@query(
+    "snapshot_history",
+    """WITH e AS (SELECT * FROM (VALUES (1, '2025-04-16 14:15:25'), (2, '2025-05-16 14:15:25'), (3, '2025-06-16 14:15:25')) v(n, stamp)),
+x AS (SELECT o_orderkey AS k, n, stamp, o_custkey AS c, CAST(o_totalprice AS DECIMAL(12,2)) + CASE WHEN o_orderkey % 5 = 0 AND n > 1 THEN 1 ELSE 0 END AS a
+  FROM orders, e WHERE NOT (o_orderkey % 7 = 0 AND n = 1) AND NOT (o_orderkey % 11 = 0 AND n = 2)),
+s AS (SELECT x.*, p.n IS NULL AS fresh FROM x LEFT JOIN x p ON p.k = x.k AND p.n = x.n - 1 AND p.a = x.a),
+w AS (SELECT s.*, i.n IS NULL AS new FROM s LEFT JOIN x i ON i.k = s.k AND i.n = s.n - 1 WHERE fresh)
+SELECT CAST(k AS DOUBLE) AS "SEQNO", CAST(c AS DOUBLE) AS "CUSTNO", CAST(a AS DOUBLE) AS "AMOUNT", 'A1' AS account, w.stamp AS valid_from,
+  (SELECT min(e.stamp) FROM e WHERE e.n > w.n AND NOT EXISTS (SELECT 1 FROM x y WHERE y.k = w.k AND y.n = e.n AND y.a = w.a)) AS valid_to,
+  CASE WHEN new THEN 'inserted' ELSE 'changed' END AS change FROM w""",
+)
+def snapshot_history(t: Tables) -> DataFrame:
+    """States of claims from three extracts: some changed, some came later, some were gone for one."""
+    root, table = run_folder(t.spark, "snapshots"), ddl_catalogue(_SCRIPT)["CLAIMS"]
+    key = F.col("o_orderkey")
+    for n, at in enumerate(_EXTRACTS):
+        there = t.orders.filter(~((key % 7 == 0) & F.lit(n == 0)) & ~((key % 11 == 0) & F.lit(n == 1)))
+        amount = dec("o_totalprice", "decimal(12,2)") + F.when((key % 5 == 0) & F.lit(n > 0), 1).otherwise(0)
+        rows = there.select(key.alias("SEQNO"), F.col("o_custkey").alias("CUSTNO"), amount.cast("decimal(12,2)").alias("AMOUNT"))
+        label = at.replace("-", "").replace(":", "").replace(" ", "_")
+        rows.write.option("sep", "\t").option("header", True).csv(f"{root}/A1_{label}/CLAIMS.DAT")
+    return row_history(scan_snapshot(t.spark, root, table, with_lineage=True), ["account", "SEQNO"])
+
+
+@query(
+    "snapshot_changes",
+    """SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'inserted' WHEN o_orderkey % 11 = 0 THEN 'deleted' ELSE 'changed' END AS change,
+  count(*) AS keys FROM orders WHERE (o_orderkey % 7 = 0 AND o_orderkey % 11 <> 0) OR o_orderkey % 11 = 0 AND o_orderkey % 7 <> 0
+  OR (o_orderkey % 5 = 0 AND o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0) GROUP BY 1""",
+)
+def changes_between(t: Tables) -> DataFrame:
+    """Keys inserted, changed and deleted between two snapshots."""
+    key = F.col("o_orderkey")
+    rows = t.orders.select(key, "o_custkey", dec("o_totalprice").alias("amount"))
+    raised = rows.withColumn("amount", F.when(key % 5 == 0, F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(15,2)"))
+    found = snapshot_changes(rows.filter(key % 7 != 0), raised.filter(key % 11 != 0), ["o_orderkey"])
+    return found.groupBy("change").agg(F.count("*").alias("keys"))
+
+
 # ---- records that are no lines, and records that do not fit ---------------
 
 _REMARK = """CASE l_orderkey % 5 WHEN 0 THEN 'two' || chr(10) || 'lines, ' || l_linenumber

@@ -16,7 +16,7 @@ from revflow.sinks.tables import (
     new_rows,
     row_counts,
 )
-from revflow.workload.carrier import d152, dec
+from revflow.workload.carrier import claims, d152, dec
 from revflow.workload.registry import Tables, query
 
 
@@ -52,20 +52,24 @@ def gate(t: Tables) -> DataFrame:
 
 @query(
     "drop_tables",
-    "SELECT r_name AS table_name, r_regionkey % 2 = 0 AS there FROM region",
+    """SELECT r_name AS table_name, CASE WHEN r_regionkey % 2 = 0 THEN count(o_orderkey) END AS rows
+FROM region LEFT JOIN nation ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey
+LEFT JOIN orders ON o_custkey = c_custkey GROUP BY r_name, r_regionkey""",
 )
 def dropped(t: Tables) -> DataFrame:
-    """Of a table per region, those with odd keys are dropped; dropping twice, or what never was, does nothing."""
+    """Of a table of claims per region, those with odd keys are dropped; dropping twice, or what never was, does nothing."""
     mark = uuid.uuid4().hex[:8]
-    root = run_folder(t.spark, "store")
     regions = t.region.select("r_regionkey", "r_name").collect()
     names = {r.r_name: f"drop_{mark}_{r.r_regionkey}" for r in regions}
-    for r in regions:
-        create_if_absent(t.spark, names[r.r_name], t.nation.filter(F.col("n_regionkey") == r.r_regionkey), root)
+    own = {r.r_name: claims(t).filter(F.col("r_name") == r.r_name).select("o_orderkey", "o_totalprice") for r in regions}
+    full_refresh(t.spark, {names[r]: df for r, df in own.items()}, run_folder(t.spark, "store"))
     odd = [names[r.r_name] for r in regions if r.r_regionkey % 2]
     drop_tables(t.spark, [*odd, *odd, f"drop_{mark}_never"])
-    there = [(name, t.spark.catalog.tableExists(table)) for name, table in names.items()]
-    return t.spark.createDataFrame(there, "table_name string, there boolean")
+    left = {table: name for name, table in names.items() if t.spark.catalog.tableExists(table)}
+    counted = row_counts(t.spark, list(left))
+    label = F.create_map(*[F.lit(x) for pair in left.items() for x in pair])
+    counted = counted.select(F.try_element_at(label, "table_name").alias("r_name"), "rows")
+    return t.region.join(counted, "r_name", "left").select(F.col("r_name").alias("table_name"), "rows")
 
 
 @query(
