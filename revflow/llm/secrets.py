@@ -164,7 +164,8 @@ def fit(labelled: DataFrame, per_class: int = 20000, trees: int = 20, depth: int
     learner = RandomForestClassifier(
         numTrees=trees, maxDepth=depth, seed=6, weightCol="weight", labelCol="label", featuresCol="features"
     )
-    return learner.fit(rows)
+    # a copy has no training summary, whose session cannot be sent to the workers once something was observed in it
+    return learner.fit(rows).copy()
 
 
 def scored(found: DataFrame, forest: RandomForestClassificationModel | float) -> DataFrame:

@@ -127,3 +127,20 @@ def test_no_python_on_the_way(spark):
     forest = secrets.fit(rows.withColumn("label", F.col("doc_id").cast("int") % 2))
     plan = secrets.scored(rows, forest)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_session_in_which_something_was_observed(spark):
+    """The forest travels to the workers whatever the session has been used for."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    from revflow.llm import secrets
+
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get["n"] == 3
+    rows = spark.range(60).select((F.col("id") % 2).cast("int").alias("label"), *[(F.col("id") % 2 + F.lit(i)).cast("double").alias(c) for i, c in enumerate(secrets.FEATURES)])
+    forest = secrets.fit(rows)
+    assert not forest.hasSummary
+    found = secrets.scored(rows, forest).select("label", "score").collect()
+    assert all((r["score"] >= 0.5) == bool(r["label"]) for r in found)
