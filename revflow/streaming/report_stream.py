@@ -16,9 +16,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from revflow.operators.ledger import GROUP, SEQUENCE, parse_responses, report_ledger, with_instance
@@ -33,6 +32,14 @@ _ROWS = (
     "kind string, customer_account string, report_name string, instance_key string, "
     "identifier string, sequence bigint, due_ms bigint, changes bigint"
 )
+_row = Row(*[c.split()[0] for c in _ROWS.split(", ")])
+# The last response, the retry after it, and the runs with their lowest numbers; ``more`` tells that further runs are in a map.
+_STATE = (
+    "sequence bigint, identifier string, outcome string, received_ms bigint, wait_sequence bigint, due_ms bigint, changes bigint, "
+    "runs map<string, bigint>, more boolean"
+)
+_NEW = (None, None, None, None, None, None, None, {}, False)
+_INLINE = 64  # runs of a group that are kept beside its other state: some 2 KB
 # The store that keeps maps and timers; and a run ends when all that has landed is taken in, timers or not.
 _SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -41,71 +48,77 @@ _SETTINGS = {
 
 
 class ReportState(StatefulProcessor):
-    """One group: its runs, its last response, the retry that waits."""
+    """One group: its runs, its last response, the retry that waits.
+
+    All of it is one value, read once and written once for the responses of a batch. Runs beyond the first ``_INLINE`` go to a
+    map, so that a group of many runs neither rewrites nor reads those that a batch does not name.
+    """
 
     def init(self, handle) -> None:
         self.handle = handle
+        self.group = handle.getValueState("group", _STATE)
         self.runs = handle.getMapState("runs", "identifier string", "sequence bigint")
-        self.last = handle.getValueState("last", "sequence bigint, identifier string, outcome string, received_ms bigint")
-        self.wait = handle.getValueState("wait", "sequence bigint, due_ms bigint, changes bigint")
-
-    def _frame(self, key, rows: list[tuple]) -> pd.DataFrame:
-        columns = ["kind", "identifier", "sequence", "due_ms", "changes"]
-        df = pd.DataFrame(rows, columns=columns).astype({"sequence": "Int64", "due_ms": "Int64", "changes": "Int64"})
-        for i, name in enumerate(("customer_account", "report_name", "instance_key")):
-            df[name] = key[i]
-        return df[[c.split()[0] for c in _ROWS.split(", ")]]
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        out: list[tuple] = []
-        last = self.last.get()
-        best = (int(last[0]), last[1] or "") if last else None
-        newest = None
+
+    def _known(self, identifier: str, inline: dict[str, int], more: bool) -> int | None:
+        """The lowest sequence number that a run was seen at."""
+        if identifier in inline or not more:
+            return inline.get(identifier)
+        found = self.runs.getValue((identifier,))
+        return None if found is None else int(found[0])
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        out: list[Row] = []
+        sequence, named, outcome, received, *wait, inline, more = self.group.get() or _NEW
+        inline, more = dict(inline), bool(more)
+        best = None if sequence is None else (int(sequence), named or "")
         lowest: dict[str, int] = {}
-        for df in rows:
-            for identifier, sequence, outcome, received in zip(df["identifier"], df["sequence"], df["outcome"], df["received_ms"], strict=True):
-                named = "" if pd.isna(identifier) else identifier
-                if pd.isna(outcome):  # a run that may be registered
-                    lowest[named] = min(lowest.get(named, int(sequence)), int(sequence))
-                place = (int(sequence), named)
-                if best is None or place > best:
-                    best, newest = place, (place[0], named, None if pd.isna(outcome) else outcome, None if pd.isna(received) else int(received))
-        for identifier, sequence in lowest.items():
-            known = self.runs.getValue((identifier,)) if self.runs.containsKey((identifier,)) else None
-            if known is None or sequence < known[0]:
-                self.runs.updateValue((identifier,), (sequence,))
-                out.append(("run", identifier, sequence, None, None))
-        if newest is not None:
-            self.last.update(newest)
-            last = newest
-        out += self._retry(last)
-        if out:
-            yield self._frame(key, out)
-
-    def _retry(self, last) -> list[tuple]:
-        """What the last response makes of the retry; a row if it changes."""
-        sequence, identifier, outcome, received = last
+        for row in rows:
+            place = (int(row.sequence), row.identifier or "")
+            if row.outcome is None:  # a run that may be registered
+                lowest[place[1]] = min(lowest.get(place[1], place[0]), place[0])
+            if best is None or place > best:
+                best, outcome, received = place, row.outcome, row.received_ms
+        for identifier, at in lowest.items():
+            known = self._known(identifier, inline, more)
+            if known is not None and known <= at:
+                continue
+            if known is not None and identifier not in inline:
+                self.runs.updateValue((identifier,), (at,))
+            else:
+                inline[identifier] = at
+            out.append(_row("run", *key, identifier, at, None, None))
         again = outcome == "RUNNING"
         if outcome is None:  # seen before: by a lower number
-            again = int(self.runs.getValue((identifier,))[0]) < int(sequence)
+            again = self._known(best[1], inline, more) < best[0]
         due = int(received) + RETRY_MS if again and received is not None else None
-        before = self.wait.get()
-        if before is not None and (int(before[0]), before[1]) == (int(sequence), due):
-            return []
-        if before is None and due is None:
-            return []
-        changes = (int(before[2]) if before else 0) + 1
-        if before is not None and before[1] is not None:
-            self.handle.deleteTimer(int(before[1]))
+        changed = self._retry(wait, best[0], due)
+        if changed is not None:
+            wait = changed
+            out.append(_row("wait", *key, None, *wait))
+        if len(inline) > _INLINE:
+            for identifier, at in inline.items():
+                self.runs.updateValue((identifier,), (at,))
+            inline, more = {}, True
+        self.group.update((*best, outcome, received, *wait, inline, more))
+        return iter(out)
+
+    def _retry(self, wait: list, sequence: int, due: int | None) -> tuple[int, int | None, int] | None:
+        """What the last response makes of the retry (sequence, due_ms, changes), if that changes."""
+        at, before, changes = wait
+        if (at, before) == (sequence, due) or (at is None and due is None):
+            return None
+        if before is not None:
+            self.handle.deleteTimer(int(before))
         if due is not None:
             self.handle.registerTimer(due)
-        self.wait.update((int(sequence), due, changes))
-        return [("wait", None, int(sequence), due, changes)]
+        return sequence, due, (changes or 0) + 1
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        wait = self.wait.get()
-        if wait is not None and wait[1] is not None and int(wait[1]) == expiredTimerInfo.getExpiryTimeInMs():
-            yield self._frame(key, [("due", None, int(wait[0]), int(wait[1]), int(wait[2]))])
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        state = self.group.get()
+        if state is None:
+            return iter([])
+        sequence, due, changes = state[4:7]
+        return iter([_row("due", *key, None, sequence, due, changes)] if due == expiredTimerInfo.getExpiryTimeInMs() else [])
 
     def close(self) -> None:
         pass
@@ -123,7 +136,7 @@ def start_report_stream(
     for key, value in _SETTINGS.items():  # a query holds on to the settings it began with
         spark.conf.set(key, value)
     try:
-        told = rows.groupBy(*GROUP).transformWithStateInPandas(
+        told = rows.groupBy(*GROUP).transformWithState(
             statefulProcessor=ReportState(), outputStructType=_ROWS, outputMode="Append", timeMode="ProcessingTime"
         )
         return (
