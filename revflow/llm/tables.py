@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revflow.session import run_folder, ship
+from revflow.session import bounded_batches, run_folder, ship
 
 
 def frugal(spark: SparkSession) -> None:
@@ -14,9 +14,7 @@ def frugal(spark: SparkSession) -> None:
     Also sends the package to the workers, whose functions come from it.
     """
     ship(spark)
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, None) is None:
-        spark.conf.set(key, str(8 << 20))
+    bounded_batches(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -48,6 +48,13 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 8 MB, unless the session says otherwise: a worker holds a few batches at once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(8 << 20))
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the workers, which need not have it installed; once per application.
 

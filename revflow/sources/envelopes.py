@@ -2,7 +2,8 @@
 
 Spark reads the XML and the base64. Only the zip needs Python: one envelope
 at a time is opened in an Arrow task and its records are streamed out in
-small batches, so a task holds one zip and one batch, never a whole table.
+batches bounded in rows and text, so a task holds one batch of envelopes of some MB, one zip and one batch of
+records, never a whole table.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from revflow.functions.names import distinct_names
 from revflow.functions.text import trim_all, trim_to_null
 from revflow.functions.xml import elements, is_broken
+from revflow.session import bounded_batches
 
-_BATCH = 4096
+_BATCH, _TEXT = 4096, 4 << 20  # records and characters of a batch
 
 # The functions below travel to the executors, which need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -74,12 +76,13 @@ def _unzip(id_fields: list[tuple[str, pa.DataType]]):
             for row in range(batch.num_rows):
                 ids = [batch.column(name)[row].as_py() for name, _ in id_fields]
                 blob, fault = batch.column("_zip")[row].as_py(), batch.column("_fault")[row].as_py()
-                rows = []
+                rows, size = [], 0
                 for record in _members(blob) if fault is None else [(None, None, None, fault)]:
                     rows.append((*ids, *record))
-                    if len(rows) == _BATCH:
+                    size += sum(len(cell) for cells in record[1:3] for cell in cells or ())
+                    if len(rows) == _BATCH or size >= _TEXT:
                         yield _batch(rows, schema)
-                        rows = []
+                        rows, size = [], 0
                 if rows:
                     yield _batch(rows, schema)
 
@@ -119,6 +122,7 @@ def decode_with_faults(payloads: DataFrame, xml: str, ids: Sequence[str]) -> Dat
     whole, and marked by its fault. Spread the payload table over enough partitions first if its files
     are few.
     """
+    bounded_batches(payloads.sparkSession)
     zipped = payloads.select(
         *[F.col(c).cast("string").alias(c) for c in ids],
         envelope_zip(F.col(xml)).alias("_zip"),

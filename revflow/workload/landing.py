@@ -13,6 +13,10 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
+from revflow.session import bounded_batches
+
+_RECORDS, _TEXT = 4096, 4 << 20  # records held as Python objects, and characters of a batch of envelopes
+
 # The zip function travels to the executors, which need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -49,23 +53,36 @@ def write_files_with_header(
     )
 
 
+def _envelope(header: Sequence[str], records: pa.Array) -> str:
+    """Base64 of the zip of one account; some records at a time become Python objects."""
+    blob = io.BytesIO()
+    with zipfile.ZipFile(blob, "w", zipfile.ZIP_DEFLATED) as archive:
+        with archive.open("report.csv", "w") as raw, io.TextIOWrapper(raw, encoding="utf-8", newline="") as text:
+            writer = csv.writer(text)
+            writer.writerow(header)
+            for start in range(0, len(records), _RECORDS):
+                writer.writerows(r["cells"] for r in records.slice(start, _RECORDS).to_pylist())
+        archive.writestr("empty.csv", "")
+        archive.writestr("notes.txt", "no data")
+    return base64.b64encode(blob.getvalue()).decode()
+
+
 def _zip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One envelope at a time, given out by some MB."""
+
+    def given(batch: pa.RecordBatch, start: int, out: list[str]) -> pa.RecordBatch:
+        accounts = batch.column("account").slice(start, len(out))
+        return pa.RecordBatch.from_pydict({"account": accounts, "data": pa.array(out, pa.string())})
+
     for batch in batches:
-        out = []
-        for row in batch.to_pylist():
-            text = io.StringIO()
-            writer = csv.writer(text)
-            writer.writerow(row["header"])
-            writer.writerows(r["cells"] for r in row["records"])
-            blob = io.BytesIO()
-            with zipfile.ZipFile(blob, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("report.csv", text.getvalue())
-                archive.writestr("empty.csv", "")
-                archive.writestr("notes.txt", "no data")
-            out.append(base64.b64encode(blob.getvalue()).decode())
-        yield pa.RecordBatch.from_pydict(
-            {"account": batch.column("account"), "data": pa.array(out, pa.string())}
-        )
+        start, out, size = 0, [], 0
+        for row in range(batch.num_rows):
+            out.append(_envelope(batch.column("header")[row].as_py(), batch.column("records")[row].values))
+            size += len(out[-1])
+            if size >= _TEXT:
+                yield given(batch, start, out)
+                start, out, size = row + 1, [], 0
+        yield given(batch, start, out)
 
 
 def envelopes(records: DataFrame) -> DataFrame:
@@ -73,6 +90,7 @@ def envelopes(records: DataFrame) -> DataFrame:
 
     Every tenth account also gets an envelope without data.
     """
+    bounded_batches(records.sparkSession)
     zipped = records.mapInArrow(_zip, "account string, data string")
     full = F.concat(F.lit("<Result><Data>"), "data", F.lit("</Data></Result>"))
     hollow = F.when(F.pmod(F.xxhash64("account"), F.lit(10)) == 0, F.array(F.lit("<Result/>")))

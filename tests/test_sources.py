@@ -4,10 +4,12 @@ import zipfile
 from datetime import date, datetime
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from revflow.plans.fetch import chosen_payloads, spool_reports
+from revflow.sources import envelopes
 from revflow.sources.envelopes import (
     broken_envelopes,
     decode_envelopes,
@@ -33,6 +35,7 @@ from revflow.sources.snapshots import (
     snapshot_files,
     with_timestamps,
 )
+from revflow.workload import landing
 
 
 def rows(df):
@@ -247,3 +250,27 @@ def test_snapshot_scan_refuses_bad_values(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)malformed"):
         scan_snapshot(spark, path, table).collect()
     assert rows(scan_snapshot(spark, path, table, mode="PERMISSIVE"))[0][0] is None
+
+
+def test_envelopes_are_made_and_opened_in_small_batches(monkeypatch):
+    monkeypatch.setattr(landing, "_TEXT", 20_000)
+    monkeypatch.setattr(envelopes, "_TEXT", 50_000)
+    records = [{"cells": [str(k), "é" * (k % 500)]} for k in range(5000)]
+    kinds = pa.schema(
+        [("account", pa.string()), ("header", pa.list_(pa.string())), ("records", pa.list_(pa.struct([("cells", pa.list_(pa.string()))])))]
+    )
+    rows = [{"account": str(a), "header": ["a", "b"], "records": records if a == 3 else records[a : a + 20]} for a in range(150)]
+    made = list(landing._zip(iter([pa.RecordBatch.from_pylist(rows, kinds)])))
+    assert [a for b in made for a in b.column("account").to_pylist()] == [str(a) for a in range(150)]
+    assert len(made) > 2 and max(b.num_rows for b in made) < 100
+    blob = base64.b64decode(made[0].column("data")[3].as_py())
+    given = pa.RecordBatch.from_pydict({"account": ["3"], "_zip": [blob], "_fault": pa.array([None], pa.string())})
+    found = list(envelopes._unzip([("account", pa.string())])(iter([given])))
+    assert max(b.nbytes for b in found) < 500_000
+    assert [f for b in found for f in b.column("fields").to_pylist()] == [r["cells"] for r in records]
+
+
+def test_workers_get_envelopes_in_batches_of_some_mb(spark):
+    payloads = spark.createDataFrame([("1", "<Result/>")], "id string, xml string")
+    decode_envelopes(payloads, "xml", ["id"])
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
