@@ -46,7 +46,8 @@ def row_history(snapshots: DataFrame, key: Sequence[str], extracted_at: str = "e
     in_time = Window.orderBy("_at")  # one row per extract
     times = times.select("_at", F.lag("_at").over(in_time).alias("_before"), F.lead("_at").over(in_time).alias("_next"))
     of_key = Window.partitionBy(*[ref(c) for c in key]).orderBy(at)
-    seen = snapshots.withColumn("_digest", digest(others)).join(times, at == F.col("_at"))
+    # one row per extract: broadcast, so that the rows of an extract are never dealt to one task by its time
+    seen = snapshots.withColumn("_digest", digest(others)).join(F.broadcast(times), at == F.col("_at"))
     seen = seen.withColumn("_known", F.lag(at).over(of_key)).withColumn("_last", F.lag("_digest").over(of_key))
     gone = F.col("_known").isNull() | (F.col("_known") != F.col("_before"))
     begins = F.when(gone, "inserted").when(F.col("_last") != F.col("_digest"), "changed")

@@ -42,3 +42,14 @@ def test_lookups(spark):
     fine = payer_code_join(rows.filter("payer <> 'a'"), codes, "payer", repeated="refuse")
     assert sorted(map(tuple, fine.collect())) == [("b", 3), ("c", None)]
     assert payer_code_join(rows, codes, "payer").count() == 7
+
+
+def test_rows_of_an_extract_are_not_dealt_to_one_task(spark):
+    rows = spark.range(10).selectExpr("id", "'t' || id % 3 AS extracted_at", "'v' AS value")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the extracts are large
+    try:
+        plan = row_history(rows, ["id"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
