@@ -8,6 +8,7 @@ import io
 import sys
 import zipfile
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from revflow.session import bounded_batches
 
+LINES_PER_FILE = 6_000_000  # some 200 MB: a file is still read in several splits
 _RECORDS, _TEXT = 4096, 4 << 20  # records held as Python objects, and characters of a batch of envelopes
 
 # The zip function travels to the executors, which need not have this package.
@@ -35,17 +37,32 @@ def write_files_with_header(
 ) -> None:
     """One text file per folder, the header line first.
 
-    The caller picks the folders so that the rows of one file are bounded.
+    A folder of more than ``LINES_PER_FILE`` lines gets a folder of its own for each of its files (``piece``), so that a task
+    sorts and writes the lines of few files, however many rows there are. Lines are dealt to files by what they hold, the same
+    way if a task is run again.
     """
     names = list(folders)
-    rows = df.select(
-        *[c.alias(n) for n, c in folders.items()], F.lit(1).alias("rank"), line.alias("value")
-    )
-    heads = rows.select(*names).distinct()
-    heads = heads.select(*names, F.lit(0).alias("rank"), F.lit(header).alias("value"))
+    rows = df.select(*[c.alias(n) for n, c in folders.items()], line.alias("value"))
+    counted = rows.groupBy(*names).agg(F.count("*").alias("lines"))
+    most, total = counted.agg(F.max("lines"), F.sum("lines")).first()
+    parts = names
+    heads = counted.select(*names, F.lit(header).alias("value"))
+    if most is not None and most > LINES_PER_FILE:
+        files = F.ceil(F.col("lines") / LINES_PER_FILE)
+        large = counted.filter(F.col("lines") > LINES_PER_FILE).select(*[F.col(n).alias(f"_{n}") for n in names], files.alias("_files"))
+        same = reduce(Column.__and__, [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names])
+        piece = F.coalesce(F.pmod(F.xxhash64("value"), "_files"), F.lit(0))
+        rows = rows.join(F.broadcast(large), same, "left").select(*names, piece.alias("piece"), "value")
+        heads = counted.select(*names, F.explode(F.sequence(F.lit(0).cast("long"), files - 1)).alias("piece"), F.lit(header).alias("value"))
+        parts = [*names, "piece"]
+    # of many files, a task has one, seldom two
+    wide = 8 * -(-(total or 0) // LINES_PER_FILE)
+    dealt = [wide] if wide > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+    names = parts
+    heads = heads.select(*names, F.lit(0).alias("rank"), "value")
     (
-        heads.unionAll(rows)
-        .repartition(*names)
+        heads.unionAll(rows.select(*names, F.lit(1).alias("rank"), "value"))
+        .repartition(*dealt, *names)
         .sortWithinPartitions(*names, "rank")
         .drop("rank")
         .write.partitionBy(*names)

@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from revflow.sources import csv_records as r
+from revflow.sources.reports import scan_report_csv
+from revflow.workload import landing
 
 
 def write(path, rows, end="\n"):
@@ -121,3 +123,15 @@ def test_a_quote_that_is_never_closed(spark, tmp_path, small_splits):
         r.refusing(df).count()
     (tmp_path / "g.csv").write_text("a,b\n")
     assert r.refusing(r.scan_with_faults(spark, str(tmp_path / "g.csv"), ["a", "b"], True)).collect() == []
+
+
+def test_a_folder_of_many_lines_gets_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "LINES_PER_FILE", 40)
+    df = spark.range(1000).selectExpr("id", "CASE WHEN id < 700 THEN 'a' WHEN id < 710 THEN 'b' END AS place")
+    path = f"{tmp_path}/out"
+    landing.write_files_with_header(df, path, "Key", F.col("id").cast("string"), {"part": F.col("place")})
+    files = [f.read_text().splitlines() for f in tmp_path.rglob("*.txt")]
+    assert all(lines[0] == "Key" for lines in files) and max(map(len, files)) < 100
+    assert sorted(int(x) for lines in files for x in lines[1:]) == list(range(1000))
+    found = scan_report_csv(spark, path, ["key"], multi_line=True, recursive=True)
+    assert sorted(int(x.key) for x in found.collect()) == list(range(1000))
