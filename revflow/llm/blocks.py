@@ -8,25 +8,26 @@ however often it occurs in the block: frequent words, passages and copies
 shrink before the shuffle, and no range holds a hot key's occurrences. Ranges cut
 the 64-bit hashes evenly; their number is that of the shuffle partitions.
 
-Answers are stored below the shared folder and come back to the blocks by a
-grouping on the block, where the bucketed side is not shuffled again.
+Answers are stored below the shared folder, bucketed by block as the documents are,
+and come back to the blocks by a grouping on the block, where neither side is shuffled
+again. Once the answers of a step are stored, the files of its shuffles are removed.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from revflow.llm.tables import buckets, frugal
+from revflow.llm.tables import buckets, frugal, swept
 from revflow.llm.words import release
 from revflow.session import run_folder
 
@@ -70,7 +71,7 @@ def unpack(blob: bytes) -> list[np.ndarray]:
 # --- blocks -------------------------------------------------------------------------------------
 
 
-def _blocker(limit: int):
+def _blocker(limit: int, encode: Callable[[pa.RecordBatch], pa.RecordBatch] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number, waiting, size = TaskContext.get().partitionId(), 0, [], 0
 
@@ -78,6 +79,8 @@ def _blocker(limit: int):
             nonlocal number, waiting, size
             sink = pa.BufferOutputStream()
             table = pa.Table.from_batches(waiting).combine_chunks()
+            if encode is not None:
+                table = pa.Table.from_batches([encode(table.to_batches()[0])])
             with pa.ipc.new_stream(sink, table.schema) as writer:
                 writer.write_table(table)
             body = zstandard.ZstdCompressor(3).compress(sink.getvalue())
@@ -110,17 +113,26 @@ def open_block(table: pa.Table) -> pa.RecordBatch:
 
 
 class Blocks:
-    """Stored blocks of documents, and the answers that they got so far."""
+    """Stored blocks of documents, and the answers that they got so far.
 
-    def __init__(self, docs: DataFrame, limit: int = BLOCK_BYTES):
+    ``encode`` makes what is stored of a block from its documents, one row for each;
+    without it they are stored as they are.
+    """
+
+    def __init__(
+        self, docs: DataFrame, limit: int = BLOCK_BYTES, *, encode: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None
+    ):
         self.spark: SparkSession = docs.sparkSession
         frugal(self.spark)
         self.ranges = buckets(self.spark)
         self.name = f"llm_blocks_{uuid.uuid4().hex[:12]}"
-        self.answers: list[tuple[int, DataFrame]] = []
+        self.answered = f"{self.name}_answers"  # one table with a partition per pass, so that it is read by bucket as a whole
+        self.answers: DataFrame | None = None
+        self.passes = 0
+        self.folder = run_folder(self.spark, "llm-answers")
         folder = run_folder(self.spark, "llm-blocks")
         (
-            docs.mapInArrow(_blocker(limit), "block long, docs binary")
+            docs.mapInArrow(_blocker(limit, encode), "block long, docs binary")
             .write.bucketBy(self.ranges, "block")
             .option("path", folder)
             .option("compression", "none")
@@ -131,7 +143,8 @@ class Blocks:
 
     def drop(self) -> None:
         """Take the blocks out of the catalogue; frames made from them must have been stored before."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        for name in (self.name, self.answered):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def each(self, use: Callable[[int, pa.RecordBatch, dict], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
         """Rows of ``use(block, documents, answers)``; answers are messages by step and range."""
@@ -153,65 +166,86 @@ class Blocks:
                 for i in range(batch.num_rows):
                     yield from run(pa.Table.from_batches([batch.slice(i, 1)]), None).to_batches()
 
-        if not self.answers:
+        if self.answers is None:
             return self.table.mapInArrow(alone, schema)
-        got = reduce(DataFrame.union, [frame for _, frame in self.answers])
-        return self.table.groupBy("block").cogroup(got.groupBy("block")).applyInArrow(run, schema)
+        return self.table.groupBy("block").cogroup(self.answers.groupBy("block")).applyInArrow(run, schema)
 
     def ask(
         self,
         step: int,
         question: Callable[[pa.RecordBatch, dict], dict[int, bytes]],
-        answer: Callable[[list[bytes]], tuple[list[bytes], list[int], bytes]],
-    ) -> tuple[list[int], DataFrame]:
+        answer: Callable[[list[bytes]], tuple[list[bytes], list[int]]],
+    ) -> list[int]:
         """Ask all ranges and keep their answers for later steps.
 
         ``question`` gives a message per range; ``answer`` takes the messages of
-        one range and gives an answer to each, figures to be added up over all
-        ranges, and the range's part of the table that the step makes. Returns the
-        sums and that table (``place, body``).
+        one range and gives an answer to each, and figures to be added up over all
+        ranges. Returns the sums.
         """
+        return self.ask_together(lambda docs, answers: {step: question(docs, answers)}, {step: answer})[step]
 
-        def ask_block(block: int, docs: pa.RecordBatch, answers: dict) -> Iterator[pa.RecordBatch]:
-            messages = question(docs, answers)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([block] * len(messages), pa.int64()),
-                    pa.array(list(messages), pa.int32()),
-                    pa.array(list(messages.values()), pa.binary()),
-                ],
-                ["block", "place", "body"],
-            )
+    def ask_together(
+        self,
+        questions: Callable[[pa.RecordBatch, dict], dict[int, dict[int, bytes]]],
+        answerers: dict[int, Callable[[list[bytes]], tuple[list[bytes], list[int]]]],
+    ) -> dict[int, list[int]]:
+        """``ask`` for several steps that do not wait for each other: messages, answers and sums are by step."""
 
-        messages = self.each(ask_block, "block long, place int, body binary")
+        def ask_block(block: int, docs: pa.RecordBatch, answers: dict) -> Iterator[pa.RecordBatch]:
+            for step, messages in questions(docs, answers).items():
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([block] * len(messages), pa.int64()),
+                        pa.array([step] * len(messages), pa.int32()),
+                        pa.array(list(messages), pa.int32()),
+                        pa.array(list(messages.values()), pa.binary()),
+                    ],
+                    ["block", "step", "place", "body"],
+                )
+
+        messages = self.each(ask_block, "block long, step int, place int, body binary")
 
         def of_range(table: pa.Table) -> pa.Table:
             order = np.argsort(table.column("block").to_numpy(), kind="stable")
             table = table.take(pa.array(order))
-            bodies = table.column("body").to_pylist()
-            answers, figures, part = answer(bodies)
+            step, place = (table.column(c)[0].as_py() for c in ("step", "place"))
+            answers, figures = answerers[step](table.column("body").to_pylist())
             release()
             n = len(answers)
-            place = table.column("place")[0].as_py()
             return pa.table(
                 {
-                    "kind": pa.array([0] * n + [1], pa.int32()),
                     "block": pa.array([*table.column("block").to_pylist(), -1], pa.int64()),
                     "step": pa.array([step] * (n + 1), pa.int32()),
                     "place": pa.array([place] * (n + 1), pa.int32()),
-                    "body": pa.array([*answers, part], pa.binary()),
-                    "figures": pa.array([[]] * n + [figures], pa.list_(pa.int64())),
+                    "body": pa.array([*answers, b""], pa.binary()),
+                    "figures": pa.array([None] * n + [figures], pa.list_(pa.int64())),
                 }
             )
 
-        folder = run_folder(self.spark, f"llm-step{step}")
-        schema = "kind int, block long, step int, place int, body binary, figures array<long>"
-        messages.groupBy("place").applyInArrow(of_range, schema).write.partitionBy("kind").parquet(folder)
-        read = self.spark.read.schema(schema).parquet(folder)
-        self.answers.append((step, read.filter("kind = 0").select("block", "step", "place", "body")))
-        parts = read.filter("kind = 1").select("place", "body", "figures")
-        sums = parts.selectExpr("posexplode(figures) AS (i, x)").groupBy("i").sum("x").orderBy("i").collect()
-        return [int(r[1]) for r in sums], parts.select("place", "body")
+        asked = self.passes = self.passes + 1
+        schema = "block long, step int, place int, body binary, figures array<long>"
+        with swept(self.spark):
+            (
+                messages.groupBy("step", "place")
+                .applyInArrow(of_range, schema)
+                .repartition(self.ranges, "block")
+                .withColumn("asked", F.lit(asked))
+                .write.partitionBy("asked")
+                .bucketBy(self.ranges, "block")
+                .option("path", self.folder)
+                .option("compression", "none")
+                .format("parquet")
+                .mode("append")
+                .saveAsTable(self.answered)
+            )
+            read = self.spark.table(self.answered)
+            figures = read.filter(F.col("figures").isNotNull() & (F.col("asked") == asked)).selectExpr("step", "posexplode(figures) AS (i, x)")
+            sums: dict[int, list[int]] = {step: [] for step in answerers}
+            for r in figures.groupBy("step", "i").sum("x").orderBy("step", "i").collect():
+                sums[r[0]].append(int(r[2]))
+        # passes up to this one: frames made now do not read what later passes add
+        self.answers = read.filter(F.col("figures").isNull() & (F.col("asked") <= asked)).select("block", "step", "place", "body")
+        return sums
 
 
 # --- messages -----------------------------------------------------------------------------------

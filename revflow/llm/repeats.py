@@ -116,7 +116,7 @@ def _anchor_answer(bodies: list[bytes]):
     out = np.empty(len(keys), bool)
     out[order] = np.repeat(again, size)
     ends = np.cumsum([len(m[0]) for m in messages])[:-1]
-    return [pack(x) for x in np.split(out, ends)], [len(first), int(again.sum())], b""
+    return [pack(x) for x in np.split(out, ends)], [len(first), int(again.sum())]
 
 
 def _window_question(length: int, k: int, ranges: int):
@@ -143,7 +143,7 @@ def _window_answer(bodies: list[bytes]):
     out = np.empty(len(order), bool)
     out[order] = mine
     ends = np.cumsum([len(m[0]) for m in messages])[:-1]
-    return [pack(x) for x in np.split(out, ends)], [len(first), int((size > 1).sum())], b""
+    return [pack(x) for x in np.split(out, ends)], [len(first), int((size > 1).sum())]
 
 
 def _kept(length: int, k: int, ranges: int):

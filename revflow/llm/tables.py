@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +43,22 @@ def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder) if not by else spark.read.parquet(folder)
 
 
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """Queries that begin in here remove their shuffle files when they end, which would otherwise stay until
+    the driver collects garbage. For writes: what is read again must be stored."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def crc_of_id(modulus: int) -> Column:
     """crc32 of doc_id as text, modulo; a NULL id counts as the empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus

@@ -1,12 +1,15 @@
 import math
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from revflow.llm import katz
+from revflow.llm.blocks import Blocks, unpack
 from revflow.llm.tables import crc_of_id
 
 
@@ -115,3 +118,72 @@ def test_query_is_a_model_of_all_triples(spark):
         g = got[r["doc_id"]]
         assert (g["n_tokens"], g["n_known"], g["train_tokens"]) == (n, known, total)
         assert g["base_score"] == pytest.approx(base, rel=1e-9) and g["score"] == pytest.approx(score, rel=1e-9)
+
+
+def long_corpus():
+    """Words of which a few are frequent and most are rare, so that nearly all triples occur once."""
+    rng = np.random.default_rng(11)
+    rows = [" ".join(f"w{x}" for x in rng.zipf(1.3, 400) % 20_000) for _ in range(600)]
+    return [(i, t) for i, t in enumerate(rows)]
+
+
+def test_bytes_stored_for_each_token(spark, tmp_path, monkeypatch):
+    """Documents and answers together."""
+    docs = spark.createDataFrame(long_corpus(), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr("revflow.llm.blocks.run_folder", lambda spark, name: f"{tmp_path}/{name}")
+    rows = katz.katz_scores(docs, crc_of_id(7) != 2, 3, 1).collect()
+    stored = sum(p.stat().st_size for p in tmp_path.rglob("*.parquet"))
+    assert 0 < stored / sum(r["n_tokens"] for r in rows) < 5
+
+
+def test_shuffle_files_are_removed_once_answers_are_stored(spark):
+    docs = spark.createDataFrame(long_corpus()[:50], "doc_id long, text string").repartition(3)
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {p for f in manager.localDirs() for p in Path(f.getPath()).rglob("shuffle_*.data")}
+
+    blocks = Blocks(docs.withColumn("train", F.lit(True)), encode=katz._tokens)
+    before = files()
+    katz.fit(blocks, 3, 1)
+    assert not files() - before
+
+
+@pytest.mark.parametrize("least", [1, 2])
+def test_tables_have_every_kept_count_and_weight(spark, monkeypatch, least):
+    texts = corpus()
+    monkeypatch.setattr(Blocks.__init__, "__defaults__", (2000,))  # many blocks, of which one speaks for each n-gram
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (crc_of_id(7) != 2).alias("train"))
+    model, tables = katz.fit(Blocks(docs, encode=katz._tokens), 3, least)
+    train = [r[0] for r in docs.orderBy("doc_id").select("train").collect()]
+    _, p, counts = brute(texts, train, 3, least)
+    values = []
+    for table in tables:
+        parts = [unpack(r["body"]) for r in table.collect()]
+        keys = np.concatenate([k for k, _ in parts])
+        assert len(np.unique(keys)) == len(keys)
+        values.append(sorted(np.concatenate([v for _, v in parts]).tolist()))
+    for n, got in ((1, values[0]), (2, values[1]), (3, values[3])):
+        assert got == sorted(c for c in counts[n].values() if n == 1 or c >= least)
+    for n, got in ((2, values[2]), (3, values[4])):
+        follow = defaultdict(list)
+        for gram, c in counts[n].items():
+            if c >= least:
+                follow[gram[:-1]].append((gram[-1], c))
+        factor = model.discounts[n].factor
+        wanted = []
+        for context, kept in follow.items():
+            above, own = sum((factor[c] if c <= 5 else 1.0) * c for _, c in kept), counts[n - 1][context]
+            tight = above >= own * (1 - 1e-9)
+            wanted.append((-1 if tight else 1) * (1 - above / (own + tight)) / (1 - sum(p(w, context[1:]) for w, _ in kept)))
+        assert got == pytest.approx(sorted(wanted), rel=1e-9)
+
+
+def test_distinct_hashes_that_differ_in_their_lowest_bits_only():
+    rng = np.random.default_rng(3)
+    high = rng.integers(0, 2**63, 50, dtype=np.uint64) << np.uint64(8)
+    for keys in (rng.choice(high, 500), rng.choice(high, 500) + rng.integers(0, 4, 500).astype(np.uint64), high[:1], high[:0]):
+        for got, wanted in zip(katz._distinct(keys), np.unique(keys, return_inverse=True), strict=True):
+            assert (got == wanted).all()
+        assert (katz._keys(katz._near(np.unique(keys))) == np.unique(keys)).all()
